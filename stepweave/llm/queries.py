@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepweave.llm import dedupe, instructions, mixing, overlap, packing, runs, splits, tokens
+from stepweave.llm import dedupe, instructions, mixing, overlap, packing, pairs, runs, splits, tokens
 from stepweave.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,19 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return pairs.broken_pairs(_table(spark, sf, "generation_results"), _table(spark, sf, "prompts"))
+
+
+def p1_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers and defects per model and finish reason."""
+    results = _table(spark, sf, "generation_results").groupBy("result_id").agg(
+        F.min("model").alias("model"), F.min(F.lower("finish_reason")).alias("finish_reason")
+    )
+    judged = results.join(p1_found(spark, sf), "result_id", "left")
+    return judged.groupBy("model", "finish_reason", F.coalesce("defect", F.lit("none")).alias("defect")).agg(F.count("*").alias("answers"))
+
+
 def _episode_links(spark: SparkSession, sf: str) -> DataFrame:
     ep = _table(spark, sf, "episodes")
     return ep.select(
@@ -124,6 +137,6 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (
-        p2_found, p2_splits, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p9_mix, p9_shares,
+        p1_found, p1_rates, p2_found, p2_splits, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p9_mix, p9_shares,
     )
     return {f.__name__: f for f in own}
