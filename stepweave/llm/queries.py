@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepweave.llm import dedupe, instructions, mixing, overlap, packing, pairs, runs, splits, tokens
+from stepweave.llm import dedupe, instructions, mixing, overlap, packing, pairs, runs, splits, tokens, toxicity
 from stepweave.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,8 +135,29 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(_sized(spark, sf), _table(spark, sf, "mix_targets"))[1]
 
 
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.with_kind(toxicity.scored(_table(spark, sf, "documents"), "doc_id", "text", ["source"]))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(spark, sf).where("kind is not null").select("doc_id", "kind").distinct()
+
+
+def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(spark, sf)
+
+
+def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, flagged documents by kind and mean scores per source."""
+    counts = [F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in toxicity.KINDS]
+    means = [F.round(F.avg(k), 6).alias(f"mean_{k}") for k in toxicity.KINDS]
+    rate = F.round(F.count("kind") / F.count("*"), 6).alias("rate")
+    return _scored(spark, sf).groupBy("source").agg(F.count("*").alias("documents"), *counts, rate, *means)
+
+
 def queries() -> dict[str, Query]:
     own = (
         p1_found, p1_rates, p2_found, p2_splits, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p9_mix, p9_shares,
+        p10_found, p10_scores, p10_rates,
     )
     return {f.__name__: f for f in own}
