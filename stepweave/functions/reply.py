@@ -92,23 +92,24 @@ def parse_step(text: str | None) -> tuple:
     return (*fields, text or "")
 
 
-def parsed_reply(text: Column, frames: Column) -> Column:
-    """:func:`parse_episode` over columns, as an array of structs; batches travel by Arrow."""
+def parsed_reply(text: Column, frames: Column, latest: bool = True) -> Column:
+    """:func:`parse_episode` over columns, as an array of structs; batches travel by Arrow.
+
+    With ``latest`` each step occurs once: where a reply names it twice, the last counts.
+    """
 
     @F.pandas_udf(PARSED)
     def run(texts: pd.Series, frame_lists: pd.Series) -> pd.Series:
         names = PARSED.elementType.fieldNames()
-        return pd.Series([[dict(zip(names, r)) for r in parse_episode(t, [int(x) for x in f] if f is not None else [])] for t, f in zip(texts, frame_lists)])
+        out = []
+        for t, f in zip(texts, frame_lists):
+            rows = parse_episode(t, [int(x) for x in f] if f is not None else [])
+            out.append([dict(zip(names, r)) for r in ({r[0]: r for r in rows}.values() if latest else rows)])
+        return pd.Series(out)
 
     return run(text, frames)
 
 
-def latest_per_step(parsed: Column) -> Column:
-    """One trace per step of a parsed reply: where a step occurs twice, its last."""
-    keys = F.array_distinct(F.transform(parsed, lambda r: r.step_index))
-    return F.transform(keys, lambda k: F.element_at(F.filter(parsed, lambda r: r.step_index == k), -1))
-
-
 def missing_frames(frames: Column, named: Column) -> Column:
     """Frames that no item names, in their order."""
     return F.array_except(frames, named)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from stepweave.plans import curation_queries
+from stepweave.plans import core_oracle, core_queries, curation_queries
 
-_MODULES = [curation_queries]
+_MODULES = [core_queries, curation_queries]
+_SQL = [core_oracle, curation_queries]
 
 
 def queries() -> dict:
@@ -12,4 +13,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for m in _MODULES for k, v in m.oracle_sql().items()}
+    return {k: v for m in _SQL for k, v in m.oracle_sql().items()}

@@ -65,21 +65,6 @@ EXPORT_EPISODE = _struct(
     episode_metadata=_struct(file_path=_S, episode_id=_I, has_image_0=_B, has_image_1=_B, has_image_2=_B, has_image_3=_B, has_language=_B),
     steps=T.ArrayType(EXPORT_STEP),
 )
-#: What a file of nested annotations maps to: file path, episode id, episode.
-ANNOTATION_JSON = T.MapType(
-    _S,
-    T.MapType(
-        _S,
-        _struct(
-            metadata=_struct(episode_id=_S, file_path=_S, n_steps=_S, language_instruction=_S, caption=_S),
-            features=_struct(
-                state_3d=T.ArrayType(_FLOATS), move_primitive=T.ArrayType(_S), gripper_position=T.ArrayType(_FLOATS),
-                gripper_positions=T.ArrayType(_FLOATS), bboxes=T.ArrayType(_S),
-            ),
-            reasoning=T.MapType(_S, _struct(**dict.fromkeys(SHORT_NAMES, _S))),
-        ),
-    ),
-)
 PROMPT = _struct(text=_S, images=T.ArrayType(T.BinaryType()), system_prompt=_S, metadata=T.MapType(_S, _S))
 TOKEN_USAGE = _struct(prompt_tokens=_I, completion_tokens=_I, total_tokens=_I)
 GENERATION_RESULT = _struct(text=_S, model=_S, finish_reason=_S, usage=TOKEN_USAGE, metadata=T.MapType(_S, _S))

@@ -7,73 +7,91 @@ from pyspark.sql import functions as F
 
 from stepweave.functions.text import or_default
 from stepweave.operators.keys import composite_key
-from stepweave.schemas import ANNOTATION_JSON, SHORT_NAMES, TRACE_FIELDS
+from stepweave.schemas import SHORT_NAMES, TRACE_FIELDS
 from stepweave.sources.files import find_json
 
 
+def _get(value: Column, path: str, kind: str) -> Column:
+    """A part of a variant; NULL where it is missing or of another kind."""
+    return F.try_variant_get(value, path, kind)
+
+
+def _is_object(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+
+
 def trace_of(reasoning: Column) -> Column:
-    """A trace from the six short fields, missing ones empty; NULL for an object without any field."""
-    text = {long: F.coalesce(reasoning[short], F.lit("")) for short, long in SHORT_NAMES.items()}
+    """A trace from the six short fields, missing ones empty; NULL for what is no object or has none of them."""
+    short = {k: _get(reasoning, f"$.{k}", "string") for k in SHORT_NAMES}
+    text = {SHORT_NAMES[k]: F.coalesce(v, F.lit("")) for k, v in short.items()}
     fields = [text.get(f, F.lit(None).cast("string")).alias(f) for f in TRACE_FIELDS]
-    present = F.lit(False)
-    for short in SHORT_NAMES:
-        present |= reasoning[short].isNotNull()
-    return F.when(present, F.struct(*fields))
+    return F.when(_is_object(reasoning) & F.coalesce(*short.values()).isNotNull(), F.struct(*fields))
 
 
-def step_count(entry: Column) -> Column:
+def step_count(declared: Column, reasoning: Column) -> Column:
     """The declared number of steps, else that of reasoning entries, else 1; 0 counts as not declared."""
-    declared = F.nullif(entry["metadata"]["n_steps"].try_cast("int"), F.lit(0))
-    reasoned = F.nullif(F.size(F.coalesce(entry["reasoning"], F.create_map().cast(ANNOTATION_JSON.valueType.valueType["reasoning"].dataType))), F.lit(0))
-    return F.coalesce(declared, reasoned, F.lit(1))
+    return F.coalesce(F.nullif(declared, F.lit(0)), F.nullif(F.size(reasoning), F.lit(0)), F.lit(1))
 
 
-def flat_episodes(nested: DataFrame, doc: str = "doc", source: str = "embodied_features_bridge") -> DataFrame:
-    """One row per episode of documents that map file path to episode id to entry; what is no object is skipped."""
-    files = nested.select(F.explode(doc).alias("file_path", "_episodes")).where("_episodes is not null")
-    eps = files.select("file_path", F.explode("_episodes").alias("source_episode_id", "entry")).where("entry is not null")
+def flat_episodes(entries: DataFrame, source: str = "embodied_features_bridge") -> DataFrame:
+    """One row per episode of ``entries`` (file_path, source_episode_id, entry); entries that are no object are skipped."""
+    e = F.col("entry")
+    eps = entries.where(_is_object(e)).withColumn("reasoning_map", F.coalesce(_get(e, "$.reasoning", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
     return eps.select(
         F.concat("file_path", F.lit("_"), "source_episode_id").alias("episode_id"), "file_path", "source_episode_id",
         composite_key(F.col("file_path"), F.col("source_episode_id")).alias("join_key"),
-        F.coalesce("entry.metadata.language_instruction", F.lit("")).alias("language_instruction"), step_count(F.col("entry")).alias("n_steps"),
-        F.coalesce("entry.metadata.caption", F.lit("")).alias("caption"), F.lit(source).alias("source_dataset"), "entry",
+        F.coalesce(_get(e, "$.metadata.language_instruction", "string"), F.lit("")).alias("language_instruction"),
+        step_count(_get(e, "$.metadata.n_steps", "int"), F.col("reasoning_map")).alias("n_steps"),
+        F.coalesce(_get(e, "$.metadata.caption", "string"), F.lit("")).alias("caption"), F.lit(source).alias("source_dataset"), "entry", "reasoning_map",
     )
 
 
 def flat_steps(episodes: DataFrame) -> DataFrame:
     """Dense steps 0..n_steps-1 of :func:`flat_episodes`; features by place, reasoning by its key."""
-    e = F.col("entry")
-    i = F.col("step_index")
-    gripper = F.when(F.size(e["features"]["gripper_position"]) > 0, e["features"]["gripper_position"]).otherwise(e["features"]["gripper_positions"])
-    steps = episodes.withColumn("step_index", F.explode(F.sequence(F.lit(0), F.col("n_steps") - 1)))
+    e, i = F.col("entry"), F.col("step_index")
+    listed = lambda name: _get(e, f"$.features.{name}", "array<variant>")
+    gripper = F.when(F.size(listed("gripper_position")) > 0, listed("gripper_position")).otherwise(listed("gripper_positions"))
+    wide = episodes.select(
+        "episode_id", "join_key", "n_steps", "reasoning_map", listed("move_primitive").alias("moves"), gripper.alias("grips"), listed("bboxes").alias("boxes"), listed("state_3d").alias("states")
+    )
+    steps = wide.where("n_steps > 0").withColumn("step_index", F.explode(F.sequence(F.lit(0), F.col("n_steps") - 1)))
     return steps.select(
-        "episode_id", "join_key", "step_index", trace_of(F.try_element_at(e["reasoning"], i.cast("string"))).alias("reasoning"),
-        (i == 0).alias("is_first"), (i == F.col("n_steps") - 1).alias("is_last"), F.get(e["features"]["move_primitive"], i).alias("move_primitive"),
-        F.slice(F.get(gripper, i), 1, 2).alias("gripper_position"), F.get(e["features"]["bboxes"], i).alias("bboxes"),
-        F.slice(F.get(e["features"]["state_3d"], i), 1, 3).alias("state_3d"),
+        "episode_id", "join_key", "step_index", trace_of(F.try_element_at("reasoning_map", i.cast("string"))).alias("reasoning"),
+        (i == 0).alias("is_first"), (i == F.col("n_steps") - 1).alias("is_last"), _get(F.get("moves", i), "$", "string").alias("move_primitive"),
+        F.slice(_get(F.get("grips", i), "$", "array<float>"), 1, 2).alias("gripper_position"), F.to_json(F.get("boxes", i)).alias("bboxes"),
+        F.slice(_get(F.get("states", i), "$", "array<float>"), 1, 3).alias("state_3d"),
     )
 
 
+def _children(value: Column, *names: str) -> Column:
+    return F.explode(_get(value, "$", "map<string,variant>")).alias(*names)
+
+
+def entries_of_bodies(bodies: DataFrame, path: str = "file_path", body: str = "body") -> DataFrame:
+    """Entries of bodies that map episode id to entry; a body that isn't valid JSON gives none."""
+    parsed = bodies.select(F.coalesce(F.col(path), F.lit("")).alias("file_path"), F.try_parse_json(body).alias("_v")).where(_is_object(F.col("_v")))
+    return parsed.select("file_path", _children(F.col("_v"), "source_episode_id", "entry"))
+
+
+def entries_of_file(documents: DataFrame, text: str = "value") -> DataFrame:
+    """Entries of documents that map file path to episode id to entry; what is no object is skipped."""
+    files = documents.select(F.try_parse_json(text).alias("_v")).where(_is_object(F.col("_v"))).select(_children(F.col("_v"), "file_path", "_e"))
+    return files.where(_is_object(F.col("_e"))).select("file_path", _children(F.col("_e"), "source_episode_id", "entry"))
+
+
 def read_annotations(spark: SparkSession, path: str, require_reasoning: bool = False, max_episodes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(episodes, steps) of an annotation file or of the first one in a folder.
 
     With ``require_reasoning`` only episodes with at least one trace count,
-    also towards ``max_episodes`` (in order of path and id).
+    also towards ``max_episodes`` (in order of path and id). A file is one
+    document and so one task: split huge ones into lines of bodies first.
     """
-    options = {"allowSingleQuotes": "false"}
-    raw = spark.read.text(find_json(path), wholetext=True).select(F.from_json("value", ANNOTATION_JSON, options).alias("doc"))
-    episodes = flat_episodes(raw)
+    episodes = flat_episodes(entries_of_file(spark.read.text(find_json(path), wholetext=True)))
     if require_reasoning:
-        episodes = episodes.where(F.exists(F.map_values(F.coalesce("entry.reasoning", F.create_map().cast(ANNOTATION_JSON.valueType.valueType["reasoning"].dataType))), lambda r: trace_of(r).isNotNull()))
+        episodes = episodes.where(F.exists(F.map_values("reasoning_map"), lambda r: trace_of(r).isNotNull()))
     if max_episodes is not None:
         episodes = episodes.orderBy("file_path", "source_episode_id").limit(max_episodes)
-    return episodes.drop("entry"), flat_steps(episodes)
-
-
-def nested_from_bodies(bodies: DataFrame, path: str = "file_path", body: str = "body") -> DataFrame:
-    """Bodies (episode id to entry) with their path, as documents for :func:`flat_episodes`; broken bodies give none."""
-    inner = F.from_json(body, ANNOTATION_JSON.valueType, {"allowSingleQuotes": "false", "mode": "PERMISSIVE"})
-    return bodies.select(F.create_map(F.coalesce(F.col(path), F.lit("")), inner).alias("doc")).where("map_values(doc)[0] is not null")
+    return episodes.drop("entry", "reasoning_map"), flat_steps(episodes)
 
 
 def task_text(demonstration: Column, annotation: Column) -> Column:
