@@ -107,7 +107,7 @@ def collapse_runs(
         F.regexp_replace(plain, " ", "").alias("joined"), stamp.alias("at"),
     ).where("entity is not null and pos is not null")
     if slips:
-        forms = base.where("form is not null").groupBy("form", "joined").agg(F.count("*").alias("n"))
+        forms = stored(base.where("form is not null").groupBy("form", "joined").agg(F.count("*").alias("n")), "forms")
         total = forms.groupBy("form").agg(F.sum("n").alias("total"))
         forms = forms.join(total, "form").select("form", "joined", F.col("total").alias("n"))
         moved = stored(slip_map(forms), "slips")

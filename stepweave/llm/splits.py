@@ -73,6 +73,13 @@ def pointer_components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _linked(records: DataFrame, id_col: str, link_cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """The records once each, with names of their own for the columns that tie them."""
+    own = [f"_link{i}" for i in range(len(link_cols))]
+    cols = [F.col(c).alias(a) for c, a in zip(link_cols, own)]
+    return stored(records.select(F.col(id_col).alias("id"), *cols).where("id is not null").distinct(), "records"), own
+
+
 def related_groups(records: DataFrame, id_col: str, link_cols: list[str]) -> DataFrame:
     """(id, head): each record with the smallest id of those it is tied to.
 
@@ -80,7 +87,7 @@ def related_groups(records: DataFrame, id_col: str, link_cols: list[str]) -> Dat
     (NULL ties nothing), directly or by way of others. Rows without id are
     skipped, repeated rows count once, a record without ties heads itself.
     """
-    base = stored(records.select(F.col(id_col).alias("id"), *link_cols).where("id is not null").distinct(), "records")
+    base, link_cols = _linked(records, id_col, link_cols)
     # Every value's smallest id stands for it: N edges instead of all pairs.
     edges = None
     for c in link_cols:
@@ -146,12 +153,11 @@ def grouped_splits(
     Nulls: records without id are skipped; NULL values tie nothing; without
     targets the split is NULL. Repeated rows count once. Empty tables work.
     """
-    base = stored(records.select(F.col(id_col).alias("id"), *link_cols).where("id is not null").distinct(), "records")
+    base, own = _linked(records, id_col, link_cols)
     rec = F.concat(F.lit("r:"), F.col("id").cast("string"))
-    named = lambda c: F.concat(F.lit(c + ":"), F.col(c).cast("string"))
     edges = None
-    for c in link_cols:
-        part = base.where(F.col(c).isNotNull()).select(named(c).alias("a"), rec.alias("b"))
+    for c, name in zip(own, link_cols):
+        part = base.where(F.col(c).isNotNull()).select(F.concat(F.lit(name + ":"), F.col(c).cast("string")).alias("a"), rec.alias("b"))
         edges = part if edges is None else edges.unionByName(part)
     if known is None:
         known = base.sparkSession.createDataFrame([], "node string, component string, split string")
