@@ -40,11 +40,9 @@ def join_heads(
     if not n_hot:
         return rows.join(heads, keys)
     hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-    salted = rows.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(fanout))).otherwise(F.lit(0))
-    )
-    spread = heads.withColumn(
-        "_salt",
-        F.explode(F.when(F.col(size_col) > hot_rows, F.sequence(F.lit(0), F.lit(fanout - 1))).otherwise(F.array(F.lit(0)))).cast("long"),
-    )
-    return salted.withColumn("_salt", F.col("_salt").cast("long")).join(spread, [*keys, "_salt"]).drop("_salt", "_hot")
+    zero = F.lit(0).cast("long")
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(fanout).cast("long"))).otherwise(zero)
+    salted = rows.join(hot, keys, "left").withColumn("_salt", salt)
+    salts = F.when(F.col(size_col) > hot_rows, F.sequence(zero, F.lit(fanout - 1).cast("long"))).otherwise(F.array(zero))
+    spread = heads.withColumn("_salt", F.explode(salts))
+    return salted.join(spread, [*keys, "_salt"]).drop("_salt", "_hot")

@@ -107,7 +107,7 @@ def spikes_in(x: np.ndarray, seg: np.ndarray, limit: np.ndarray) -> np.ndarray:
             before, after = at(-1), at(1)
         else:
             before2, before, after, after2 = at(-2), at(-1), at(1), at(2)
-        with np.errstate(invalid="ignore", divide="ignore"):
+        with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
             around = np.stack([before2, before, v, after, after2])
             level = np.nanmedian(around, axis=0)
             d1, d2 = np.fmax(np.abs(v - before), 0), np.abs(after - 2 * v + before)
