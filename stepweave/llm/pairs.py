@@ -223,11 +223,10 @@ def broken_pairs(results: DataFrame, prompts: DataFrame) -> DataFrame:
     open_ = sorted_.select("norm", "whole", F.coalesce(F.col("succ").startswith(F.col("norm")), F.lit(False)).alias("shortened"))
 
     # How often words, and the two words before a word, stand at a proper end and elsewhere.
-    w = F.split("norm", " ")
-    pos = ranged.where("whole > 0").select("whole", w.alias("w"), F.posexplode(w).alias("i", "word"))
-    before = F.concat_ws(" ", F.get("w", F.col("i") - 2), F.get("w", F.col("i") - 1))
-    at_end = F.col("i") == F.size("w") - 1
-    stats = stored(pos.select("word", before.alias("before"), at_end.alias("at_end"), "whole").groupBy("word", "before", "at_end").agg(F.sum("whole").alias("n")), "stats")
+    w = F.col("w")
+    place = F.transform(w, lambda x, i: F.struct(x.alias("word"), F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).alias("before"), (i == F.size(w) - 1).alias("at_end")))
+    pos = ranged.where("whole > 0").select("whole", F.split("norm", " ").alias("w")).select("whole", F.explode(place).alias("at"))
+    stats = stored(pos.groupBy("at.word", "at.before", "at.at_end").agg(F.sum("whole").alias("n")), "stats")
     by_word = stats.groupBy("word").agg(F.sum(F.when(F.col("at_end"), F.col("n")).otherwise(0)).alias("ends"))
     by_ctx = stats.groupBy("before").agg(
         F.sum(F.when(F.col("at_end"), F.col("n")).otherwise(0)).alias("ctx_ends"), F.sum(F.when(~F.col("at_end"), F.col("n")).otherwise(0)).alias("ctx_inner")

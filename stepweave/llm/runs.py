@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,7 @@ def _slip_keys(form: str, joined: str):
     yield "j" + joined, "joined"
     words = form.split(" ")
     for i, w in enumerate(words):
-        rest = "d" + " ".join(words[:i] + words[i + 1 :]) + "\x1f"
+        rest = "d" + xxhash.xxh3_128_hexdigest(" ".join(words[:i] + words[i + 1 :])) + "\x1f"
         yield rest + w, "self"
         for k in range(len(w)):
             yield f"s{rest}{w[:k]}\x1f{w[k + 1:]}", "sub"

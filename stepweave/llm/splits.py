@@ -38,29 +38,26 @@ def pointer_components(edges: DataFrame) -> DataFrame:
     Each round hooks every root to the smallest root seen over an edge, then
     jumps pointers; edges shrink to those that still join different roots. All
     groups are reduced before they are shuffled, and no group is gathered.
-    Every round is written to the shared folder, so that a lost executor costs
-    one round at most. Rounds grow with the logarithm of the longest chain.
+    Every round's edges and roots are written to the shared folder, so that a
+    lost executor costs one round at most; labels are the nodes joined with the
+    roots of the few rounds. Rounds grow with the logarithm of the longest chain.
     """
-    edges = stored(edges.where("a is not null and b is not null and a <> b").distinct(), "edges")
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = stored(nodes.withColumn("root", F.col("node")), "labels")
-    live = edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    live = stored(edges.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "edges")
+    labels = live.select(F.col("lo").alias("node")).union(live.select("hi")).distinct().withColumn("root", F.col("node"))
     for _ in range(MAX_ROUNDS):
         if live.isEmpty():
             return labels
-        # Local minima win: a root hooks onto the smallest root it meets.
-        hooks = live.groupBy(F.col("hi").alias("root")).agg(F.min("lo").alias("next"))
-        hooks = stored(hooks, "hooks")
+        # Every root hooks onto the smallest root it meets; the hooks are a forest.
+        hooks = stored(live.groupBy(F.col("hi").alias("root")).agg(F.min("lo").alias("next")), "hooks")
         for _ in range(MAX_ROUNDS):
             up = hooks.select(F.col("root").alias("next"), F.col("next").alias("next2"))
-            jumped = hooks.join(up, "next", "left").select("root", F.coalesce("next2", "next").alias("new"), (F.col("next2").isNotNull()).alias("moved"))
-            jumped = stored(jumped, "jump")
-            hooks = jumped.select("root", F.col("new").alias("next"))
+            jumped = hooks.join(up, "next", "left").select("root", F.coalesce("next2", "next").alias("next"), F.col("next2").isNotNull().alias("moved"))
+            jumped = stored(jumped, "jumped")
+            hooks = jumped.select("root", "next")
             if jumped.where("moved").isEmpty():
                 break
-        heads = stored(hooks, "hooked")
-        labels = stored(labels.join(small_side(heads), "root", "left").select("node", F.coalesce("next", "root").alias("root")), "labels")
-        to = small_side(heads)
+        to = small_side(hooks)
+        labels = labels.join(to, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
         live = (
             live.join(to.withColumnsRenamed({"root": "lo", "next": "lo2"}), "lo", "left")
             .join(to.withColumnsRenamed({"root": "hi", "next": "hi2"}), "hi", "left")
