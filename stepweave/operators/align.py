@@ -61,18 +61,48 @@ def aligned(
     """``steps`` with ``trace``, ``direct`` and ``alignment_confidence``, one row per step.
 
     ``annotations`` has the keys, the order column, the trace and other
-    columns; it must hold one row per step. ``extra`` gives defaults for its
-    other columns on steps without annotation. Annotations of steps that do not
-    exist are left out. Both sides are shuffled once on the keys, which the
-    windows share.
+    columns, none of which ``steps`` has; it must hold one row per step.
+    ``extra`` gives defaults for its other columns on steps without annotation.
+    Annotations of steps that do not exist are left out, as are those with a
+    NULL key or order; steps with a NULL order keep no annotation.
+
+    Both tables are stacked rather than joined: an annotation sorts right
+    before its step, so that lookup and filling are windows over one exchange
+    and one sort on the keys.
     """
-    marked = annotations.withColumn("_direct", F.col(trace).isNotNull())
-    joined = steps.join(marked, [*keys, order], "left")
-    direct = F.coalesce("_direct", F.lit(False))
-    out = joined.withColumn("direct", direct).withColumn(trace, filled_along(F.col(trace), strategy, keys, [order]))
-    for name, default in (extra or {}).items():
-        out = out.withColumn(name, F.coalesce(F.col(name), default))
-    return out.withColumn("alignment_confidence", confidence(F.col("direct"), F.col(trace))).drop("_direct")
+    check_strategy(strategy)
+    own = [c for c in annotations.columns if c not in (*keys, order)]
+    rest = [c for c in steps.columns if c not in (*keys, order)]
+    kinds = {f.name: f.dataType for f in annotations.schema} | {f.name: f.dataType for f in steps.schema}
+    null = lambda c: F.lit(None).cast(kinds[c]).alias(c)
+    base = [F.col(c).cast(kinds[c]).alias(c) for c in (*keys, order)]
+    above = annotations.select(*base, *[null(c) for c in rest], *[F.col(c) for c in own], F.lit(0).alias("_step"))
+    below = steps.select(*base, *rest, *[null(c) for c in own], F.lit(1).alias("_step"))
+    w = Window.partitionBy(*keys).orderBy(order, "_step")
+    noted = (F.lag("_step").over(w) == 0) & (F.lag(order).over(w) == F.col(order)) & (F.col("_step") == 1)
+    for k in keys:
+        noted &= F.col(k).isNotNull()
+    found = F.lag(F.struct(*own)).over(w)
+    placed = above.unionByName(below).withColumn("_own", F.when(noted, found))
+    value = F.col(f"_own.{trace}")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.first(value, ignorenulls=True).over(whole)
+    carried = {
+        "exact": value,
+        "broadcast": F.coalesce(first, value),
+        "nearest": F.coalesce(F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), first),
+    }[strategy]
+    filled = placed.withColumn("_trace", carried).where("_step = 1")
+    other = [F.coalesce(F.col(f"_own.{c}"), extra[c]).alias(c) if extra and c in extra else F.col(f"_own.{c}").alias(c) for c in own if c != trace]
+    out = filled.select(*keys, order, *rest, *other, F.col("_trace").alias(trace), value.isNotNull().alias("direct"))
+    return out.withColumn("alignment_confidence", confidence(F.col("direct"), F.col(trace)))
+
+
+def filled(df: DataFrame, keys: list[str], order: str, trace: str, strategy: str = "nearest") -> DataFrame:
+    """As :func:`aligned` where each step carries its annotation (or NULL) already: one exchange, one sort."""
+    carried = filled_along(F.col(trace), strategy, keys, [order])
+    marked = df.withColumn("direct", F.col(trace).isNotNull()).withColumn(trace, carried)
+    return marked.withColumn("alignment_confidence", confidence(F.col("direct"), F.col(trace)))
 
 
 def matched_inner(demos: DataFrame, annotations: DataFrame, key: str = "join_key") -> DataFrame:

@@ -30,9 +30,7 @@ def _finite(c: Column, places: int = 6) -> Column:
 
 
 def _align(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
-    steps = event_steps(spark, sf)
-    notes = steps.where("event_type = 'purchase'").select("user_id", "step_index", "task")
-    out = align.aligned(steps.drop("task"), notes, ["user_id"], "step_index", "task", strategy)
+    out = align.filled(event_steps(spark, sf), ["user_id"], "step_index", "task", strategy)
     return out.select("user_id", F.col("step_index").cast("long").alias("step_index"), "task", "alignment_confidence")
 
 
