@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 # Frequent function words by language, in natural order.
 FUNCTION_WORDS = {
@@ -61,7 +62,7 @@ def scores(text: str) -> dict[str, float]:
         if own:
             for k in own:
                 out[k] = out.get(k, 0) + (1.5 if len(own) == 1 else 1 / len(own))
-    for ch in text.lower():
+    for ch in () if text.isascii() else text.lower():
         if ch in _LETTERS:
             out[_LETTERS[ch]] = out.get(_LETTERS[ch], 0) + 0.7
     return out
@@ -69,11 +70,9 @@ def scores(text: str) -> dict[str, float]:
 
 def language_of(text: str) -> str | None:
     """The language of a text; None where it shows too little of any."""
-    letters = sum(ch.isalpha() for ch in text)
-    if not letters:
-        return None
-    for k, script in _SCRIPTS:
+    for k, script in () if text.isascii() else _SCRIPTS:
         n = len(script.findall(text))
+        letters = sum(map(str.isalpha, text)) if n else 0
         if n and (n * 3 >= letters or (k == "ja" and n >= 2 and n * 6 >= letters)):
             return k
     found = sorted(scores(text).items(), key=lambda x: -x[1])
@@ -82,6 +81,12 @@ def language_of(text: str) -> str | None:
     return found[0][0]
 
 
+@lru_cache(maxsize=20_000)
+def wanted_language(prompt: str) -> str | None:
+    """The language that an answer should be in: the one asked for, else the prompt's own."""
+    return asked_language(prompt) or language_of(prompt)
+
+
 def asked_language(prompt: str) -> str | None:
     """The language that a prompt asks the answer to be in, if it does; the last request counts."""
     got = [_NAMES[m.group(1).lower()] for m in _ASKED.finditer(prompt) if m.group(1).lower() in _NAMES]

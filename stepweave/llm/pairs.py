@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepweave.llm.language import asked_language, language_of
+from stepweave.llm.language import language_of, wanted_language
 from stepweave.operators.skew import join_heads, small_side
 from stepweave.session import stored
 
@@ -49,6 +49,12 @@ _REFUSAL = re.compile(
     rf"\bnon posso (?:aiutar|risponder|fornire)|\bnão posso (?:ajudar|responder|fornecer)|не могу (?:помочь|ответить|выполнить)|お答えできません|お手伝いできません|^\W*blocked\W*$",
     re.I,
 )
+#: A text without any of these can't decline; it is looked for once, before the sentences are.
+_MAY_REFUSE = re.compile(
+    r"\b(?:i|we|me|my)\b|declin|refus|refrain|pass on|abstain|opt out|denied|blocked|reject|prevent|polic|guideline|permit|allow|appropriate|responsible|proper|ethical|suitable|"
+    r"harm|someone else|be able to|comfortable|leave it|as an? (?:ai|artificial|language|large|assistant)|puedo|peux|kann|posso|могу|お",
+    re.I,
+)
 _COURTESY = re.compile(
     r"\b(?:i hope you understand|anything else|contact a|qualified expert|ask something else|ask me something|thank you|thanks for|apologies|i apologi[sz]e|(?:i'm|i am) sorry|"
     r"let me know|feel free|happy to help|consult a|reach out|understand(?:ing)?\W*$|be honest|sorry)\b",
@@ -160,13 +166,13 @@ def judge(text: str | None, prompt: str | None) -> tuple[str | None, list[str],
     sentences = [s for s in _SPLIT.split(content) if s and _WORDS.search(s)]
     straight = [s.replace("’", "'") for s in sentences]
     size = lambda xs: sum(len(_WORDS.findall(x)) for x in xs)
-    refused = [s for s in straight if _REFUSAL.search(s)]
+    refused = [s for s in straight if _REFUSAL.search(s)] if _MAY_REFUSE.search(content) else []
     if refused:
         rest = [s for s in straight if not _REFUSAL.search(s) and not _COURTESY.search(s)]
         if size(rest) * 2 <= size(refused):
             return "refusal", [], None
     if prompt:
-        want = asked_language(prompt) or language_of(prompt)
+        want = wanted_language(prompt)
         is_in = language_of(content)
         if want and is_in and want != is_in:
             return "language", [], None
