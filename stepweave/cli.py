@@ -27,8 +27,14 @@ log = logging.getLogger("stepweave")
 
 
 def setup_logging(level: str = "INFO", file: str | None = None) -> None:
-    handlers: list[logging.Handler] = [logging.StreamHandler()] + ([logging.FileHandler(file)] if file else [])
-    logging.basicConfig(level=level.upper(), format="%(asctime)s %(levelname)s %(name)s: %(message)s", handlers=handlers, force=True)
+    """Messages of this package alone, to the console and perhaps a file."""
+    log.setLevel(level.upper())
+    for h in list(log.handlers):
+        log.removeHandler(h)
+    for h in [logging.StreamHandler()] + ([logging.FileHandler(file)] if file else []):
+        h.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s"))
+        log.addHandler(h)
+    log.propagate = False
 
 
 def _demonstrations(spark, c: config.DemonstrationConfig) -> EpisodeReader:
