@@ -80,6 +80,11 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def p7_impossible(spark: SparkSession, sf: str) -> DataFrame:
+    """The listing's readings that cannot be real, which SQL can find too."""
+    return p7_found(spark, sf).where("kind = 'impossible'")
+
+
 def p7_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Flagged readings per lab, field and kind, with all rows of the lab."""
     labs = spark.read.parquet(f"{sf}/steps.parquet").select("episode_key", "step_index", "lab_id").distinct()
@@ -89,7 +94,7 @@ def p7_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p5_found, p5_episodes, p5_reasoning, p7_found, p7_rates)}
+    return {f.__name__: f for f in (p5_found, p5_episodes, p5_reasoning, p7_found, p7_impossible, p7_rates)}
 
 
 _BODY = r"""
@@ -141,5 +146,16 @@ select raw_id, '/{' || episode_id || '}' as row_id, episode_id as episode_key, m
 )
 
 
+P7_IMPOSSIBLE = """
+with st as (select distinct episode_key, step_index, lab_id, action, observation.state as state, ecot_features.state_3d as s3 from steps where episode_key is not null and step_index is not null),
+u as (
+  select episode_key, step_index, lab_id, 'action' as field, unnest(range(7))::int as dim, action as v from st where len(action) >= 7
+  union all select episode_key, step_index, lab_id, 'state', unnest(range(7))::int, state from st where len(state) >= 7
+  union all select episode_key, step_index, lab_id, 'state_3d', unnest(range(3))::int, s3 from st where len(s3) >= 3),
+r as (select episode_key, step_index, field, dim, v[dim + 1]::double as x, reach, max_angle from u left join labs using (lab_id))
+select episode_key, step_index, field, dim, 'impossible' as kind from r
+where isnan(x) or isinf(x) or (dim < 3 and abs(x) > reach) or (dim between 3 and 5 and abs(x) > max_angle) or (dim = 6 and (x < 0 or x > 1))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_FOUND, "p5_reasoning": P5_REASONING, "p5_episodes": P5_EPISODES}
+    return {"p5_found": P5_FOUND, "p5_reasoning": P5_REASONING, "p5_episodes": P5_EPISODES, "p7_impossible": P7_IMPOSSIBLE}
