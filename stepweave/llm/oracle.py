@@ -43,6 +43,25 @@ select least(a, b) as key_a, greatest(a, b) as key_b from pairs
 where levenshtein(array_to_string(list_transform(tw, lambda x: chr(12000 + list_position(voc, x)::int)), ''),
                   array_to_string(list_transform(ew, lambda x: chr(12000 + list_position(voc, x)::int)), '')) <= 3"""
 
+P3_REPORT = (
+    P3_FOUND.split("select least(a, b)")[0].rstrip()
+    + rf""",
+near as (
+  select distinct b as episode_key from pairs
+  where levenshtein(array_to_string(list_transform(tw, lambda x: chr(12000 + list_position(voc, x)::int)), ''),
+                    array_to_string(list_transform(ew, lambda x: chr(12000 + list_position(voc, x)::int)), '')) <= 3),
+exact as (select distinct e.episode_key from sides t join sides e on t.train and not e.train and t.flat = e.flat),
+ev as (
+  select episode_key, min(split) as split, min(episode_metadata.file_path) as path from episodes where split in ('train', 'val', 'test') group by episode_key having min(split) <> 'train'),
+src as (
+  select episode_key, split,
+    regexp_extract(regexp_replace(regexp_replace(lower(replace(path, '\', '/')), '\s+', '', 'g'), '/+', '/', 'g'), '(?:^|/)([^/]+)/[^/]+/s[0-9]+(?:/|$)', 1) as source
+  from ev where episode_key in (select episode_key from first_text))
+select split, source, count(*) as records, count(*) filter (episode_key in (select episode_key from exact)) as exact,
+  count(*) filter (episode_key in (select episode_key from near)) as near_or_exact
+from src group by split, source"""
+)
+
 _P4 = rf"""
 with {_INSTRUCTION},
 canon as (
@@ -90,5 +109,5 @@ P6_COLLAPSED = _RUNS + " select episode_key, start_step, label, n_steps, duratio
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p4_collapsed": P4_COLLAPSED, "p6_found": P6_FOUND, "p6_collapsed": P6_COLLAPSED,
+        "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p3_report": P3_REPORT, "p4_found": P4_FOUND, "p4_collapsed": P4_COLLAPSED, "p6_found": P6_FOUND, "p6_collapsed": P6_COLLAPSED,
     }
