@@ -85,8 +85,8 @@ def file_counts(episodes: DataFrame, path: str, order: str) -> DataFrame:
 def key_stats(episodes: DataFrame, path: str, n: int = 5) -> DataFrame:
     """One row: how many files and episodes there are, and the first ``n`` file names."""
     names = episodes.groupBy(path).agg(F.count("*").alias("k"))
-    first = names.orderBy(path).limit(n).agg(F.array_sort(F.collect_list(path)).alias("sample"))
-    return names.agg(F.count("*").alias("files"), F.coalesce(F.sum("k"), F.lit(0)).alias("episodes")).crossJoin(first)
+    sample = [r[0] for r in names.where(F.col(path).isNotNull()).orderBy(path).limit(n).collect()]
+    return names.agg(F.count("*").alias("files"), F.coalesce(F.sum("k"), F.lit(0)).alias("episodes"), F.lit(sample).cast("array<string>").alias("sample"))
 
 
 def preview(steps: DataFrame, width: int = 35, columns: tuple[str, ...] = ("task_reasoning", "subtask_reasoning", "move_reasoning")) -> DataFrame:
