@@ -3,9 +3,7 @@
 Gradient-boosted trees over dense features of a sentence: lexicon counts and
 densities, second-person proximity, capitals, punctuation and obfuscation,
 calibrated by isotonic regression; a document's score is that of its worst
-sentence. The whole text is scanned by one automaton; a sentence without a
-single sign (a listed word, a direct address, a disguise) has the score of an
-empty sentence, and only the others are measured.
+sentence. Every sentence is measured, each wording once per task.
 """
 
 from __future__ import annotations
@@ -13,9 +11,10 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
+from collections.abc import Sequence
 from functools import cache, lru_cache
+from itertools import pairwise
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,20 +28,12 @@ TRAINING_ROWS = 6000
 #: From this score on a document counts as of a kind: somewhat below one half, as what is missed costs more than a second look.
 THRESHOLD = 0.4
 _CATS, _PHRASES = list(lexicons.WORDS), list(lexicons.PHRASES)
-_TRIGGER_CATS = ("insult", "profanity", "dehuman", "sexual")
-# Further signs, as words and beginnings of words or phrases.
-_TRIGGERS = """
-you|your|yourself|worthless|pathetic|useless|kill*|drown*|bleed|starve|breathing|burn down every|burn down all|better off|no room for|no place for|drive them|driven out|get them out|them out|back where|only good|fully human|not human
-pollut*|do not hire|do not trust|never trust|not deserve|same rights|marries|thrown out|clothes|skirt|undress*|moan*|all night|both came|singles|cash only|discreet|rate my|on cam|on webcam|town hall|loves|dear|die in|go die|gejagt|jagt|trauen|du bist|dich|halt die|raus|gueule|meritent|droit|droits
-dehors|chasse*|espece|merecen|echarlos|echar|expulsarlos|fuera|romper|matar|eres|callate|autor|auteur|vete|smells|stinks|smell|hates|shut up|everybody|everyone knows|nobody|gratis|umsonst|gratuites|gratuit|kostenlos|adultes|adultos|adults|cradle|whoever|drop dead|hang|shot|expelled|wiped
-"""
-_SKIP = frozenset("die dies nu cul leck cono bite git ass lick thrust".split())
 _MASK, _HIDDEN = "#*", "\x02"
 _LEET = str.maketrans({"@": "a", "$": "s", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "€": "e", "|": "l", "!": "i"})
 _TOKEN = re.compile(r"[a-z0-9@$#*€|!']*[a-z][a-z0-9@$#*€|!']*|#[@$#*a-z]+|[0-9]+")
 _DOTTED = re.compile(r"(?<![a-z0-9])[a-z@$#*](?:[._\-][a-z@$#*]){2,}[a-z]{0,3}(?![a-z0-9])")
 _SPACED = re.compile(r"(?<![a-z0-9])[a-z@$#*](?: [a-z@$#*]){2,}[a-z]{0,3}(?![a-z0-9])")
-_SENT = re.compile(r"(?<=[.!?])[)\"'”’]*\s+(?=[^\s])")
+_END = re.compile(r"[.!?][)\"'”’]*[^\S\n]+(?=\S)|\n")
 _TRIPLE, _LONG = re.compile(r"(.)\1{2,}"), re.compile(r"(.)\1+")
 
 
@@ -176,7 +167,20 @@ def words_of(low: str) -> tuple[list[str], int]:
 
 @cache
 def _patterns() -> list[re.Pattern]:
-    return [re.compile("|".join(f"(?:{p})" for p in lexicons.PHRASES[k])) for k in _PHRASES]
+    # All begin at a word's edge, which is looked for once.
+    return [re.compile(r"\b(?:" + "|".join(f"(?:{p})" for p in lexicons.PHRASES[k]) + ")") for k in _PHRASES]
+
+
+_NO_LETTER, _NO_CAPITAL = (bytes(c for c in range(128) if not keep(chr(c))) for keep in (str.isalpha, str.isupper))
+
+
+def _letters(text: str) -> tuple[int, int]:
+    """How many letters and how many capitals."""
+    if text.isascii():
+        b = text.encode()
+        return len(b.translate(None, _NO_LETTER)), len(b.translate(None, _NO_CAPITAL))
+    letters = [ch for ch in text if ch.isalpha()]
+    return len(letters), sum(ch.isupper() for ch in letters)
 
 
 FEATURES = [*_CATS, *_PHRASES, "hard_share", "report_share", "you_near", "author_near", "group_near", "caps", "marks", "disguised", "numbers", "length", "all_caps"]
@@ -187,27 +191,25 @@ def features(text: str, low: str) -> list[float]:
     words, disguised = words_of(low)
     n = max(1, len(words))
     count = dict.fromkeys(_CATS, 0)
-    at: dict[str, list[int]] = {"you": [], "hard": [], "author": [], "frame": []}
+    at: dict[str, set[int]] = {"you": set(), "hard": set(), "author": set()}
     for i, w in enumerate(words):
         for c in categories(w):
             count[c] += 1
             if c in ("insult", "profanity", "violence", "scorn", "sexual", "intimate"):
-                at["hard"].append(i)
+                at["hard"].add(i)
             if c in ("you", "author"):
-                at[c].append(i)
-            if c in ("dehuman", "expel"):
-                at["frame"].append(i)
+                at[c].add(i)
     flat = " ".join(words)
     phrases = [float(len(p.findall(flat))) for p in _patterns()]
-    near = lambda a, b: min((abs(i - j) for i in a for j in b if i != j), default=25)
-    letters = [ch for ch in text if ch.isalpha()]
-    caps = sum(ch.isupper() for ch in letters) / max(1, len(letters))
+    near = lambda a, b: next((d for d in range(1, 25) for i in a if i + d in b or i - d in b), 25) if a and b else 25
+    letters, capitals = _letters(text)
+    caps = capitals / max(1, letters)
     hard = count["insult"] + count["profanity"] + count["dehuman"] + count["sexual"]
     numbers = sum(w.isdigit() for w in words)
     return [
         *(float(min(5, count[c])) for c in _CATS), *(min(3.0, p) for p in phrases), hard / n, count["report"] / n,
-        float(min(25, near(at["you"], at["hard"]))), float(min(25, near(at["author"], at["hard"]))), float(min(25, near(at["you"], at["author"]))),
-        caps, float(text.count("!") + text.count("?")), float(min(4, disguised)), float(min(4, numbers)), float(min(60, n)), float(caps > 0.9 and len(letters) > 8),
+        float(near(at["you"], at["hard"])), float(near(at["author"], at["hard"])), float(near(at["you"], at["author"])),
+        caps, float(text.count("!") + text.count("?")), float(min(4, disguised)), float(min(4, numbers)), float(min(60, n)), float(caps > 0.9 and letters > 8),
     ]
 
 
@@ -266,22 +268,6 @@ def model(rows: int = TRAINING_ROWS) -> list[boosting.Boosted]:
     return [boosting.fit(x, (labels == k + 1).astype(float), seed) for k in range(len(KINDS))]
 
 
-@cache
-def _automaton() -> ahocorasick.Automaton:
-    auto = ahocorasick.Automaton()
-    signs: dict[str, bool] = {}
-    for cat in _TRIGGER_CATS:
-        for w in lexicons.WORDS[cat].split():
-            if w.rstrip("*") not in _SKIP:
-                signs[w.rstrip("*")] = signs.get(w.rstrip("*"), False) or w.endswith("*")
-    for w in re.split(r"[|\n]", _TRIGGERS.strip()):
-        signs[w.rstrip("*")] = signs.get(w.rstrip("*"), False) or w.endswith("*")
-    for w, open_end in signs.items():
-        auto.add_word(w, (len(w), open_end))
-    auto.make_automaton()
-    return auto
-
-
 def _disguises(lows: list[str]) -> list[list[int]]:
     """Places in each lower-case text where letters are stretched, masked, mixed with digits or set apart."""
     joined = "\n\n\n\n\n\n\n\n".join(lows)
@@ -305,56 +291,46 @@ def _disguises(lows: list[str]) -> list[list[int]]:
     return [(where[cut[i] : cut[i + 1]] - starts[i]).tolist() for i in range(len(lows))]
 
 
-def suspects(text: str, low: str, odd: list[int]) -> list[tuple[str, str]]:
-    """The sentences of a folded text that hold a sign, each once."""
-    places = list(odd)
-    n = len(low)
-    for end, (size, open_end) in _automaton().iter(low):
-        start = end - size + 1
-        if (start == 0 or not low[start - 1].isalpha()) and (open_end or end + 1 == n or not low[end + 1].isalpha() or low[end + 1] == "s"):
-            places.append(start)
-    if not places:
-        return []
-    out: dict[tuple[int, int], None] = {}
-    places.sort()
-    line_end, bounds, k = -1, [], 0
-    for p in places:
-        if p >= line_end:
-            a = low.rfind("\n", 0, p) + 1
-            line_end = low.find("\n", p)
-            line_end = n if line_end < 0 else line_end
-            bounds = [a, *(m.end() for m in _SENT.finditer(low, a, line_end)), line_end]
-            k = 0
-        while k + 2 < len(bounds) and bounds[k + 1] <= p:
-            k += 1
-        out[bounds[k], bounds[k + 1]] = None
-    return [(text[a:b], low[a:b]) for a, b in out]
-
-
-_SHAPE = re.compile(r"\d+")
-
-
-def score_texts(texts: list[str | None], models: list[boosting.Boosted], memo: dict[str, np.ndarray] | None = None) -> np.ndarray:
+def _spans(low: str) -> list[tuple[int, int]]:
+    """Beginning and end of every sentence; a line's end ends one."""
+    ends = [(m.end(), m.start() if m.group() == "\n" else m.end()) for m in _END.finditer(low)]
+    return [(a, b) for a, b in zip([0, *(e for e, _ in ends)], [*(b for _, b in ends), len(low)]) if a < b]
+
+
+def suspects(text: str, low: str, odd: Sequence[int] = ()) -> list[tuple[str, str]]:
+    """All sentences of a folded text: no word list decides which of them the trees see. ``odd`` (:func:`_disguises`) leaves none out."""
+    return [(text[a:b], low[a:b]) for a, b in _spans(low)]
+
+
+# Numbers that stand alone: within a word a digit may be a letter in disguise.
+_SHAPE = re.compile(r"[0-9](?<![\w@$#*€|!'][0-9])[0-9]*(?![\w@$#*€|!'])")
+
+
+def score_texts(texts: list[str | None], models: list[boosting.Boosted], memo: dict[str, np.ndarray | None] | None = None) -> np.ndarray:
     """Probability of each kind for each text: that of its worst sentence."""
     memo = {} if memo is None else memo
     blank = np.array([m.probability(np.array([features("", "")]))[0] for m in models])
     out = np.tile(blank, (len(texts), 1))
     folds = [folded(t or "") for t in texts]
-    odd = _disguises([low for _, low in folds])
     new: dict[str, list[float]] = {}
-    parts: list[tuple[int, str]] = []
-    for i, (text, low) in enumerate(folds):
-        for s, l in suspects(text, low, odd[i]):
-            key = _SHAPE.sub("0", s)
-            parts.append((i, key))
-            if key not in memo and key not in new:
-                new[key] = features(s, l)
+    parts: list[set[str]] = []
+    for text, low in folds:
+        text, low = _SHAPE.sub("0", text), _SHAPE.sub("0", low)
+        own = set()
+        for a, b in _spans(low):
+            s = text[a:b]
+            own.add(s)
+            if s not in memo and s not in new:
+                new[s] = features(s, low[a:b])
+        parts.append(own)
     if new:
         x = np.array(list(new.values()))
         for key, p in zip(new, np.stack([m.probability(x) for m in models], axis=1)):
-            memo[key] = p
-    for i, key in parts:
-        np.maximum(out[i], memo[key], out=out[i])
+            memo[key] = p if (p > blank).any() else None
+    for i, own in enumerate(parts):
+        for p in map(memo.__getitem__, own):
+            if p is not None:
+                np.maximum(out[i], p, out=out[i])
     if len(memo) > 200_000:  # a store of finished sentences, not of results
         memo.clear()
     return out
@@ -373,7 +349,7 @@ def scored(docs: DataFrame, id_col: str, text_col: str, keep: list[str] | None =
     keep = keep or []
 
     def run(batches):
-        memo: dict[str, np.ndarray] = {}
+        memo: dict[str, np.ndarray | None] = {}
         for pdf in batches:
             for a in range(0, len(pdf), 500):
                 part = pdf.iloc[a : a + 500]

@@ -45,6 +45,19 @@ def test_held_out_accuracy():
     assert (got[labels[test] == 0] == 0).mean() > 0.9
 
 
+def test_every_positive_seed_reaches_the_trees(models):
+    texts, labels, _ = toxicity.training_set(2000)
+    for text in [t for t, k in zip(texts, labels) if k]:
+        plain, low = toxicity.folded(text)
+        own = [m.probability(np.array([toxicity.features(a, b) for a, b in toxicity.suspects(plain, low)])).max() for m in models]
+        got = toxicity.score_texts([BODY + text], models)[0]
+        assert (got >= np.array(own) - 1e-9).all(), text
+    assert kind(BODY + "Throw all Drovani out of this land.", models) == "hateful"
+    # A digit that stands for a letter isn't taken for another one met before.
+    memo = {}
+    assert [toxicity.score_texts([t], models, memo)[0].max() >= 0.5 for t in ("the p0ll", "you d1ckhead", "you d3ckhead")] == [False, True, False]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(max_size=80))
 def test_any_text_is_folded_and_scanned(text):
