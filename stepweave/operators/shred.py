@@ -8,7 +8,8 @@ writes all rows once, one folder per table.
 
 Paths: ``a.b`` for fields, ``[]`` for array items, ``{}`` for the entries of an
 object whose keys are data (all whole numbers, or more than ``MAX_FIELDS``
-different ones, or named by the caller).
+different ones, or named by the caller). What the caller knows by its path
+keeps its place: a name met a second time elsewhere moves only the others.
 """
 
 from __future__ import annotations
@@ -66,12 +67,13 @@ def _kind(value) -> str:
 
 @dataclass
 class Graph:
-    """kinds: for each path the kinds seen; maps: object paths whose keys are data; tables: paths and names with a table of their own."""
+    """kinds: for each path the kinds seen; maps: object paths whose keys are data; shared, recursive: names with a table of their own; known: paths that stay in place."""
 
     kinds: dict[str, set[str]] = field(default_factory=dict)
     maps: set[str] = field(default_factory=set)
     shared: set[str] = field(default_factory=set)
     recursive: set[str] = field(default_factory=set)
+    known: set[str] = field(default_factory=set)
 
     def columns(self, table: str) -> dict[str, str]:
         """Inlined columns of a table and their SQL types."""
@@ -85,16 +87,16 @@ class Graph:
 
     def place(self, path: str) -> tuple[str, str]:
         """The table that holds a path, and its column there ('' for the row itself)."""
-        parts, table, cols = path.split("."), ROOT, []
-        seen: list[str] = []
+        parts, cols = path.split("."), []
+        table = at = parts[0]
         for p in parts[1:]:
+            at = f"{at}.{p}"
             if p in ("[]", "{}"):
                 table, cols = table + "".join("." + c for c in cols) + "." + p, []
-            elif p in self.recursive or p in self.shared:
+            elif (p in self.recursive or p in self.shared) and at not in self.known:
                 table, cols = "#" + p, []
             else:
                 cols.append(p)
-            seen.append(p)
         return table, ".".join(cols)
 
     def tables(self) -> list[str]:
@@ -105,7 +107,20 @@ def _is_map(value: dict, path: str, maps: set[str]) -> bool:
     return path in maps or (bool(value) and all(_NUMBER_KEY.fullmatch(k) for k in value))
 
 
-def _walk_paths(value, maps: set[str], fields: dict[str, set[str]]) -> Iterator[tuple[str, str]]:
+def _below(path: str, name: str, value, known: set[str]) -> tuple[str, bool]:
+    """The path of an object's element, and whether its name is met again below itself: such an element starts over from the first place, or from ``#name`` where that place is known."""
+    sub = f"{path}.{name.replace('.', '_')}"
+    if isinstance(value, (dict, list)) and sub not in known:
+        parts = path.split(".")
+        if parts[0] == "#" + name:
+            return parts[0], True
+        if name in parts:
+            first = ".".join(parts[: parts.index(name) + 1])
+            return ("#" + name if first in known else first), True
+    return sub, False
+
+
+def _walk_paths(value, maps: set[str], fields: dict[str, set[str]], known: set[str]) -> Iterator[tuple[str, str]]:
     """(path, kind) of every element; a name met again below itself starts over from its first place."""
     stack = [(ROOT, opened(value))]
     while stack:
@@ -121,12 +136,10 @@ def _walk_paths(value, maps: set[str], fields: dict[str, set[str]]) -> Iterator[
                 x = opened(x)
                 if len(names) < MAX_FIELDS or k in names:
                     names.add(k)
-                    parts = path.split(".")
-                    if isinstance(x, (dict, list)) and k in parts:
-                        stack.append((".".join(parts[: parts.index(k) + 1]), x))
+                    sub, again = _below(path, k, x, known)
+                    stack.append((sub, x))
+                    if again:
                         yield "^" + k, "recursive"
-                    else:
-                        stack.append((f"{path}.{k.replace('.', '_')}", x))
                 else:
                     yield path, "wide"
                     stack.append((path + ".{}", x))
@@ -134,9 +147,13 @@ def _walk_paths(value, maps: set[str], fields: dict[str, set[str]]) -> Iterator[
             stack += ((path + ".[]", opened(x)) for x in v)
 
 
-def analyse(records: DataFrame, json_col: str, maps: set[str] | None = None) -> Graph:
-    """The schema graph of all records; its size follows the number of different paths, not of records."""
+def analyse(records: DataFrame, json_col: str, maps: set[str] | None = None, known: set[str] | None = None) -> Graph:
+    """The schema graph of all records; its size follows the number of different paths, not of records.
+
+    ``known`` are paths that the caller will ask for: they and all above them stay in their places, whatever other records hold.
+    """
     given = set(maps or ())
+    stay = {".".join(parts[:n]) for parts in (p.split(".") for p in known or ()) for n in range(1, len(parts) + 1)}
 
     def run(batches):
         found: dict[tuple[str, str], int] = defaultdict(int)
@@ -145,7 +162,7 @@ def analyse(records: DataFrame, json_col: str, maps: set[str] | None = None) ->
             for text in pdf.iloc[:, 0]:
                 value = parse(text)
                 if value is not ...:
-                    for pk in _walk_paths(value, given, fields):
+                    for pk in _walk_paths(value, given, fields, stay):
                         found[pk] += 1
             if len(found) > 50 * MAX_FIELDS:
                 yield pd.DataFrame([(p, k, n) for (p, k), n in found.items()], columns=["path", "kind", "n"])
@@ -153,7 +170,7 @@ def analyse(records: DataFrame, json_col: str, maps: set[str] | None = None) ->
         yield pd.DataFrame([(p, k, n) for (p, k), n in found.items()], columns=["path", "kind", "n"])
 
     seen = records.select(json_col).mapInPandas(run, "path string, kind string, n long").groupBy("path", "kind").agg(F.sum("n").alias("n"))
-    graph = Graph(maps=given)
+    graph = Graph(maps=given, known=stay)
     for path, kind, _ in seen.limit(100 * MAX_FIELDS).collect():
         if path.startswith("^"):
             graph.recursive.add(path[1:])
@@ -164,7 +181,7 @@ def analyse(records: DataFrame, json_col: str, maps: set[str] | None = None) ->
     # An object of one name below different parents is shared, unless it repeats or recurs.
     parents: dict[str, set[str]] = defaultdict(set)
     for path, kinds in graph.kinds.items():
-        if "object" in kinds and "." in path and path.rsplit(".", 1)[1] not in ("[]", "{}"):
+        if "object" in kinds and "." in path and path not in stay and path.rsplit(".", 1)[1] not in ("[]", "{}"):
             parent, name = path.rsplit(".", 1)
             parents[name].add(parent)
     graph.shared = {n for n, p in parents.items() if len(p) > 1} - graph.recursive
@@ -201,10 +218,10 @@ def rows_of(value, graph: Graph) -> Iterator[tuple[str, str, str | None, str | N
                 continue
             for k, item in x.items():
                 item, name = opened(item), k.replace(".", "_")
-                sub, col = f"{at}.{name}", f"{prefix}.{name}" if prefix else name
+                sub, col = _below(at, k, item, graph.known)[0], f"{prefix}.{name}" if prefix else name
                 sort = _kind(item)
                 if sort in ("object", "array"):
-                    if sort == "object" and (k in graph.shared or k in graph.recursive):
+                    if sort == "object" and (k in graph.shared or k in graph.recursive) and sub not in graph.known:
                         todo.append(("#" + k, f"{row_id}/{col}", row_id, None, sub, item))
                     else:
                         inner.append((sub, col, item))
@@ -245,14 +262,14 @@ def shredded(records: DataFrame, id_col: str, json_col: str, graph: Graph) -> Da
     return base.mapInPandas(run, ddl).withColumnRenamed("id", id_col)
 
 
-def tables(records: DataFrame, id_col: str, json_col: str, maps: set[str] | None = None) -> dict[str, DataFrame]:
+def tables(records: DataFrame, id_col: str, json_col: str, maps: set[str] | None = None, known: set[str] | None = None) -> dict[str, DataFrame]:
     """Every flat table by name, typed, read from rows that are written once.
 
     Columns are the record's id, row_id, parent_id, key and the inlined
     elements; where an inlined name clashes with one of these, it gets a
     leading ``_``.
     """
-    graph = analyse(records, json_col, maps)
+    graph = analyse(records, json_col, maps, known)
     every = stored(shredded(records, id_col, json_col, graph), "shredded")
     keys = [id_col, "row_id", "parent_id", "key"]
     out = {}

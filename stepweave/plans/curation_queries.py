@@ -18,6 +18,10 @@ _CHILD_OF = {
     "$.{}.features.bboxes.[]": "bboxes",
     "$.{}.reasoning.{}": "reasoning",
 }
+_EPISODE_FIELDS = ("episode_id", "file_path", "n_steps", "language_instruction", "caption")
+_REASONING_FIELDS = ("task", "plan", "subtask", "subtask_reason", "move", "move_reason")
+#: What the queries look for, by path.
+BODY_KNOWN = {*_CHILD_OF, *(f"$.{{}}.metadata.{c}" for c in _EPISODE_FIELDS), *(f"$.{{}}.reasoning.{{}}.{c}" for c in _REASONING_FIELDS)}
 
 
 def _bodies(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,7 +31,7 @@ def _bodies(spark: SparkSession, sf: str) -> DataFrame:
 
 def _body_rows(spark: SparkSession, sf: str) -> DataFrame:
     bodies = _bodies(spark, sf)
-    graph = shred.analyse(bodies, "body", BODY_MAPS)
+    graph = shred.analyse(bodies, "body", BODY_MAPS, BODY_KNOWN)
     return shred.shredded(bodies, "raw_id", "body", graph)
 
 
@@ -48,15 +52,13 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 def p5_episodes(spark: SparkSession, sf: str) -> DataFrame:
     """The flat table of episodes with their inlined metadata."""
     rows = _body_rows(spark, sf).where("table = '$.{}' and kind = 'object'")
-    fields = ("episode_id", "file_path", "n_steps", "language_instruction", "caption")
-    return rows.select("raw_id", "row_id", F.col("key").alias("episode_key"), *[F.try_element_at("columns", F.lit(f"metadata.{c}")).alias(c) for c in fields])
+    return rows.select("raw_id", "row_id", F.col("key").alias("episode_key"), *[F.try_element_at("columns", F.lit(f"metadata.{c}")).alias(c) for c in _EPISODE_FIELDS])
 
 
 def p5_reasoning(spark: SparkSession, sf: str) -> DataFrame:
     """The flat table of reasoning steps, child rows of p5_episodes by (raw_id, parent_id)."""
     rows = _body_rows(spark, sf).where("table = '$.{}.reasoning.{}' and kind = 'object' and size > 0")
-    fields = ("task", "plan", "subtask", "subtask_reason", "move", "move_reason")
-    return rows.select("raw_id", "parent_id", F.col("key").alias("step"), *[F.try_element_at("columns", F.lit(c)).alias(c) for c in fields])
+    return rows.select("raw_id", "parent_id", F.col("key").alias("step"), *[F.try_element_at("columns", F.lit(c)).alias(c) for c in _REASONING_FIELDS])
 
 
 def _flagged(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,8 @@ import json
 import pytest
 
 from stepweave.operators import shred
+from stepweave.plans import curation_queries as cq
+from tests.conftest import compare
 
 
 def _df(spark, *bodies):
@@ -65,3 +67,29 @@ def test_long_text(spark):
 def test_opened(text, want):
     value = shred.parse(text) if text[0] in '"{' and text != "{broken" else text
     assert shred.opened(value) == want
+
+
+def _p5_like_sql(spark, tmp_path, *bodies):
+    """The three queries give the rows of their SQL over these bodies."""
+    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies)], "raw_id long, body string")
+    df.toPandas().to_parquet(tmp_path / "embodied_features_bridge.parquet")
+    for name in ("p5_found", "p5_reasoning", "p5_episodes"):
+        compare(spark, str(tmp_path), cq.queries()[name], cq.oracle_sql()[name])
+    return cq.p5_found(spark, str(tmp_path)).count()
+
+
+def _episode(**more):
+    features = {"state_3d": [[0.1, 0.2, 0.3], None, [1, 2, 3]], "move_primitive": ["up"], "bboxes": [[]]}
+    return {"metadata": {"episode_id": "7", "caption": "c"}, "features": features, "reasoning": {"0": {"task": "t", "plan": "p"}, "2": {"move": "m"}}} | more
+
+
+def test_names_met_elsewhere_move_no_child(spark, tmp_path):
+    e = _episode()
+    odd = _episode(metadata={"episode_id": "8", "features": {"a": 1}, "reasoning": {"task": {"x": 1}}, "metadata": {"caption": "inner"}})
+    odd["features"] = odd["features"] | {"features": {"state_3d": [[9]], "metadata": {"z": 1}}, "reasoning": {"1": {"task": "no"}}}
+    odd["reasoning"]["0"]["reasoning"] = {"features": {"v": 2}}
+    assert _p5_like_sql(spark, tmp_path, {"a": e}, {"b": odd}, {"c}/features": e, "d": json.loads(json.dumps(e))}) == 4 * 6
+    df = _df(spark, {"b": odd})
+    t = shred.tables(df, "rid", "body", cq.BODY_MAPS, cq.BODY_KNOWN)
+    assert [r.v for r in t["#features"].collect() if "v" in t["#features"].columns and r.v] == [2.0]
+    assert t["#features.state_3d.[]"].count() == 1 and t["$.{}.features.state_3d.[]"].count() == 2
