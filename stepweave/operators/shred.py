@@ -8,15 +8,16 @@ writes all rows once, one folder per table.
 
 Paths: ``a.b`` for fields, ``[]`` for array items, ``{}`` for the entries of an
 object whose keys are data (all whole numbers, or more than ``MAX_FIELDS``
-different ones, or named by the caller). What the caller knows by its path
-keeps its place: a name met a second time elsewhere moves only the others.
+different ones over all records, or named by the caller). What the caller knows
+by its path keeps its place: neither a name met a second time elsewhere nor very
+many names beside it move it.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from stepweave.session import stored
 
 MAX_FIELDS = 1000
+#: Beyond so many (path, kind) pairs the schema graph is refused.
+MAX_GRAPH = 100 * MAX_FIELDS
 _NUMBER_KEY = re.compile(r"-?[0-9]+")
 ROOT = "$"
 
@@ -120,7 +123,12 @@ def _below(path: str, name: str, value, known: set[str]) -> tuple[str, bool]:
     return sub, False
 
 
-def _walk_paths(value, maps: set[str], fields: dict[str, set[str]], known: set[str]) -> Iterator[tuple[str, str]]:
+def _stays(path: str, name: str, known: set[str]) -> bool:
+    """Whether an entry of an object whose keys are data is none, but an element that the caller knows."""
+    return path in known and name not in ("[]", "{}")
+
+
+def _walk_paths(value, maps: set[str], known: set[str]) -> Iterator[tuple[str, str]]:
     """(path, kind) of every element; a name met again below itself starts over from its first place."""
     stack = [(ROOT, opened(value))]
     while stack:
@@ -128,54 +136,77 @@ def _walk_paths(value, maps: set[str], fields: dict[str, set[str]], known: set[s
         kind = _kind(v)
         yield path, kind
         if kind == "object":
-            if _is_map(v, path, maps):
-                stack += ((path + ".{}", opened(x)) for x in v.values())
-                continue
-            names = fields[path]
+            mapped = _is_map(v, path, maps)
             for k, x in v.items():
                 x = opened(x)
-                if len(names) < MAX_FIELDS or k in names:
-                    names.add(k)
-                    sub, again = _below(path, k, x, known)
-                    stack.append((sub, x))
-                    if again:
-                        yield "^" + k, "recursive"
-                else:
-                    yield path, "wide"
+                sub, again = _below(path, k, x, known)
+                if mapped and not _stays(sub, k, known):
                     stack.append((path + ".{}", x))
+                    continue
+                stack.append((sub, x))
+                if again:
+                    yield f"{path}.{k}", "recursive"
         elif kind == "array":
             stack += ((path + ".[]", opened(x)) for x in v)
 
 
+def _is_name(path: str, known: set[str]) -> bool:
+    return "." in path and path.rpartition(".")[2] not in ("[]", "{}") and path not in known
+
+
+def _wide(seen: DataFrame, known: set[str]) -> set[str]:
+    """Objects with too many names, where the paths are too many for the driver."""
+    name = F.col("path").contains(".") & ~F.substring_index("path", ".", -1).isin("[]", "{}") & ~F.col("path").isin(*known)
+    counts = seen.where(name).select("path").distinct().groupBy(F.regexp_extract("path", r"(?s)^(.*)\.", 1).alias("of")).agg(F.count("*").alias("n"))
+    return {r.of for r in counts.where(F.col("n") > MAX_FIELDS).collect()}
+
+
+def _outermost(paths: set[str]) -> set[str]:
+    return {p for p in paths if not any(c == "." and p[:i] in paths for i, c in enumerate(p))}
+
+
 def analyse(records: DataFrame, json_col: str, maps: set[str] | None = None, known: set[str] | None = None) -> Graph:
     """The schema graph of all records; its size follows the number of different paths, not of records.
 
     ``known`` are paths that the caller will ask for: they and all above them stay in their places, whatever other records hold.
+    Names are counted over all records; where an object has too many, the records are read again with its entries as data, once
+    for each such object inside another. A graph of more than MAX_GRAPH pairs is an error.
     """
-    given = set(maps or ())
+    found_maps = set(maps or ())
     stay = {".".join(parts[:n]) for parts in (p.split(".") for p in known or ()) for n in range(1, len(parts) + 1)}
 
-    def run(batches):
-        found: dict[tuple[str, str], int] = defaultdict(int)
-        fields: dict[str, set[str]] = defaultdict(set)
-        for pdf in batches:
-            for text in pdf.iloc[:, 0]:
-                value = parse(text)
-                if value is not ...:
-                    for pk in _walk_paths(value, given, fields, stay):
-                        found[pk] += 1
-            if len(found) > 50 * MAX_FIELDS:
-                yield pd.DataFrame([(p, k, n) for (p, k), n in found.items()], columns=["path", "kind", "n"])
-                found.clear()
-        yield pd.DataFrame([(p, k, n) for (p, k), n in found.items()], columns=["path", "kind", "n"])
-
-    seen = records.select(json_col).mapInPandas(run, "path string, kind string, n long").groupBy("path", "kind").agg(F.sum("n").alias("n"))
-    graph = Graph(maps=given, known=stay)
-    for path, kind, _ in seen.limit(100 * MAX_FIELDS).collect():
-        if path.startswith("^"):
-            graph.recursive.add(path[1:])
-        elif kind == "wide":
-            graph.maps.add(path)
+    def paths(maps: set[str]) -> DataFrame:
+        def run(batches):
+            found: set[tuple[str, str]] = set()
+            for pdf in batches:
+                for text in pdf.iloc[:, 0]:
+                    value = parse(text)
+                    if value is not ...:
+                        found.update(_walk_paths(value, maps, stay))
+                    if len(found) > 50 * MAX_FIELDS:
+                        yield pd.DataFrame(list(found), columns=["path", "kind"])
+                        found.clear()
+            yield pd.DataFrame(list(found), columns=["path", "kind"])
+
+        return records.select(json_col).mapInPandas(run, "path string, kind string").distinct()
+
+    while True:
+        seen = paths(found_maps)
+        rows = seen.limit(MAX_GRAPH + 1).collect()
+        if len(rows) <= MAX_GRAPH:
+            names = Counter(p.rpartition(".")[0] for p in {r.path for r in rows} if _is_name(p, stay))
+            wide = {p for p, n in names.items() if n > MAX_FIELDS}
+        else:
+            wide = _wide(seen, stay)
+        if not wide - found_maps:
+            break
+        found_maps |= _outermost(wide - found_maps)
+    if len(rows) > MAX_GRAPH:
+        raise ValueError(f"more than {MAX_GRAPH} paths and kinds in {json_col}; name the objects whose keys are data in maps")
+    graph = Graph(maps=found_maps, known=stay)
+    for path, kind in rows:
+        if kind == "recursive":
+            graph.recursive.add(path.rpartition(".")[2])
         else:
             graph.kinds.setdefault(path, set()).add(kind)
     # An object of one name below different parents is shared, unless it repeats or recurs.
@@ -212,13 +243,13 @@ def rows_of(value, graph: Graph) -> Iterator[tuple[str, str, str | None, str | N
                 for i, item in enumerate(x):
                     todo.append((base + ".[]", f"{row_id}/{prefix}[{i}]", row_id, str(i), at + ".[]", opened(item)))
                 continue
-            if _is_map(x, at, graph.maps):
-                for k, item in x.items():
-                    todo.append((base + ".{}", f"{row_id}/{prefix}{{{k}}}", row_id, k, at + ".{}", opened(item)))
-                continue
+            mapped = _is_map(x, at, graph.maps)
             for k, item in x.items():
                 item, name = opened(item), k.replace(".", "_")
                 sub, col = _below(at, k, item, graph.known)[0], f"{prefix}.{name}" if prefix else name
+                if mapped and not _stays(sub, k, graph.known):
+                    todo.append((base + ".{}", f"{row_id}/{prefix}{{{k}}}", row_id, k, at + ".{}", item))
+                    continue
                 sort = _kind(item)
                 if sort in ("object", "array"):
                     if sort == "object" and (k in graph.shared or k in graph.recursive) and sub not in graph.known:

@@ -93,3 +93,30 @@ def test_names_met_elsewhere_move_no_child(spark, tmp_path):
     t = shred.tables(df, "rid", "body", cq.BODY_MAPS, cq.BODY_KNOWN)
     assert [r.v for r in t["#features"].collect() if "v" in t["#features"].columns and r.v] == [2.0]
     assert t["#features.state_3d.[]"].count() == 1 and t["$.{}.features.state_3d.[]"].count() == 2
+
+
+def test_many_names_move_no_child(spark, tmp_path):
+    many = lambda v: {f"n{i}": v for i in range(shred.MAX_FIELDS + 200)}
+    e = _episode()
+    wide = _episode(**many(1))
+    wide["features"] = many({"x": 1}) | wide["features"]
+    wide["metadata"] = many("m") | wide["metadata"]
+    wide["reasoning"] = {"0": many("r") | {"task": "t"}}
+    assert _p5_like_sql(spark, tmp_path, {"a": e}, {"b": wide, "{}": e}) == 3 * 6 - 1
+
+
+def test_names_are_counted_over_all_rows(spark):
+    docs = [{"a": {f"k{i}": {f"x{i}": 1, f"y{i}": [2]}}, "b": {"s": {"t": i}}} for i in range(shred.MAX_FIELDS + 100)]
+    df = _df(spark, *docs)
+    graphs = [shred.analyse(df.repartition(n), "body") for n in (1, 16)]
+    assert graphs[0] == graphs[1] and graphs[0].maps == {"$.a", "$.a.{}"}
+    assert shred.shredded(df, "rid", "body", graphs[0]).where("table = '$.a.{}.{}'").count() == 2 * len(docs)
+
+
+def test_too_large_a_graph_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(shred, "MAX_GRAPH", 10)
+    with pytest.raises(ValueError, match="more than 10 paths"):
+        shred.analyse(_df(spark, {f"k{i}": i for i in range(20)}), "body")
+    # Entries of an object with very many names count once.
+    monkeypatch.setattr(shred, "MAX_FIELDS", 15)
+    assert shred.analyse(_df(spark, {f"k{i}": i for i in range(20)}), "body").maps == {"$"}
