@@ -80,7 +80,9 @@ def generate(args) -> int:
     done = finished_ids(spark, c.output_dir) if c.resume else None
     backend = backends.create_backend(vars(c.backend))
     s = c.frame_sampling
-    out = generation.generate(episodes, steps.select("episode_id", "step_index"), "episode_id", "step_index", "language_instruction", backend, done, c.resume, c.dry_run, s.strategy, s.num_frames)
+    image = "image_0" if "image_0" in steps.columns else None
+    own = steps.select("episode_id", "step_index", *[image] * bool(image))
+    out = generation.generate(episodes, own, "episode_id", "step_index", "language_instruction", backend, done, c.resume, c.dry_run, s.strategy, s.num_frames, image)
     if c.dry_run:  # prompts are shown, not kept: nothing counts as done
         out.select("episode_id", "text").show(5, truncate=False)
         return 0

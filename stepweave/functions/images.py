@@ -91,6 +91,22 @@ def as_rgb(data: bytes | None, side: int = IMAGE_SIDE) -> np.ndarray:
     raise ValueError("neither PNG nor a raw square image")
 
 
+def encoded(data: bytes) -> bytes:
+    """What models take: PNG and JPEG as they are, a raw square image as PNG."""
+    return data if image_type(data) or not data else png_encode(as_rgb(data, max(1, _edge(data))))
+
+
+def image_type(data: bytes) -> str | None:
+    """The media type of PNG and JPEG bytes."""
+    return "image/png" if data[:8] == _PNG else "image/jpeg" if data[:3] == b"\xff\xd8\xff" else None
+
+
+def _edge(data: bytes) -> int:
+    """Pixels of a side of a raw square image; 0 for anything else."""
+    edges = ((round((len(data) / c) ** 0.5), c) for c in (3, 1))
+    return next((e for e, c in edges if e * e * c == len(data)), 0)
+
+
 def ensured(image: Column, side: int = IMAGE_SIDE) -> Column:
     """:func:`as_rgb` over a column, as raw bytes."""
 

@@ -16,6 +16,8 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import types as T
 
+from stepweave.functions.images import image_type
+
 
 @dataclass
 class Request:
@@ -149,7 +151,7 @@ class _Remote(Backend):
 
 def chat_messages(request: Request, detail: str = "auto") -> list[dict]:
     """A request as messages of the widespread chat format, images as data URLs before the text."""
-    content: list[dict] = [{"type": "image_url", "image_url": {"url": "data:image/jpeg;base64," + base64.b64encode(i).decode(), "detail": detail}} for i in request.images]
+    content: list[dict] = [{"type": "image_url", "image_url": {"url": f"data:{image_type(i) or 'image/jpeg'};base64," + base64.b64encode(i).decode(), "detail": detail}} for i in request.images]
     content.append({"type": "text", "text": request.text})
     system = [{"role": "system", "content": request.system_prompt}] if request.system_prompt else []
     return [*system, {"role": "user", "content": content}]
@@ -186,7 +188,7 @@ class GeminiBackend(_Remote):
         genai = self.client()
         model = genai.GenerativeModel(self.model_name, system_instruction=request.system_prompt)
         limits = self.limits()
-        parts = [*({"mime_type": "image/jpeg", "data": i} for i in request.images), request.text]
+        parts = [*({"mime_type": image_type(i) or "image/jpeg", "data": i} for i in request.images), request.text]
         got = model.generate_content(parts, generation_config={"max_output_tokens": limits.pop("max_tokens"), **limits}, safety_settings=self.options.get("safety_settings") or None)
         if not got.candidates:  # held back by the provider
             return Result("[BLOCKED]", self.model_name, "safety", metadata=dict(request.metadata))

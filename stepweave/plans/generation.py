@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stepweave.functions.images import encoded
 from stepweave.functions.reply import parsed_reply
 from stepweave.operators.align import aligned
 from stepweave.operators.sampling import select_frames
@@ -38,20 +39,40 @@ def step_text(task: Column, step: Column, context: Column | None = None) -> Colu
     return F.concat(F.lit('Task: "'), F.coalesce(task, F.lit("")), F.lit('"\nStep: '), step.cast("string"), before, F.lit("\n\nDescribe this frame as one JSON object without frame_index."))
 
 
-def prompts(episodes: DataFrame, steps: DataFrame, key: str, order: str, task: str, strategy: str = "uniform", n: int = 8) -> DataFrame:
-    """key, text, system_prompt, frames, n_steps per episode; episodes without steps have none."""
+def _pictures(frames: DataFrame, steps: DataFrame, key: str, order: str, image: str) -> DataFrame:
+    """key, images: the bytes of the sampled steps in the order of ``frames``; steps without an image are skipped."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
+    of_step = steps.select(key, place.alias("_at"), F.col(image).alias("_image")).where("length(_image) > 0")
+    wanted = frames.select(key, F.posexplode("frames").alias("_nth", "_at"))
+    taken = F.array_sort(F.collect_list(F.struct("_nth", "_image")))
+    return wanted.join(of_step, [key, "_at"]).groupBy(key).agg(F.transform(taken, lambda x: x["_image"]).alias("images"))
+
+
+def prompts(episodes: DataFrame, steps: DataFrame, key: str, order: str, task: str, strategy: str = "uniform", n: int = 8, image: str | None = None) -> DataFrame:
+    """key, text, system_prompt, frames, n_steps per episode; episodes without steps have none.
+
+    With ``image``, a column of encoded or raw square images in ``steps``, also
+    images: those of the frames, in their order.
+    """
     frames = select_frames(steps, key, order, strategy, n)
-    return frames.join(episodes.select(key, task), key).select(
+    out = frames.join(episodes.select(key, task), key).select(
         key, episode_text(F.col(task), F.col("n_steps"), F.col("frames")).alias("text"), F.lit(SYSTEM_PROMPT).alias("system_prompt"), "frames", "n_steps"
     )
+    if image is None:
+        return out
+    return out.join(_pictures(frames, steps, key, order, image), key, "left").withColumn("images", F.coalesce("images", F.array().cast("array<binary>")))
 
 
 def generated(requests: DataFrame, key: str, backend: Backend, batch: int = 16) -> DataFrame:
     """``requests`` with the struct ``result``; a request that fails for good gives finish_reason 'error' and no text.
 
+    A request carries the bytes of its row's ``images``, if there is such a column.
+
     One client per Python worker. To hold a provider's limit, repartition to k
     tasks and give the backend a k-th of it.
     """
+    if "images" in requests.columns and not backend.supports_multimodal:
+        raise ValueError(f"model {backend.model_name!r} takes no images")
     kept = [f for f in requests.schema if f.name in (key, "frames", "n_steps")]
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + f", result {GENERATION_RESULT.simpleString()}"
 
@@ -59,7 +80,8 @@ def generated(requests: DataFrame, key: str, backend: Backend, batch: int = 16)
         for pdf in batches:
             for a in range(0, len(pdf), batch):
                 part = pdf.iloc[a : a + batch]
-                asked = [Request(t, [], s, {"frames": [int(x) for x in f]}) for t, s, f in zip(part.text, part.system_prompt, part.frames)]
+                images = part.images if "images" in part.columns else [()] * len(part)
+                asked = [Request(t, [encoded(bytes(x)) for x in i], s, {"frames": [int(x) for x in f]}) for t, i, s, f in zip(part.text, images, part.system_prompt, part.frames)]
                 out = []
                 try:
                     got = backend.generate_batch(asked)
@@ -85,16 +107,17 @@ def sparse_traces(results: DataFrame, key: str) -> DataFrame:
 
 def generate(
     episodes: DataFrame, steps: DataFrame, key: str, order: str, task: str, backend: Backend, done: DataFrame | None = None, resume: bool = True,
-    dry_run: bool = False, strategy: str = "uniform", n: int = 8,
+    dry_run: bool = False, strategy: str = "uniform", n: int = 8, image: str | None = None,
 ) -> DataFrame:
     """Steps with a trace each, carried along the episode; with ``dry_run`` only the prompts.
 
-    With ``resume`` episodes in ``done`` are left out.
+    With ``resume`` episodes in ``done`` are left out. ``image`` is the column
+    of ``steps`` that the model is shown; it isn't in the result.
     """
     todo = not_done(episodes, done, key) if resume and done is not None else episodes
-    asked = prompts(todo, steps, key, order, task, strategy, n)
+    asked = prompts(todo, steps, key, order, task, strategy, n, image)
     if dry_run:
         return asked
     traces = sparse_traces(generated(asked, key, backend), key)
-    chosen = steps.join(todo.select(key), key, "left_semi")
+    chosen = (steps.drop(image) if image else steps).join(todo.select(key), key, "left_semi")
     return aligned(chosen, traces.withColumnRenamed("step_index", order), [key], order, "reasoning", "nearest")

@@ -28,6 +28,30 @@ class Failing(MockBackend):
         raise RuntimeError("down")
 
 
+class Seeing(MockBackend):
+    def generate(self, request):
+        got = super().generate(request)
+        got.model = " ".join(i.hex() if i[:4] != b"\x89PNG" else "png" for i in request.images)
+        return got
+
+
+def test_requests_carry_the_images_of_their_frames(spark):
+    jpeg = lambda i: b"\xff\xd8\xff" + bytes([i])
+    rows = [("a", 10 + i, None if i == 2 else bytes(12) if i == 8 else jpeg(i)) for i in range(9)] + [("b", 0, None), ("b", 1, b"")]
+    steps = spark.createDataFrame(rows, "e string, i int, img binary").repartition(3)
+    eps = spark.createDataFrame([("a", "t"), ("b", "t")], "e string, task string")
+    asked = generation.prompts(eps, steps, "e", "i", "task", n=5, image="img")
+    assert {r.e: [bytes(x) for x in r.images] for r in asked.collect()} == {"a": [jpeg(0), jpeg(4), jpeg(6), bytes(12)], "b": []}
+    got = {r.e: r.result.model for r in generation.generated(asked, "e", Seeing("m")).collect()}
+    assert got == {"a": "ffd8ff00 ffd8ff04 ffd8ff06 png", "b": ""}
+    out = generation.generate(eps, steps, "e", "i", "task", Seeing("m"), n=5, image="img")
+    assert "img" not in out.columns and out.count() == 11
+    with pytest.raises(ValueError, match="takes no images"):
+        generation.generated(asked, "e", backends.create_backend({"provider": "openai", "model_name": "text-1"}))
+    png = backends.chat_messages(Request("t", [b"\x89PNG\r\n\x1a\n"]))
+    assert png[0]["content"][0]["image_url"]["url"].startswith("data:image/png;base64,")
+
+
 def test_a_failing_backend_keeps_the_rows(spark):
     eps, steps = spark.createDataFrame([("a", "t")], "e string, task string"), spark.createDataFrame([("a", 0)], "e string, i int")
     asked = generation.prompts(eps, steps, "e", "i", "task")
