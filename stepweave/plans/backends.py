@@ -99,14 +99,29 @@ class Backend(ABC):
     @abstractmethod
     def generate(self, request: Request) -> Result: ...
 
-    def generate_batch(self, requests: Sequence[Request]) -> list[Result]:
+    def generate_each(self, requests: Sequence[Request | Exception]) -> list[Result | Exception]:
+        """The result of each request, or the error that it ended with after its retries; one that could not be made keeps its own."""
         rpm = self.options.get("requests_per_minute")
         limiter = RateLimiter(rpm) if rpm else None
-        out = []
+        out: list[Result | Exception] = []
         for r in requests:
+            if isinstance(r, Exception):
+                out.append(r)
+                continue
             if limiter:
                 limiter.acquire()
-            out.append(retried(lambda r=r: self.generate(r), self.options.get("max_retries", 5), self.options.get("retry_base_delay", 1.0), self.options.get("retry_max_delay", 60.0)))
+            try:
+                out.append(retried(lambda r=r: self.generate(r), self.options.get("max_retries", 5), self.options.get("retry_base_delay", 1.0), self.options.get("retry_max_delay", 60.0)))
+            except Exception as e:
+                out.append(e)
+        return out
+
+    def generate_batch(self, requests: Sequence[Request]) -> list[Result]:
+        """All results; an error is raised when the others have been asked."""
+        out = self.generate_each(requests)
+        for r in out:
+            if isinstance(r, Exception):
+                raise r
         return out
 
     def health_check(self) -> bool:

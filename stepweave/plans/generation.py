@@ -15,6 +15,7 @@ from stepweave.operators.sampling import select_frames
 from stepweave.operators.setops import not_done
 from stepweave.plans.backends import Backend, Request
 from stepweave.schemas import GENERATION_RESULT, REPLY_FIELDS
+from stepweave.session import stored
 
 SYSTEM_PROMPT = (
     "You look at frames of a robot arm at work and say why it moves as it does. For every frame give one JSON object with the whole number "
@@ -63,6 +64,13 @@ def prompts(episodes: DataFrame, steps: DataFrame, key: str, order: str, task: s
     return out.join(_pictures(frames, steps, key, order, image), key, "left").withColumn("images", F.coalesce("images", F.array().cast("array<binary>")))
 
 
+def _request(text: str, images, system_prompt: str, frames) -> Request | Exception:
+    try:
+        return Request(text, [encoded(bytes(x)) for x in images], system_prompt, {"frames": [int(x) for x in frames]})
+    except ValueError as e:  # an image of no known kind
+        return e
+
+
 def generated(requests: DataFrame, key: str, backend: Backend, batch: int = 16) -> DataFrame:
     """``requests`` with the struct ``result``; a request that fails for good gives finish_reason 'error' and no text.
 
@@ -81,19 +89,14 @@ def generated(requests: DataFrame, key: str, backend: Backend, batch: int = 16)
             for a in range(0, len(pdf), batch):
                 part = pdf.iloc[a : a + batch]
                 images = part.images if "images" in part.columns else [()] * len(part)
-                asked = [Request(t, [encoded(bytes(x)) for x in i], s, {"frames": [int(x) for x in f]}) for t, i, s, f in zip(part.text, images, part.system_prompt, part.frames)]
+                asked = [_request(*r) for r in zip(part.text, images, part.system_prompt, part.frames)]
                 out = []
-                try:
-                    got = backend.generate_batch(asked)
-                except Exception as e:  # one provider error must not cost the batches before
-                    got, error = [], str(e)
-                for i, r in enumerate(asked):
-                    if got:
-                        g = got[i]
+                for g in backend.generate_each(asked):
+                    if isinstance(g, Exception):  # one request's error must not cost the others
+                        out.append({"text": None, "model": backend.model_name, "finish_reason": "error", "usage": None, "metadata": {"error": str(g)}})
+                    else:
                         p, c, t = g.usage()
                         out.append({"text": g.text, "model": g.model, "finish_reason": g.finish_reason, "usage": {"prompt_tokens": p, "completion_tokens": c, "total_tokens": t}, "metadata": {}})
-                    else:
-                        out.append({"text": None, "model": backend.model_name, "finish_reason": "error", "usage": None, "metadata": {"error": error}})
                 yield part[[f.name for f in kept]].assign(result=out)
 
     return requests.mapInPandas(run, ddl)
@@ -111,13 +114,16 @@ def generate(
 ) -> DataFrame:
     """Steps with a trace each, carried along the episode; with ``dry_run`` only the prompts.
 
-    With ``resume`` episodes in ``done`` are left out. ``image`` is the column
+    With ``resume`` episodes in ``done`` are left out. An episode whose request
+    failed for good isn't in the result, so that a later run asks for it again;
+    the replies are asked for here and written once. ``image`` is the column
     of ``steps`` that the model is shown; it isn't in the result.
     """
     todo = not_done(episodes, done, key) if resume and done is not None else episodes
     asked = prompts(todo, steps, key, order, task, strategy, n, image)
     if dry_run:
         return asked
-    traces = sparse_traces(generated(asked, key, backend), key)
-    chosen = (steps.drop(image) if image else steps).join(todo.select(key), key, "left_semi")
+    replies = stored(generated(asked, key, backend), "replies").where("not (result.finish_reason <=> 'error')")
+    traces = sparse_traces(replies, key)
+    chosen = (steps.drop(image) if image else steps).join(replies.select(key), key, "left_semi")
     return aligned(chosen, traces.withColumnRenamed("step_index", order), [key], order, "reasoning", "nearest")

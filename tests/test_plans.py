@@ -59,6 +59,30 @@ def test_a_failing_backend_keeps_the_rows(spark):
     assert got.result.finish_reason == "error" and got.result.text is None and got.result.metadata["error"] == "down"
 
 
+class Moody(MockBackend):
+    def generate(self, request):
+        if '"bad' in request.text:
+            raise RuntimeError("no")
+        return super().generate(request)
+
+
+def test_a_failing_request_costs_its_own_episode_only(spark):
+    eps = spark.createDataFrame([(f"e{i}", "bad" if i == 3 else f"t{i}") for i in range(8)], "e string, task string").coalesce(1)
+    steps = spark.createDataFrame([(f"e{i}", j) for i in range(8) for j in range(3)], "e string, i int").coalesce(1)
+    backend = Moody("m", max_retries=0)
+    got = {r.e: r.result for r in generation.generated(generation.prompts(eps, steps, "e", "i", "task").coalesce(1), "e", backend).collect()}
+    assert {e for e, r in got.items() if r.finish_reason == "error"} == {"e3"} and got["e3"].metadata["error"] == "no" and all(got[e].text for e in got if e != "e3")
+    out = generation.generate(eps, steps, "e", "i", "task", backend)
+    assert out.count() == 21 and out.where("e = 'e3' or reasoning is null").count() == 0
+    again = generation.generate(eps, steps, "e", "i", "task", MockBackend("m"), done=out.select("e"))
+    assert [r.e for r in again.collect()] == ["e3"] * 3
+    odd = steps.where("e = 'e1'").withColumn("img", F.lit(b"\1" * 5))
+    asked = generation.prompts(eps, odd, "e", "i", "task", image="img")
+    assert generation.generated(asked, "e", MockBackend("m")).first().result.finish_reason == "error"
+    with pytest.raises(RuntimeError):
+        backend.generate_batch([Request('"bad')])
+
+
 def test_step_text(spark):
     df = spark.sql("select 't' as task, array('x','y') as c, array() as n")
     row = df.select(generation.step_text(F.col("task"), F.lit(3), F.col("c")).alias("a"), generation.step_text(F.col("task"), F.lit(3)).alias("b")).first()
