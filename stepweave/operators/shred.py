@@ -128,12 +128,18 @@ def _stays(path: str, name: str, known: set[str]) -> bool:
     return path in known and name not in ("[]", "{}")
 
 
+def _kind_at(path: str, value, known: set[str]) -> str:
+    """The kind of an element: numbers alone are an array like any other where the caller knows the path of the items."""
+    kind = _kind(value)
+    return "array" if kind == "vector" and path + ".[]" in known else kind
+
+
 def _walk_paths(value, maps: set[str], known: set[str]) -> Iterator[tuple[str, str]]:
     """(path, kind) of every element; a name met again below itself starts over from its first place."""
     stack = [(ROOT, opened(value))]
     while stack:
         path, v = stack.pop()
-        kind = _kind(v)
+        kind = _kind_at(path, v, known)
         yield path, kind
         if kind == "object":
             mapped = _is_map(v, path, maps)
@@ -231,7 +237,7 @@ def rows_of(value, graph: Graph) -> Iterator[tuple[str, str, str | None, str | N
     while todo:
         table, row_id, parent, key, path, v = todo.pop()
         cols: dict[str, str | None] = {}
-        kind = _kind(v)
+        kind = _kind_at(path, v, graph.known)
         size = len(v) if isinstance(v, (dict, list)) else 0
         if kind in ("string", "number", "boolean", "vector"):
             cols["value"] = _text(v)
@@ -250,7 +256,7 @@ def rows_of(value, graph: Graph) -> Iterator[tuple[str, str, str | None, str | N
                 if mapped and not _stays(sub, k, graph.known):
                     todo.append((base + ".{}", f"{row_id}/{prefix}{{{k}}}", row_id, k, at + ".{}", item))
                     continue
-                sort = _kind(item)
+                sort = _kind_at(sub, item, graph.known)
                 if sort in ("object", "array"):
                     if sort == "object" and (k in graph.shared or k in graph.recursive) and sub not in graph.known:
                         todo.append(("#" + k, f"{row_id}/{col}", row_id, None, sub, item))
@@ -264,6 +270,7 @@ def rows_of(value, graph: Graph) -> Iterator[tuple[str, str, str | None, str | N
 def shredded(records: DataFrame, id_col: str, json_col: str, graph: Graph) -> DataFrame:
     """All rows of all tables: id_col, table, row_id, parent_id, key, kind, size, columns.
 
+    A list of numbers is one value of kind 'vector', unless its items are known.
     ``row_id`` is unique within a record, and ``(id_col, parent_id)`` is the
     key of the parent row. ``key`` is the entry's key or the item's 0-based
     place; ``kind`` tells null, object, array, vector, string, number, boolean.

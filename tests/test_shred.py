@@ -95,6 +95,12 @@ def test_names_met_elsewhere_move_no_child(spark, tmp_path):
     assert t["#features.state_3d.[]"].count() == 1 and t["$.{}.features.state_3d.[]"].count() == 2
 
 
+def test_lists_of_numbers_have_child_rows(spark, tmp_path):
+    e = _episode()
+    e["features"] |= {"gripper_position": [12, 165], "gripper_positions": [None, 1], "move_primitive": [1, 2.5], "state_3d": [1, 2, 3], "bboxes": [[1, 2], 3]}
+    assert _p5_like_sql(spark, tmp_path, {"a": e}, {"b": _episode()}) == 3 + 2 + 2 + 2 + 2 + 6
+
+
 def test_many_names_move_no_child(spark, tmp_path):
     many = lambda v: {f"n{i}": v for i in range(shred.MAX_FIELDS + 200)}
     e = _episode()
