@@ -7,7 +7,7 @@ import statistics
 import numpy as np
 import pytest
 
-from stepweave.operators.spikes import Readings, implausible_readings, spikes_in, stuck_in
+from stepweave.operators.spikes import Readings, implausible_readings, spikes_in
 
 POSE = ("reach",) * 3 + ("max_angle",) * 3 + (None,)
 SPECS = [Readings("state", "state", 7, POSE, (6,)), Readings("p", "p", 3, POSE[:3])]
@@ -44,7 +44,9 @@ def brute(rows, limits):
                 out |= {(e, s, name, d, "impossible") for s, v in seq if bad(lab, d, v[d])}
                 if d in unit:
                     continue
-                t = 10 * statistics.median_low(diffs[lab]) if diffs[lab] else 0
+                usual = statistics.median_low(diffs[lab]) if diffs[lab] else 0
+                some = [x for x in diffs[lab] if x]
+                t = 10 * (usual or (statistics.median_low(some) if some else 0))
                 live = [(s, float(v[d])) for s, v in seq if not bad(lab, d, v[d])]
                 good = list(live)
                 found = set()
@@ -150,8 +152,75 @@ def test_edges(spark):
     assert got == {(1, 1, "state", 6, "impossible"), (1, 2, "p", 1, "impossible")}
 
 
+def test_long_stuck_runs_do_not_depend_on_their_place(spark):
+    """101 equal readings of which others move in the first 40 steps: not stuck, wherever they stand; with 60 moving steps: stuck as a whole."""
+
+    def series(e, start, moving):
+        rows = []
+        for i in range(2400):
+            still = start <= i <= start + 100
+            step = i if not still else min(i, start + moving)
+            rows.append((e, i, 0, [1.0 if still else float(i), float(step) + (0.001 * i if not still else 0.0), 0.0, 0.0, 0.0, 0.0, 0.5], None))
+        return rows
+
+    df = spark.createDataFrame([r for e, (s, m) in enumerate([(1000, 40), (1200, 40), (1000, 60), (1200, 60), (900, 60)]) for r in series(e, s, m)], SCHEMA)
+    got = {(r.entity, r.pos) for r in implausible_readings(df, "e", "s", "lab", SPECS, spark.createDataFrame([], LIMITS)).where("kind = 'stuck' and dim = 0").collect()}
+    assert got == {(e, p) for e, s in ((2, 1000), (3, 1200), (4, 900)) for p in range(s, s + 101)}
+
+
+def test_short_margins_are_judged_again(spark):
+    """Many passes at the edge of a chunk, with sparse readings: the same flags with every margin."""
+    rng = random.Random(5)
+    rows, x = [], 0.0
+    for i in range(0, 2300, 3):
+        x += rng.gauss(0, 1)
+        rows.append((1, i, 0, [x, 2 * x, 0.0, 0.0, 0.0, 0.0, 0.5], None))
+    for i, r in enumerate(rows):
+        if 300 < i < 380 and i % 3 == 0:
+            r[3][0] += 300.0 * (1 + i % 2)
+        if 320 < i < 350 and i % 5 == 0:
+            r[3][1] = math.nan
+    df, labs = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([], LIMITS)
+    narrow, wide = ({tuple(r) for r in implausible_readings(df, "e", "s", "lab", SPECS, labs, margin=m).collect()} for m in (16, 1000))
+    assert narrow == wide == brute(rows, {})
+
+
+def test_the_ellipsoid_decides(spark):
+    """At a low factor the neighbour rule alone flags ordinary changes; the ellipsoid keeps them."""
+    rng = np.random.default_rng(3)
+    x = np.cumsum(rng.normal(size=3000))
+    x[[501, 1501]] = x[[499, 1499]]
+    x[[500, 1500]] += 40.0
+    usual = float(np.median(np.abs(np.diff(x))))
+    alone, _ = spikes_in(x, np.zeros(3000, int), np.full(3000, usual))
+    assert alone.sum() > 100
+    df = spark.createDataFrame([(1, i, 0, [float(v)] * 6 + [0.5], None) for i, v in enumerate(x)], SCHEMA)
+    got = {r.pos for r in implausible_readings(df, "e", "s", "lab", SPECS, spark.createDataFrame([], LIMITS), factor=1.0).where("kind = 'spike' and dim = 0").collect()}
+    assert {500, 1500} <= got and len(got) < 20
+
+
+def test_most_changes_none(spark):
+    """Where most changes are 0 the others have the say; without any change nothing is a spike."""
+    v = [0.0] * 300
+    for i in range(100, 140):
+        v[i] = float(i % 3)
+    v[120] = 500.0
+    df = spark.createDataFrame([(1, i, 0, [x] * 3 + [7.0] * 3 + [0.5], None) for i, x in enumerate(v)], SCHEMA)
+    got = {(r.pos, r.dim) for r in implausible_readings(df, "e", "s", "lab", SPECS, spark.createDataFrame([], LIMITS)).where("kind = 'spike'").collect()}
+    assert got == {(120, 0), (120, 1), (120, 2)}
+
+
+def test_no_bounds_at_all(spark):
+    specs = [Readings("state", "state", 7, (None,) * 7)]
+    df = spark.createDataFrame([(1, i, 0, [float(i)] * 6 + [9.0], None) for i in range(5)] + [(1, 5, 0, [math.nan] * 7, None)], SCHEMA)
+    got = [tuple(r) for r in implausible_readings(df, "e", "s", "lab", specs, spark.createDataFrame([(0, 1.0, 1.0)], LIMITS)).collect()]
+    assert sorted(got) == [(1, 5, "state", d, "impossible") for d in range(7)]
+    with pytest.raises(ValueError):
+        implausible_readings(df, "e", "s", "lab", specs, spark.createDataFrame([], LIMITS), margin=3)
+
+
 def test_small_inputs():
     one = np.array([1.0])
-    assert not spikes_in(one, np.zeros(1), one).any() and not stuck_in(one, np.zeros(1), one, 8).any()
-    assert spikes_in(np.array([0, 9.0, 0]), np.zeros(3), np.ones(3)).tolist() == [False, True, False]
-    assert spikes_in(np.array([0, 9.0, 0]), np.zeros(3), np.full(3, np.nan)).sum() == 0
+    assert not spikes_in(one, np.zeros(1), one)[0].any()
+    assert spikes_in(np.array([0, 9.0, 0]), np.zeros(3), np.ones(3))[0].tolist() == [False, True, False]
+    assert spikes_in(np.array([0, 9.0, 0]), np.zeros(3), np.full(3, np.nan))[0].sum() == 0
