@@ -25,7 +25,7 @@ WORDS = {
     """,
     "you": "you your yours yourself yourselves u ur you're you'll thou du dich dir dein* deine euch eure ihr tu te toi ton ta tes vous vos votre eres te ti tu tus usted* vosotros os tuo voce",
     "me": "i me my i'll i'm we us our ich wir uns je nous moi yo nosotros voy io",
-    "author": "author* editor* edit* edits reverting revert* admin* admins moderator* reader* readers page whoever wrote writes autor* auteur* site wiki vandal* everyone everybody nobody people mother family",
+    "author": "author* editor* edit* edits reverting revert* admin* moderator* writer* contributor* user users guy man fool admins moderator* reader* readers page whoever wrote writes autor* auteur* site wiki vandal* everyone everybody nobody people mother family",
     "group": "immigrant* migrant* foreigner* refugee* minority minorities race races tribe ethnic nation people families women men them they auslander* fluchtling* etranger* immigre* extranjer* inmigrante* volk peuple pueblo",
     "dehuman": """
         vermin cockroach* rats parasit* subhuman* savage* animals beasts plague disease* infect* pollut* breed* filth scum thief thieves criminals cancer leech* maggot* lice pest pests inferior degenerate* barbarian* mongrel*
@@ -45,6 +45,47 @@ WORDS = {
         free video* videos pics pictures photos cam cams webcam chat singles waiting guaranteed cash discreet only watch rate join click call whatsapp telegram meet hookup near adult adults wives couples girls boys grown
         gratis umsonst kostenlos* gratuit* gratuites bilder filme frauen manner adultes femmes fotos mujeres chicas ver contactos
     """,
+    "weapon": """
+        bullet* knife knives gun guns rifle* pistol* noose* rope gallows axe axes sword* bomb* grenade* gasoline petrol acid poison* dynamite club clubs whip* brick bricks hammer* baseball blade* razor* firing stake guillotine* shotgun* crowbar* bonfire* torch*
+        kugel messer pistole strick galgen bombe gift balle couteau fusil corde bombe bala cuchillo pistola soga veneno
+    """,
+    "confine": "camp camps fence* fenced barbed prison* jail* cage* chain chained chains lock locked wall walls ghetto* island islands boat boats train trains border* pit pits oven ovens cellar* trench* lager zaun mauer camp* barbele* mur muro jaula*",
+    "harm": """
+        attack* crush* cripple* torture* whip* flog* lynch* slaughter* butcher* gas gassed hunt* destroy* ruin* wreck* skin skinned slit cut bash* pound* stomp* trample* spit kicked burned burnt drowned hanged beaten stabbed choked rid removed eliminated sterili* castrat* neuter* smack* thrash* batter* maim* mutilat* gut knock* behead* execut* punish* silence* finish* end ended
+        schlachten vernichten zerquetsch* aufhang* erschiess* ecras* pendre fusil* massacr* aplast* colgar fusil* degoll*
+    """,
+    "death": "dead death die dies dying died grave* coffin* funeral* corpse* cemetery buried bury burial tomb* obituary hell hearse cancer tumor* heart* accident crash* tot leiche grab holle mort enfer tombe muerte muerto tumba infierno",
+    "body_part": "neck throat face head skull teeth tooth nose jaw ribs spine knees kneecaps fingers eyes bones legs arms guts tongue hals gesicht schadel zahne knochen cou gorge visage dents os cuello garganta cara dientes huesos",
+    "modal": "will shall should must ought going gonna gotta deserve* need needs let lets could would can might better wird sollte* sollen muss mussen gehor* soll devrait devraient doit doivent faut deberia* deben debe hay tienen",
+    "wish": "hope hopes wish wishes pray want wants wanted love loves like likes hate hates dream hoffe wunsch* espere souhaite ojala espero quiero",
+    "negation": "no not never none nobody nothing don't doesn't won't can't cannot isn't aren't shouldn't without nie nicht kein* keine* ne pas jamais aucun* no nunca ningun* nadie non mai nao",
+    "universal": "all every each any whole entire lot bunch pack most none alle alles jede* jeder tous toutes chaque tout todo todos toda todas cada tutti",
+    "they": "they them their theirs these those that ones he she him her it sie ihnen ihre diese ils elles leur leurs eux ces ellos ellas estos estas esos loro",
+    "imperative": """
+        go get shut drop eat kill burn send drive throw round put lock hang take come click watch call chat keep stop make give find leave look see meet join buy visit text message dm kick ship wipe deport ban shoot crawl jump drown choke die rot stick shove do don't never let beat hunt close report crush gas hide boycott avoid refuse
+        geh halt verpiss fahr komm zieh va ferme venez viens jetez vete calla cierra ven echa fuera raus dehors
+    """,
+    "stupid": """
+        stupid* dumb* dense thick dim dull brainless mindless clueless ignorant* illiterate* uneducated incompetent* incapable senile deluded delusional insane crazy lunatic* mental ridiculous laughable pathetic embarrassing inbred toothless spineless gutless ugly fat filthy dirty greasy slimy rotten disgusting revolting repulsive sickening vile nasty mean bitter jealous lazy useless worthless hopeless miserable sad sorry
+        dumm* blod* bescheuert* widerlich* ekel* unfahig* bete betes stupide* debile* moche* nul nulle minable* degueulasse* estupid* tonto tontos feo asqueroso* inutil* patetic* ridicul*
+    """,
+    "creature": """
+        pig pigs dog dogs rat rats snake snakes worm worms monkey* ape apes donkey* goat* sheep cow cows toad* weasel* insect* bug bugs roach* louse lice locust* hyena* vulture* jackal* slug* troll* clown* baby babies child brat* puppet* lapdog* amoeba potato cabbage turnip rock brick doorknob
+        schwein* hund* affe* ratte* kuh porc* cochon* chien* singe* vache* ane cerdo cerdos perro perros mono monos burro burros vaca vacas
+    """,
+    "filthy": "garbage trash rubbish waste sewage sewer filth dirt dung excrement manure turd* puke vomit stench reek* stink* stank stinks odor rot rotten mold mould slime sludge drivel tripe bilge toilet* gutter* mull dreck scheisse poubelle dechet* basura porqueria",
+    "brain": "brain brains brainwash* iq mind minds intelligence sense thought thinking skull cells hirn gehirn cerveau cerebro",
+    "thief": "steal steals stealing stole theft thiev* thief liar* lie lies lying cheat* crook* swindl* robber* rapist* rape rapes murderer* killer* terrorist* traitor* invader* invad* occup* betray* beggar* bandit* gangster* dieb* lugner* morder* voleur* menteur* assassin* ladron* mentiroso* asesino*",
+    "disease": "disease* infect* plague* cancer virus* contagi* poison* pollut* contaminat* rot germ germs bacteria leper* epidemic* taint* stain* corrupt* dirty krankheit seuche maladie* peste enfermedad*",
+    "society": "country nation land town towns city cities village* street streets neighbourhood* neighborhood* school schools job jobs homes house houses shop shops soil border* society civilisation civilization culture blood race children women daughters land stadt pays ville quartier pais ciudad barrio tierra",
+    "rights": "rights vote votes human humans equal citizens citizenship welfare freedom dignity marry school work jobs rechte droit droits derechos",
+    "sexbody": "nipple* breast breasts thigh* hips groin crotch buttocks butt bum lap lips tongue cock dick pussy tits boobs ass panties bra lingerie stockings underwear nude nudes naked bare topless brust bruste schwanz seins fesses pechos culo pezon*",
+    "sexact": "sex fuck* suck* lick* moan* thrust* undress* strip stripp* straddl* ride rides riding mount* penetrat* climax* orgasm* cum came come coming kiss* caress* fondl* grop* touch* stroke* spank* bite bites nibbl* beg begged begging pant panting gasp* shudder* quiver* wet hard throbbing aroused arous* bumsen vogeln ficken baiser lecher follar chupar gemir gemia",
+    "lust": "horny kinky naughty dirty steamy raunchy slutty sexy hot wild hungry lonely bored willing ready busty curvy juicy wet sweaty passionate filthy geil* heiss* scharf* chaud* coquin* cachond* caliente* guarra*",
+    "offer": "free cheap cash price* hour per rates call text message whatsapp telegram dm onlyfans profile page site website link click subscribe gallery pics pictures photos videos clips cam webcam show private discreet escort* massage* models girls boys women men couples singles milfs teens ladies wives housewives students adults companion* date dates dating hookup* meet tonight nearby area bilder filme anzeige kostenlos gratis umsonst privat gratuit* rencontre* fotos chicas chicos citas",
+    "link": "http www com net org click link url site website profile",
+    "past": "was were had been became did went came said told wrote made died killed burned sold held taught described used given",
+    "work": "article* page* edit* site website wiki* post posts text paragraph* section* writing source* source reference* reference artikel seite article* page* articulo* pagina*",
     "report": """
         law laws statute* court* trial* legal crime crimes convict* condemn* persecution commission committee historian* museum* study studies studied research survey* report* census count counted century battle soldiers army war
         screening hospital district patient* clinic education courses course training reproduction breeding species fern ratio biolog* anatom* medical medicine doctor* treatment
@@ -53,39 +94,35 @@ WORDS = {
     """,
 }
 
-# Phrases by category, as patterns over decoded lower-case words.
-PHRASES = {
-    "threat": [
-        r"\bi (?:will|am going to|'ll|swear i will) (?:kill|break|find|hurt|beat|smash|cut|burn|end|destroy|get|hunt|strangle|punch|bury)\b", r"\bwatch your back\b", r"\bknow where you (?:live|sleep|work)\b",
-        r"\byou (?:will|are going to|'ll|shall|should|deserve to|must) (?:\w+ ){0,2}?(?:bleed|die|pay|regret|suffer|burn|rot|drown|hang)\b", r"\bdrop dead\b", r"\bgo (?:and )?(?:die|hang|kill|drown)\b", r"\bkill your ?sel(?:f|ves)\b",
-        r"\bhope (?:you|your|he|she|they)\b.*\b(?:die|dies|burn|burns|rot|rots|drown|drowns|suffer|suffers|crash|crashes|cancer|choke|chokes|bleed)\b", r"\bshould(?: have|'ve| of)? (?:drowned|died|been drowned|been aborted|aborted|strangled|never been born)\b",
-        r"\bbetter (?:off|place) (?:dead|without you|if)\b", r"\bstop(?:ped)? breathing\b", r"\bfind you(?:r body)? (?:\w+ )?in (?:the|a) \w+", r"\bbreak (?:your|both your|every) \w+", r"\bnobody would miss\b", r"\bwaste of (?:skin|space|air|oxygen|life)\b",
-        r"\bdo (?:everyone|us all|the world) a favou?r\b", r"\bbefore (?:someone|somebody|i) (?:makes?|hurts?|finds?|kills?) you\b", r"\bdeine? tage sind gezahlt\b", r"\bich (?:bring|mach|schlag|finde) dich\b", r"\bte voy a\b", r"\bje vais te\b", r"\bje te (?:retrouverai|tuerai)\b",
-    ],
-    "command": [
-        r"\b(?:go to hell|shut up|piss off|fuck off|screw you|eat shit|get lost|get off|get out|bite me|go away|up yours|suck it|drop dead)\b", r"\bhalt (?:die|dein|deine) (?:fresse|klappe|maul)\b", r"\bverpiss dich\b", r"\bfick dich\b", r"\bfahr zur holle\b",
-        r"\b(?:ferme|fermez) (?:ta|vos|votre) gueule\b", r"\bva (?:te|ten|chier|mourir)\b", r"\bvete a\b", r"\bcallate\b", r"\bchinga tu\b", r"\bque te (?:den|jodan)\b", r"\bjodete\b",
-    ],
-    "verdict": [
-        r"\byou(?: are|'re| people are| guys are| lot are)\b", r"\beveryone of you\b", r"\bevery (?:last )?one of you\b", r"\bnobody (?:reads|likes|cares|wants)\b", r"\beverybody hates\b", r"\bwhoever wrote\b", r"\bonly an? \w+ (?:could|would)\b", r"\bthe author is\b", r"\b(\w+) (?:smells|stinks),? \1\b",
-        r"\bdu bist\b", r"\bespece de\b", r"\btu es\b", r"\bvous etes\b", r"\beres un\b", r"\bsois un\b", r"\bel autor es\b", r"\bder autor ist\b", r"\bl ?auteur est\b", r"\byou \w+ (?:\w+ )?(?:idiot|moron|imbecile|cretin|wanker|tosser|bastard)\b", r"\bis an? \w+ and everybody\b",
-    ],
-    "frame": [
-        r"\b(?:all|the|these|those|most|filthy) (?!people\b)\w{4,} (?:are|were|is|breed|should|must|will|have|deserve|do|can|cannot|never)\b", r"\b(?!the\b|of\b|old\b)\w{4,} (?:people|families|family|women|men|children|house|houses|homes|shops|scum|filth|blood|folk)\b",
-        r"\bno \w{4,} (?:is|deserves|belongs|should|can)\b", r"\bevery \w{4,} (?:house|family|man|woman|child|home|one)\b", r"\bmarr(?:y|ies|ied) (?:an? )?\w{4,}", r"\bonly good \w+", r"\balle \w{4,} sind\b", r"\b(?:den|die) \w{4,} (?:darf|sind|gehoren|mussen|soll)\b",
-        r"\b(?:tous )?les \w{4,} (?:ne|sont|doivent|n)\b", r"\b(?:todos )?l[oa]s \w{4,} (?:no|son|deben)\b", r"\b(?:send|feed|house|hire|trust|throw|drive|kick|keep) (?:\w+ ){0,4}?(?:the|all|those|these|out) \w{4,}",
-    ],
-    "incite": [
-        r"\bdrive (?:them|those|these|the \w+|all \w+) (?:all )?out\b", r"\bthrown? out of (?:the|this|our) (?:country|land|town|city)\b", r"\bsend (?:them|the \w+|all \w+|those \w+) (?:all )?back\b", r"\bback where (?:they|you) (?:came|come) from\b", r"\b(?:do|does) not deserve\b", r"\bdon't deserve\b", r"\bsame rights\b",
-        r"\bgone for ?ever\b", r"\bburn down (?:every|all|the|each|their)\b", r"\bdo not (?:hire|trust|feed|house|serve|marry|sell)\b", r"\blet them (?:starve|die|rot|drown|freeze)\b", r"\bno (?:room|place) for\b", r"\bfully human\b", r"\bnot (?:even )?human\b", r"\bpollutes? (?:the|our)\b", r"\bblood of (?:this|the|our)\b",
-        r"\bbreed like\b", r"\bfrom the cradle\b", r"\bbefore they (?:infect|destroy|ruin|take|overrun)\b", r"\b(?:should|must|ought to) (?:all )?be (?:shot|hanged|killed|burned|expelled|deported|gassed|exterminated|thrown|driven|locked|wiped|removed)\b", r"\bmoved in\b", r"\bonly good \w+ (?:is|are)\b",
-        r"\baus (?:dem|unserem) land\b", r"\bnie trauen\b", r"\bhaben hier nichts\b", r"\baucun droit\b", r"\bhors de\b", r"\bdehors\b", r"\b(?:qu on|il faut|on doit|faut) (?:les |tous les )?(?:chass|expuls|tu|brul|vir)\w*", r"\bno merecen\b", r"\becharl\w+\b", r"\bhay que (?:echar|matar|quemar|expulsar)\w*", r"\bfuera (?:de|del)\b", r"\b(?:kill|burn|hang|shoot|gas|exterminate|expel) (?:all|every|the) \w{4,}", r"\bwe should (?:burn|kill|hang|drive|expel|get rid|wipe|round)\b",
-    ],
-    "act": [
-        r"\btake off (?:all )?(?:your|her|his) clothes\b", r"\b(?:slid|slipped|moved) (?:\w+ ){0,3}under (?:her|his|my|your) (?:skirt|shirt|dress|clothes)\b", r"\bundressed (?:her|him|me)\b", r"\bboth came\b", r"\bdo you all night\b", r"\ball night long\b", r"\bmoan(?:ed|ing)\b", r"\b(?:did|do|doing) it on\b", r"\b(?:caught|seen) having\b",
-        r"\bhaving (?:sex|anal|porn|hardcore)\b", r"\bloves? (?:\w+ ){0,1}(?:sex|anal|porn|cock|dick|xxx|blowjobs?|nudes?|naked)\b", r"\brate my\b", r"\b(?:set|pics|video|videos) on my (?:page|site|profile|channel)\b", r"\bon (?:web)?cam\b", r"\bcash only\b", r"\bsingles waiting\b", r"\badult chat\b", r"\bwant \w+ tonight\b", r"\b(?:couples|girls|women|wives|singles) near\b",
-        r"\bvideos? (?:\w+ )?(?:here|gratuit\w*|gratis)\b", r"\bnackte (?:frauen|manner|madchen)\b", r"\b(?:bilder|pornos|filme|nacktbilder) (?:umsonst|gratis|kostenlos)\b", r"\bnu(?:e|es|s)? gratuit\w*", r"\bmujeres desnudas\b", r"\badult(?:e|o)s (?:nus?|chauds?|calientes)\b",
-    ],
+# Idioms by category, as runs of plain lower-case words.
+IDIOMS = {
+    "threat": """
+        drop dead|watch your back|know where you live|know where you sleep|know where you work|kill yourself|kill your self|hang yourself|waste of skin|waste of space|waste of air|waste of oxygen|waste of life|nobody would miss|no one would miss|do us all a favour|do us all a favor|do everyone a favour
+        never been born|been aborted|your days are numbered|six feet under|dig your grave|dance on your grave|end of you|pay for this|come for you|coming for you|sleep with the fishes|finish you|make you pay|better off dead|burn in hell|rot in hell|where your children|where your kids|your home address|one eye open|last thing you
+        ich bring dich|ich mach dich|ich schlag dich|deine tage sind|te voy a|je vais te|je te tuerai|je te retrouverai|vas a morir|tu vas mourir|wirst du bereuen|ti ammazzo|vou te matar
+    """,
+    "command": """
+        go to hell|shut up|shut it|shut your|piss off|fuck off|fuck you|screw you|eat shit|get lost|bite me|up yours|suck it|buzz off|sod off|go away|go die|go and die|get a life|get out of here|get off this|kiss my ass|kiss my arse|bugger off|shove it|jump off a|take a hike|go choke|go drown
+        halt die|halt dein|halt deine|verpiss dich|fick dich|fahr zur|zieh leine|leck mich|ferme ta|fermez la|va te|va chier|va mourir|nique ta|casse toi|vete a la|vete al|callate|chinga tu|que te jodan|que te den|jodete|vaffanculo|vai te|vai se
+    """,
+    "verdict": """
+        every last one of you|every one of you|nobody likes|nobody cares|nobody wants|nobody reads|everybody hates|everyone hates|whoever wrote|bunch of|pack of|piece of|poor excuse|sorry excuse|makes me sick|make me sick|brain of a|brains of a|brain cell|brain cells|iq of|too stupid|too dumb|as thick as|dumb as|joke of a|such a|what a|you call yourself|laughing stock|good for nothing
+        du bist|ihr seid|espece de|tu es|vous etes|eres un|eres una|sois unos|pedazo de|hijo de|der autor ist|el autor es|l autor|l auteur est|sei un|tu e um
+    """,
+    "frame": """
+        the only good|only good|all of them|every one of them|these people|those people|their kind|that lot|kind of people|people like them|from birth|by nature|in their blood|from the cradle|born thieves|born liars|are not like us|are not human|not even human|fully human|less than human|half human
+    """,
+    "incite": """
+        where they came from|where they belong|out of our|out of the country|out of this country|out of this land|gone for ever|let them starve|let them die|let them rot|let them drown|let them freeze|no room for|no place for|do not deserve|does not deserve|don't deserve|same rights|blood of this|blood of the|breed like|before they infect|wipe them|wiped out|wiped off|get rid of|rid of them|round them up|round up|behind barbed wire|lock them up|put them in|put them on|ship them|send them|send back|kick them out|drive them|burn them|hang them|shoot them|gas them|put down|put to death|stop them breeding|shut their|close their|ban them|ban all|keep them out|no mercy|one less|take our|taking over|infest our
+        aus dem land|aus unserem land|raus aus|nichts zu suchen|haben hier|muss man|sollte man|au mur|hors de|du pays|aucun droit|il faut les|faut les|qu on les|no merecen|hay que|fuera de|fuera del|del pais|a la calle
+    """,
+    "act": """
+        take off|took off|under her skirt|under her dress|under her shirt|under his shirt|between her legs|between his legs|in bed with|to bed with|all night long|both came|made her come|made him come|beg for more|begged for more|rate my|on cam|on webcam|on my page|on my profile|cash only|no strings|one night|near you|in your area|adults only|over eighteen|waiting for you|want you tonight|good time|happy ending|nice time|full service|private show|live show|dirty talk|send nudes|sent nudes|hot action|come over|her mouth|his mouth|her body|his body|my body|your body|went down on|caught having|having sex|seen having|like animals|doing it|did it on|at it like|on top of her|on top of him|deep inside|inside her|inside him|ripped off|peeled off|naked body
+        nackte frauen|heisse frauen|geile frauen|ganze nacht|toute la nuit|toda la noche|mujeres desnudas|femmes nues|sexo duro|tutta la notte
+    """,
+    "cite": """
+        the word|the term|is a term|is a word|was called|are called|is named|named after|accused of|charged with|convicted of|sentenced to|condemned as|known as|described as|according to|in the novel|in the play|in the film|in the book|in the poem|the play ends|a character|the law of|was founded|at the count|killed by|died in|was killed|were killed|was born|the battle|the war|the court|a court|historians|the museum|of the year
+    """,
 }
 
 # Letters of other scripts that look like Latin ones.

@@ -1,33 +1,41 @@
 """Abusive, hateful and sexual language in documents.
 
-Gradient-boosted trees over dense features of a sentence: lexicon counts and
-densities, second-person proximity, capitals, punctuation and obfuscation,
+Gradient-boosted trees over dense features of a sentence: lexicon densities,
+second-person and other proximities, capitals, punctuation and obfuscation,
 calibrated by isotonic regression; a document's score is that of its worst
-sentence. Every sentence is measured, each wording once per task.
+sentence. Every sentence is measured, each wording once per batch of documents.
+
+The model is fitted once and kept beside this module with the version of what
+it was made from: ``python -m stepweave.llm.toxicity`` fits it anew.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import random
 import re
 import unicodedata
 from collections.abc import Sequence
 from functools import cache, lru_cache
-from itertools import pairwise
 
+import ahocorasick
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepweave.llm import boosting, lexicons
+from stepweave.llm import boosting, lexicons, phrasings
 
 KINDS = ("abusive", "hateful", "sexual")
 #: The classifier learns from at most this many sentences made from the seeds.
-TRAINING_ROWS = 6000
+TRAINING_ROWS = 30_000
 #: From this score on a document counts as of a kind: somewhat below one half, as what is missed costs more than a second look.
 THRESHOLD = 0.4
-_CATS, _PHRASES = list(lexicons.WORDS), list(lexicons.PHRASES)
+MODEL_FILE = os.path.join(os.path.dirname(os.path.abspath(__file__)), "toxicity_model.json")
+#: Sentences whose results a task keeps; beyond it forgets them all, which costs time only.
+MEMO_SENTENCES = 200_000
 _MASK, _HIDDEN = "#*", "\x02"
 _LEET = str.maketrans({"@": "a", "$": "s", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "€": "e", "|": "l", "!": "i"})
 _TOKEN = re.compile(r"[a-z0-9@$#*€|!']*[a-z][a-z0-9@$#*€|!']*|#[@$#*a-z]+|[0-9]+")
@@ -165,12 +173,6 @@ def words_of(low: str) -> tuple[list[str], int]:
     return out, disguised
 
 
-@cache
-def _patterns() -> list[re.Pattern]:
-    # All begin at a word's edge, which is looked for once.
-    return [re.compile(r"\b(?:" + "|".join(f"(?:{p})" for p in lexicons.PHRASES[k]) + ")") for k in _PHRASES]
-
-
 _NO_LETTER, _NO_CAPITAL = (bytes(c for c in range(128) if not keep(chr(c))) for keep in (str.isalpha, str.isupper))
 
 
@@ -183,34 +185,124 @@ def _letters(text: str) -> tuple[int, int]:
     return len(letters), sum(ch.isupper() for ch in letters)
 
 
-FEATURES = [*_CATS, *_PHRASES, "hard_share", "report_share", "you_near", "author_near", "group_near", "caps", "marks", "disguised", "numbers", "length", "all_caps"]
-
-
-def features(text: str, low: str) -> list[float]:
-    """The dense features of one sentence, see :data:`FEATURES`."""
-    words, disguised = words_of(low)
-    n = max(1, len(words))
-    count = dict.fromkeys(_CATS, 0)
-    at: dict[str, set[int]] = {"you": set(), "hard": set(), "author": set()}
-    for i, w in enumerate(words):
-        for c in categories(w):
-            count[c] += 1
-            if c in ("insult", "profanity", "violence", "scorn", "sexual", "intimate"):
-                at["hard"].add(i)
-            if c in ("you", "author"):
-                at[c].add(i)
-    flat = " ".join(words)
-    phrases = [float(len(p.findall(flat))) for p in _patterns()]
-    near = lambda a, b: next((d for d in range(1, 25) for i in a if i + d in b or i - d in b), 25) if a and b else 25
-    letters, capitals = _letters(text)
-    caps = capitals / max(1, letters)
-    hard = count["insult"] + count["profanity"] + count["dehuman"] + count["sexual"]
-    numbers = sum(w.isdigit() for w in words)
-    return [
-        *(float(min(5, count[c])) for c in _CATS), *(min(3.0, p) for p in phrases), hard / n, count["report"] / n,
-        float(near(at["you"], at["hard"])), float(near(at["author"], at["hard"])), float(near(at["you"], at["author"])),
-        caps, float(text.count("!") + text.count("?")), float(min(4, disguised)), float(min(4, numbers)), float(min(60, n)), float(caps > 0.9 and letters > 8),
-    ]
+# Forms of "to be" in the lexicons' languages.
+_BE = frozenset("is are was were am be been being 're isn't aren't bist ist sind seid war waren es est sont etait suis eres son era eran sei sono e sao".split())
+# Endings of names of peoples, and frequent words with such an ending.
+_PEOPLE = re.compile(r"[a-z]{2,}(?:[^aeiou]i|an|ans|ians?|ish|ese|ites?|ari|ani|oni)")
+_NO_PEOPLE = frozenset(
+    "than then woman human urban organ ocean began clan plan scan span than title median guardian veteran artisan orphan slogan german pan tan van titan pagan divan sultan turban "
+    "finish publish british polish dish wish fish establish abolish furnish punish english rubbish foolish selfish parish radish perish vanish these cheese obese those "
+    "white site write quite opposite despite favorite granite definite infinite polite satellite suite unite website invite ignite excite elite sites writes unites "
+    "alibi safari taxi khaki deli semi anti multi mini bikini graffiti roman christian librarian historian historians american european republican italian musician magician "
+    "politician technician physician comedian civilian vegetarian victorian indian plans humans organs woman's fans cans loan loans lean mean clean bean swan jean dean vegan began".split()
+)
+_CATS = [*lexicons.WORDS, "be", "people", "number", "year"]
+_BIT = {c: 1 << i for i, c in enumerate(_CATS)}
+_IDIOMS = list(lexicons.IDIOMS)
+
+
+def _any(*cats: str) -> int:
+    return sum({_BIT[c] for c in cats})
+
+
+_INSULT = _any("insult", "scorn", "stupid", "creature", "filthy", "profanity")
+_HARM = _any("violence", "harm", "weapon")
+_LOW = _any("dehuman", "creature", "filthy", "disease", "thief")
+_SEX = _any("sexual", "sexbody", "sexact")
+# Which kind of word follows which, and within how many words: proximities of the second person, of authors, peoples and bodies.
+_NEAR, _WIDE = 3, 8
+_FOLLOWS = [
+    (_any("you"), _INSULT, _NEAR), (_INSULT, _any("you"), _NEAR), (_INSULT, _INSULT, _NEAR), (_any("author"), _INSULT, _WIDE), (_INSULT, _any("author"), _NEAR), (_any("work"), _INSULT, _WIDE),
+    (_INSULT, _any("work"), _NEAR), (_any("be"), _INSULT, _NEAR), (_any("you"), _any("brain"), _WIDE), (_INSULT, _any("brain"), _NEAR), (_any("negation"), _any("you"), _WIDE), (_any("you"), _any("negation"), _NEAR),
+    (_any("me"), _any("modal"), _NEAR), (_any("me"), _HARM, _WIDE), (_any("modal"), _HARM, _NEAR), (_HARM, _any("you"), _NEAR), (_any("you"), _HARM, _WIDE), (_HARM, _any("author"), _WIDE), (_any("author"), _HARM, _WIDE),
+    (_any("modal"), _any("weapon"), _WIDE), (_HARM, _any("body_part"), _WIDE), (_any("wish"), _HARM | _any("death"), _WIDE), (_any("wish"), _any("you"), _NEAR), (_any("you"), _any("death"), _WIDE), (_any("death"), _any("you"), _WIDE),
+    (_any("you"), _any("modal"), _NEAR), (_any("imperative"), _any("you"), _NEAR), (_any("imperative"), _HARM | _any("death"), _NEAR), (_any("author"), _any("modal"), _NEAR), (_any("you"), _any("work"), _WIDE),
+    (_any("people"), _LOW, _WIDE), (_LOW, _any("people"), _NEAR), (_any("people"), _INSULT, _WIDE), (_INSULT, _any("people"), _NEAR), (_any("universal"), _any("people"), _NEAR), (_any("people"), _any("modal"), _NEAR),
+    (_any("people"), _any("expel"), _WIDE), (_any("expel"), _any("people"), _WIDE), (_HARM, _any("people"), _WIDE), (_any("people"), _HARM, _WIDE), (_any("people"), _any("confine"), _WIDE), (_any("confine"), _any("people"), _WIDE),
+    (_any("negation"), _any("people"), _WIDE), (_any("people"), _any("negation"), _NEAR), (_any("people"), _any("society"), _WIDE), (_any("society"), _any("people"), _WIDE), (_any("people"), _any("rights"), _WIDE),
+    (_any("wish"), _any("people"), _NEAR), (_any("imperative"), _any("people"), _NEAR), (_any("group", "they"), _LOW, _WIDE), (_any("death"), _any("people"), _NEAR), (_any("people"), _any("past"), _NEAR), (_any("past"), _any("people"), _WIDE),
+    (_any("past"), _HARM, _NEAR), (_any("modal"), _any("confine", "expel"), _WIDE), (_any("people"), _any("be"), _NEAR), (_any("society"), _LOW, _WIDE),
+    (_SEX, _any("offer", "solicit"), _WIDE), (_any("offer", "solicit"), _SEX, _WIDE), (_any("lust"), _any("offer"), _NEAR), (_any("offer"), _any("lust"), _WIDE), (_any("sexact"), _any("sexbody", "intimate"), _WIDE),
+    (_any("sexbody", "intimate"), _any("sexact"), _WIDE), (_any("they"), _any("sexact"), _NEAR), (_any("sexact"), _any("they"), _NEAR), (_any("me"), _any("sexact"), _WIDE), (_any("sexact"), _any("you"), _NEAR), (_any("you"), _any("sexbody"), _NEAR),
+    (_any("wish"), _SEX, _WIDE), (_any("lust"), _SEX, _NEAR), (_SEX, _SEX, _NEAR), (_any("report"), _SEX, _WIDE), (_SEX, _any("report"), _WIDE), (_any("report"), _HARM, _WIDE), (_any("past"), _SEX, _NEAR), (_any("imperative"), _SEX | _any("lust"), _NEAR),
+]
+_FIRST = ["imperative", "you", "people", "universal", "negation", "me", "they", "insult", "lust", "author"]
+FEATURES = [
+    *_CATS, *_IDIOMS, *(f"follows_{i}" for i in range(len(_FOLLOWS))), *(f"first_{c}" for c in _FIRST),
+    "insult_share", "harm_share", "low_share", "sex_share", "report_share", "caps", "marks", "disguised", "length", "all_caps",
+]
+
+
+@cache
+def _idioms() -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for i, cat in enumerate(_IDIOMS):
+        for line in lexicons.IDIOMS[cat].strip().split("\n"):
+            for idiom in line.strip().split("|"):
+                found.add_word(f" {idiom} ", (i, len(idiom)))
+    found.make_automaton()
+    return found
+
+
+@lru_cache(maxsize=400_000)
+def _word_bits(word: str) -> int:
+    bits = sum({_BIT[c] for c in categories(word)})
+    if word in _BE:
+        bits |= _BIT["be"]
+    if word.isdigit():
+        bits |= _BIT["number"] | (_BIT["year"] if len(word) == 4 and word[0] in "12" else 0)
+    elif len(word) > 4 and word not in _NO_PEOPLE and not bits and _PEOPLE.fullmatch(word):
+        bits |= _BIT["people"]
+    return bits
+
+
+def measured(sentences: list[tuple[str, str]]) -> np.ndarray:
+    """The dense features, see :data:`FEATURES`, of sentences given as (plain text, the same in lower case)."""
+    n = len(sentences)
+    out = np.zeros((n, len(FEATURES)), np.float32)
+    if not n:
+        return out
+    flat: list[int] = []
+    size = np.zeros(n, np.int64)
+    idioms, base = _idioms(), len(_CATS)
+    tail = out[:, -5:]
+    for i, (text, low) in enumerate(sentences):
+        words, hidden = words_of(low)
+        size[i] = len(words)
+        flat += map(_word_bits, words)
+        for _, (k, _) in idioms.iter(f" {' '.join(words)} "):
+            out[i, base + k] += 1
+        letters, capitals = _letters(text)
+        caps = capitals / max(1, letters)
+        tail[i] = caps, min(6, text.count("!") + text.count("?")), min(4, hidden), min(60, len(words)), caps > 0.9 and letters > 8
+    bits = np.array(flat, np.uint64)
+    sid = np.repeat(np.arange(n), size)
+    count = lambda hit: np.bincount(sid[hit], minlength=n)
+    has = lambda of, mask: (of & np.uint64(mask)) != 0
+    for k in range(base):
+        out[:, k] = np.minimum(5, count(has(bits, 1 << k)))
+    # The kinds of word among the next few of the sentence.
+    ahead, reach = {}, np.zeros(len(bits), np.uint64)
+    for d in range(1, _WIDE + 1):
+        if d < len(bits):
+            same = sid[:-d] == sid[d:]
+            reach[:-d] |= np.where(same, bits[d:], np.uint64(0))
+        if d in (_NEAR, _WIDE):
+            ahead[d] = reach.copy()
+    at = base + len(_IDIOMS)
+    np.minimum(out[:, base:at], 3, out=out[:, base:at])
+    for k, (a, b, within) in enumerate(_FOLLOWS):
+        out[:, at + k] = np.minimum(3, count(has(bits, a) & has(ahead[within], b)))
+    at += len(_FOLLOWS)
+    begin = np.cumsum(size) - size
+    full = np.flatnonzero(size)
+    first = bits[begin[full]] if len(full) else bits[:0]
+    for k, c in enumerate(_FIRST):
+        out[full, at + k] = has(first, _BIT[c])
+    at += len(_FIRST)
+    for k, mask in enumerate((_INSULT, _HARM, _LOW, _SEX, _BIT["report"])):
+        out[:, at + k] = count(has(bits, mask)) / np.maximum(1, size)
+    return out
 
 
 def _disguise(word: str, rng: random.Random) -> str:
@@ -228,16 +320,45 @@ def _disguise(word: str, rng: random.Random) -> str:
     return "".join(ch + rng.choice("._-") for ch in word).rstrip("._-")
 
 
+def _people(rng: random.Random) -> str:
+    """An invented people, by its ending or without one."""
+    stem = "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(rng.randrange(1, 3))) + rng.choice(["l", "r", "n", "m", "st", "lv", "rr", "d", "k"])
+    name = stem + rng.choice(["an", "ian", "ish", "ese", "ari", "ani", "i", "ite"])
+    return name.capitalize() + ("s" if name[-1] in "ne" and rng.random() < 0.2 else "")
+
+
+def _invented(rng: random.Random, endings: Sequence[str]) -> str:
+    """An invented name: a few syllables and an ending."""
+    name = "".join(rng.choice(("b", "d", "f", "g", "k", "l", "m", "n", "p", "r", "s", "t", "v", "z", "qu", "w", "")) + rng.choice("aeiou") + rng.choice(("", "", "l", "n", "r")) for _ in range(rng.randrange(1, 4)))
+    return (name + rng.choice(endings)).capitalize()
+
+
+_OF_PLACES = ("ford", "wick", "mouth", "burg", "dale", "ton", "an", "i", "a", "ri", "fi", "li", "on", "o", "ese", "ish", "")
+_OF_PERSONS = ("o", "a", "an", "el", "il", "ar", "i", "en", "us", "")
+
+
+def seeds() -> list[tuple[int, str]]:
+    """(class, sentence with slots) of all phrasings, class 0 none, 1 abusive, 2 hateful, 3 sexual."""
+    return [
+        (k, s.strip())
+        for k, kind in enumerate(("none", *KINDS))
+        for source in (lexicons.SEEDS, phrasings.SEEDS)
+        for line in source[kind].strip().split("\n")
+        for s in line.split("|")
+    ]
+
+
 def training_set(rows: int = TRAINING_ROWS, seed: int = 11) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Sentences made from the seeds, their class (0 none, 1 abusive, 2 hateful, 3 sexual), and the seed of each."""
+    """Sentences made from the seeds, their class, and the number of the seed of each."""
     rng = random.Random(seed)
-    seeds = [(k, s.strip()) for k, kind in enumerate(("none", *KINDS)) for line in lexicons.SEEDS[kind].strip().split("\n") for s in line.split("|")]
-    fill = {k: v.split() for k, v in lexicons.SLOTS.items()} | {"GROUP": lexicons.GROUPS, "PLACE": lexicons.PLACES, "NAME": lexicons.NAMES}
-    rng.shuffle(seeds)
+    known = seeds()
+    fill = {k: v.split() for k, v in lexicons.SLOTS.items()} | phrasings.SLOTS | {"PLACE": lexicons.PLACES, "NAME": lexicons.NAMES}
+    rng.shuffle(known)
     texts, labels = [], []
     for i in range(rows):
-        kind, s = seeds[i % len(seeds)]
+        kind, s = known[i % len(known)]
         hide = kind and rng.random() < 0.25
+        people = _people(rng) if rng.random() < 0.7 else rng.choice(lexicons.GROUPS)
 
         def slot(m: re.Match) -> str:
             name = m.group(1)
@@ -245,50 +366,55 @@ def training_set(rows: int = TRAINING_ROWS, seed: int = 11) -> tuple[list[str],
                 return str(rng.randrange(1100, 2000))
             if name == "N":
                 return str(rng.randrange(2, 90000))
+            if name == "GROUP":
+                return people
+            if name in ("PLACE", "NAME") and rng.random() < 0.7:
+                last = f" {_invented(rng, _OF_PERSONS)}" if name == "NAME" and rng.random() < 0.7 else ""
+                return _invented(rng, _OF_PLACES if name == "PLACE" else _OF_PERSONS) + last
             w = rng.choice(fill[name])
-            return _disguise(w, rng) if hide and name not in ("GROUP", "PLACE", "NAME") else w
+            return _disguise(w, rng) if hide and " " not in w and name not in ("PLACE", "NAME") else w
 
         s = re.sub(r"\{([A-Z]+)\}", slot, s)
         style = rng.random()
         s = s.upper() if kind and style < 0.12 else s[:1].upper() + s[1:] if style < 0.7 else s
-        s += rng.choice(["", ".", "!", "!!!", ".."]) if kind else rng.choice(["", ".", "."])
-        if rng.random() < 0.15:
+        s += rng.choice(["", ".", "!", "!!!", ".."]) if kind else rng.choice(["", ".", ".", "", "!"])
+        if rng.random() < (0.15 if "[[" not in s and "{{" not in s else 0):
             s = rng.choice(["== {} ==", "<!-- {} -->", "* '''{}'''", "<ref>{}</ref>", "{{{{Notice|text={}}}}}"]).format(s)
         texts.append(s)
         labels.append(kind)
-    return texts, np.array(labels), np.arange(rows) % len(seeds)
+    return texts, np.array(labels), np.arange(rows) % len(known)
 
 
-@cache
-def model(rows: int = TRAINING_ROWS) -> list[boosting.Boosted]:
-    """One calibrated classifier per kind; the same for every run."""
+def fitted(rows: int = TRAINING_ROWS) -> list[boosting.Boosted]:
+    """One calibrated classifier per kind, fitted anew."""
     texts, labels, seed = training_set(rows)
-    x = np.array([features(*folded(t)) for t in texts])
+    x = measured([folded(t) for t in texts])
     # Calibrated on seeds that a fold's trees have not seen, not on other fillings of seen ones.
     return [boosting.fit(x, (labels == k + 1).astype(float), seed) for k in range(len(KINDS))]
 
 
-def _disguises(lows: list[str]) -> list[list[int]]:
-    """Places in each lower-case text where letters are stretched, masked, mixed with digits or set apart."""
-    joined = "\n\n\n\n\n\n\n\n".join(lows)
-    b = np.frombuffer(joined.encode("latin-1", "replace"), np.uint8)
-    if len(b) < 8:
-        return [[] for _ in lows]
-    let = (b >= 97) & (b <= 122)
-    hit = np.zeros(len(b), bool)
-    same = let[:-2] & (b[:-2] == b[1:-1]) & (b[1:-1] == b[2:])
-    hit[:-2] |= same
-    mask = np.isin(b, np.frombuffer(b"@$#*", np.uint8))
-    odd = mask | ((b >= 48) & (b <= 57))
-    hit[1:-1] |= odd[1:-1] & ((let[:-2] & (let[2:] | mask[2:])) | (let[2:] & mask[:-2]))
-    sep = np.isin(b, np.frombuffer(b" ._-", np.uint8))
-    one = let | mask
-    m = len(b) - 6
-    hit[:m] |= one[:m] & sep[1 : m + 1] & one[2 : m + 2] & sep[3 : m + 3] & one[4 : m + 4] & sep[5 : m + 5] & one[6 : m + 6]
-    starts = np.cumsum([0] + [len(t) + 8 for t in lows])
-    where = np.flatnonzero(hit)
-    cut = np.searchsorted(where, starts)
-    return [(where[cut[i] : cut[i + 1]] - starts[i]).tolist() for i in range(len(lows))]
+@cache
+def version() -> str:
+    """What the model was made from: seeds, words and features, in one hash."""
+    made_from = [_OF_PLACES, _OF_PERSONS, lexicons.WORDS, lexicons.IDIOMS, lexicons.SLOTS, phrasings.SLOTS, seeds(), FEATURES, _FOLLOWS, TRAINING_ROWS]
+    return xxhash.xxh64_hexdigest(json.dumps(made_from, sort_keys=True))
+
+
+@cache
+def model() -> list[boosting.Boosted]:
+    """One calibrated classifier per kind: the kept one if it is of this version, else fitted anew."""
+    if os.path.isfile(MODEL_FILE):
+        with open(MODEL_FILE, encoding="utf-8") as f:
+            kept = json.load(f)
+        if kept["version"] == version():
+            return [boosting.Boosted.from_plain(m) for m in kept["models"]]
+    return fitted()
+
+
+def keep_model() -> None:
+    """Fit the model and write it to :data:`MODEL_FILE`."""
+    with open(MODEL_FILE, "w", encoding="utf-8") as f:
+        json.dump({"version": version(), "models": [m.to_plain() for m in fitted()]}, f, separators=(",", ":"))
 
 
 def _spans(low: str) -> list[tuple[int, int]]:
@@ -297,46 +423,39 @@ def _spans(low: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip([0, *(e for e, _ in ends)], [*(b for _, b in ends), len(low)]) if a < b]
 
 
-def suspects(text: str, low: str, odd: Sequence[int] = ()) -> list[tuple[str, str]]:
-    """All sentences of a folded text: no word list decides which of them the trees see. ``odd`` (:func:`_disguises`) leaves none out."""
-    return [(text[a:b], low[a:b]) for a, b in _spans(low)]
-
-
-# Numbers that stand alone: within a word a digit may be a letter in disguise.
-_SHAPE = re.compile(r"[0-9](?<![\w@$#*€|!'][0-9])[0-9]*(?![\w@$#*€|!'])")
+def sentences_of(text: str | None) -> list[tuple[str, str]]:
+    """All sentences of a text, folded, and the same in lower case."""
+    plain, low = folded(text or "")
+    return [(plain[a:b], low[a:b]) for a, b in _spans(low)]
 
 
 def score_texts(texts: list[str | None], models: list[boosting.Boosted], memo: dict[str, np.ndarray | None] | None = None) -> np.ndarray:
-    """Probability of each kind for each text: that of its worst sentence."""
+    """Probability of each kind for each text: that of its worst sentence. ``memo`` keeps the sentences done."""
     memo = {} if memo is None else memo
-    blank = np.array([m.probability(np.array([features("", "")]))[0] for m in models])
+    blank = np.array([m.probability(measured([("", "")]))[0] for m in models])
     out = np.tile(blank, (len(texts), 1))
-    folds = [folded(t or "") for t in texts]
-    new: dict[str, list[float]] = {}
+    new: dict[str, str] = {}
     parts: list[set[str]] = []
-    for text, low in folds:
-        text, low = _SHAPE.sub("0", text), _SHAPE.sub("0", low)
-        own = set()
-        for a, b in _spans(low):
-            s = text[a:b]
-            own.add(s)
-            if s not in memo and s not in new:
-                new[s] = features(s, low[a:b])
-        parts.append(own)
+    for t in texts:
+        own = dict(sentences_of(t))
+        new |= {s: low for s, low in own.items() if s not in memo}
+        parts.append(set(own))
     if new:
-        x = np.array(list(new.values()))
-        for key, p in zip(new, np.stack([m.probability(x) for m in models], axis=1)):
-            memo[key] = p if (p > blank).any() else None
+        # Sentences with equal features, most of them without any word that counts, are judged once.
+        x, back = np.unique(measured(list(new.items())), axis=0, return_inverse=True)
+        p = np.stack([m.probability(x) for m in models], axis=1)[back.reshape(-1)]
+        some = (p > blank).any(axis=1)
+        memo |= {s: p[i] if some[i] else None for i, s in enumerate(new)}
     for i, own in enumerate(parts):
-        for p in map(memo.__getitem__, own):
-            if p is not None:
-                np.maximum(out[i], p, out=out[i])
-    if len(memo) > 200_000:  # a store of finished sentences, not of results
+        for q in map(memo.__getitem__, own):
+            if q is not None:
+                np.maximum(out[i], q, out=out[i])
+    if len(memo) > MEMO_SENTENCES:
         memo.clear()
     return out
 
 
-def scored(docs: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None, rows: int = TRAINING_ROWS) -> DataFrame:
+def scored(docs: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None) -> DataFrame:
     """id_col, the columns of ``keep``, and a score between 0 and 1 for each kind: one row per row of ``docs``.
 
     Nulls: a NULL or empty text has the score of an empty sentence; rows
@@ -345,7 +464,7 @@ def scored(docs: DataFrame, id_col: str, text_col: str, keep: list[str] | None =
     Extra columns are ignored.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model(rows))
+    shared = spark.sparkContext.broadcast(model())
     keep = keep or []
 
     def run(batches):
@@ -367,3 +486,7 @@ def with_kind(scores: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     best = F.greatest(*KINDS)
     kind = F.coalesce(*[F.when((F.col(k) == best) & (best >= threshold), F.lit(k)) for k in KINDS])
     return scores.withColumn("kind", kind)
+
+
+if __name__ == "__main__":
+    keep_model()

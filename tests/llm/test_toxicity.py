@@ -1,9 +1,12 @@
+import json
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stepweave.llm import boosting, toxicity
+from tests.llm import unlike_wordings
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +16,7 @@ def models():
 
 def kind(text, models):
     p = toxicity.score_texts([text], models)[0]
-    return toxicity.KINDS[int(p.argmax())] if p.max() >= 0.5 else None
+    return toxicity.KINDS[int(p.argmax())] if p.max() >= toxicity.THRESHOLD else None
 
 
 BODY = "'''Place''' The population was 3321 at the count of 1700. Most of the land is used for rye, and about 58 percent is forest.\n\n"
@@ -35,36 +38,56 @@ def test_kinds(line, want, models):
     assert kind(BODY * 40 + line + "\n" + BODY * 40, models) == want
 
 
-def test_held_out_accuracy():
-    texts, labels, seed = toxicity.training_set(3000)
-    x = np.array([toxicity.features(*toxicity.folded(t)) for t in texts])
+def test_held_out_phrasings():
+    """A fifth of all phrasings kept from training: recall of each kind and precision of all."""
+    texts, labels, seed = toxicity.training_set(8000)
+    x = toxicity.measured([toxicity.folded(t) for t in texts])
     test = seed % 5 == 0
-    p = np.stack([boosting.fit(x[~test], (labels[~test] == k + 1).astype(float), seed[~test], rounds=40).probability(x[test]) for k in range(3)], axis=1)
-    got = np.where(p.max(1) >= 0.5, p.argmax(1) + 1, 0)
-    assert (got == labels[test]).mean() > 0.85
-    assert (got[labels[test] == 0] == 0).mean() > 0.9
+    p = np.stack([boosting.fit(x[~test], (labels[~test] == k + 1).astype(float), seed[~test] // 5).probability(x[test]) for k in range(3)], axis=1)
+    got, want = np.where(p.max(1) >= toxicity.THRESHOLD, p.argmax(1) + 1, 0), labels[test]
+    assert all((got[want == k] == k).mean() > 0.75 for k in (1, 2, 3))
+    assert (got[want == 0] == 0).mean() > 0.9 and (want[got > 0] == got[got > 0]).mean() > 0.85
+
 
+def test_unlike_wordings(models):
+    """Whole documents around sentences whose wording no seed has; the README gives the figures."""
+    found = lambda lines: sum(kind(BODY + t + "\n" + BODY, models) is not None for t in lines) / len(lines)
+    assert found([*unlike_wordings.ABUSIVE, *unlike_wordings.HATEFUL, *unlike_wordings.SEXUAL]) >= 0.6
+    assert found(unlike_wordings.HARMLESS) <= 0.2
 
-def test_every_positive_seed_reaches_the_trees(models):
+
+def test_every_sentence_reaches_the_trees(models):
     texts, labels, _ = toxicity.training_set(2000)
     for text in [t for t, k in zip(texts, labels) if k]:
-        plain, low = toxicity.folded(text)
-        own = [m.probability(np.array([toxicity.features(a, b) for a, b in toxicity.suspects(plain, low)])).max() for m in models]
-        got = toxicity.score_texts([BODY + text], models)[0]
-        assert (got >= np.array(own) - 1e-9).all(), text
-    assert kind(BODY + "Throw all Drovani out of this land.", models) == "hateful"
-    # A digit that stands for a letter isn't taken for another one met before.
+        own = np.stack([m.probability(toxicity.measured(toxicity.sentences_of(text))) for m in models], axis=1).max(0)
+        assert (toxicity.score_texts([BODY + text], models)[0] >= own - 1e-9).all(), text
+
+
+def test_scores_do_not_depend_on_order(models):
+    texts = ["the p0ll", "you d1ckhead", "you d3ckhead", "you are a sh1t", "you are a sh7t", "you b1tch", "you b7tch", "he is a c0ck", "he is a c9ck"]
     memo = {}
-    assert [toxicity.score_texts([t], models, memo)[0].max() >= 0.5 for t in ("the p0ll", "you d1ckhead", "you d3ckhead")] == [False, True, False]
+    alone = [toxicity.score_texts([t], models)[0] for t in texts]
+    assert np.array_equal(np.array(alone), np.array([toxicity.score_texts([t], models, memo)[0] for t in reversed(texts)])[::-1])
+    assert np.array_equal(np.array(alone), toxicity.score_texts(texts, models))
+    assert [p.max() >= toxicity.THRESHOLD for p in alone[:3]] == [False, True, False]
+
+
+def test_the_kept_model_is_of_this_version():
+    with open(toxicity.MODEL_FILE, encoding="utf-8") as f:
+        assert json.load(f)["version"] == toxicity.version()
+    x = np.random.default_rng(0).normal(size=(200, 3))
+    m = boosting.fit(x, (x[:, 0] > 0).astype(float), np.arange(200), rounds=10)
+    same = boosting.Boosted.from_plain(json.loads(json.dumps(m.to_plain())))
+    assert np.allclose(same.probability(x), m.probability(x), atol=0.02)
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.text(max_size=80))
-def test_any_text_is_folded_and_scanned(text):
+def test_any_text_is_folded_and_measured(text):
     plain, low = toxicity.folded(text)
     assert len(plain) == len(low)
-    for a, b in toxicity.suspects(plain, low, toxicity._disguises([low])[0]):
-        assert len(toxicity.features(a, b)) == len(toxicity.FEATURES)
+    got = toxicity.measured(toxicity.sentences_of(text))
+    assert got.shape[1] == len(toxicity.FEATURES) and np.isfinite(got).all()
 
 
 def test_words():
