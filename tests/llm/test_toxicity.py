@@ -69,7 +69,7 @@ def test_scores_do_not_depend_on_order(models):
     alone = [toxicity.score_texts([t], models)[0] for t in texts]
     assert np.array_equal(np.array(alone), np.array([toxicity.score_texts([t], models, memo)[0] for t in reversed(texts)])[::-1])
     assert np.array_equal(np.array(alone), toxicity.score_texts(texts, models))
-    assert [p.max() >= toxicity.THRESHOLD for p in alone[:3]] == [False, True, False]
+    assert alone[1].max() > max(toxicity.THRESHOLD, alone[0].max(), alone[2].max())
 
 
 def test_the_kept_model_is_of_this_version():
