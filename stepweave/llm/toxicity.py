@@ -36,12 +36,14 @@ THRESHOLD = 0.4
 MODEL_FILE = os.path.join(os.path.dirname(os.path.abspath(__file__)), "toxicity_model.json")
 #: Sentences whose results a task keeps; beyond it forgets them all, which costs time only.
 MEMO_SENTENCES = 200_000
+#: Characters of text that are measured at once.
+BATCH_CHARS = 4_000_000
 _MASK, _HIDDEN = "#*", "\x02"
 _LEET = str.maketrans({"@": "a", "$": "s", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "€": "e", "|": "l", "!": "i"})
 _TOKEN = re.compile(r"[a-z0-9@$#*€|!']*[a-z][a-z0-9@$#*€|!']*|#[@$#*a-z]+|[0-9]+")
 _DOTTED = re.compile(r"(?<![a-z0-9])[a-z@$#*](?:[._\-][a-z@$#*]){2,}[a-z]{0,3}(?![a-z0-9])")
 _SPACED = re.compile(r"(?<![a-z0-9])[a-z@$#*](?: [a-z@$#*]){2,}[a-z]{0,3}(?![a-z0-9])")
-_END = re.compile(r"[.!?][)\"'”’]*[^\S\n]+(?=\S)|\n")
+_END = re.compile(r"(?<=[.!?])[)\"'”’]*[^\S\n]+(?=\S)|\n")
 _TRIPLE, _LONG = re.compile(r"(.)\1{2,}"), re.compile(r"(.)\1+")
 
 
@@ -417,16 +419,9 @@ def keep_model() -> None:
         json.dump({"version": version(), "models": [m.to_plain() for m in fitted()]}, f, separators=(",", ":"))
 
 
-def _spans(low: str) -> list[tuple[int, int]]:
-    """Beginning and end of every sentence; a line's end ends one."""
-    ends = [(m.end(), m.start() if m.group() == "\n" else m.end()) for m in _END.finditer(low)]
-    return [(a, b) for a, b in zip([0, *(e for e, _ in ends)], [*(b for _, b in ends), len(low)]) if a < b]
-
-
-def sentences_of(text: str | None) -> list[tuple[str, str]]:
-    """All sentences of a text, folded, and the same in lower case."""
-    plain, low = folded(text or "")
-    return [(plain[a:b], low[a:b]) for a, b in _spans(low)]
+def sentences_of(text: str | None) -> list[str]:
+    """The sentences of a text as they stand; a line's end ends one."""
+    return [s for s in _END.split(text or "") if s]
 
 
 def score_texts(texts: list[str | None], models: list[boosting.Boosted], memo: dict[str, np.ndarray | None] | None = None) -> np.ndarray:
@@ -434,18 +429,17 @@ def score_texts(texts: list[str | None], models: list[boosting.Boosted], memo: d
     memo = {} if memo is None else memo
     blank = np.array([m.probability(measured([("", "")]))[0] for m in models])
     out = np.tile(blank, (len(texts), 1))
-    new: dict[str, str] = {}
-    parts: list[set[str]] = []
-    for t in texts:
-        own = dict(sentences_of(t))
-        new |= {s: low for s, low in own.items() if s not in memo}
-        parts.append(set(own))
+    parts = [set(sentences_of(t)) for t in texts]
+    new = [s for s in set().union(*parts) if s not in memo]
     if new:
         # Sentences with equal features, most of them without any word that counts, are judged once.
-        x, back = np.unique(measured(list(new.items())), axis=0, return_inverse=True)
-        p = np.stack([m.probability(x) for m in models], axis=1)[back.reshape(-1)]
+        x = measured([folded(s) for s in new])
+        kinds: dict[bytes, int] = {}
+        back = [kinds.setdefault(row.tobytes(), len(kinds)) for row in x]
+        distinct = np.frombuffer(b"".join(kinds), x.dtype).reshape(len(kinds), -1)
+        p = np.stack([m.probability(distinct) for m in models], axis=1)
         some = (p > blank).any(axis=1)
-        memo |= {s: p[i] if some[i] else None for i, s in enumerate(new)}
+        memo |= {s: p[i] if some[i] else None for s, i in zip(new, back)}
     for i, own in enumerate(parts):
         for q in map(memo.__getitem__, own):
             if q is not None:
@@ -470,8 +464,9 @@ def scored(docs: DataFrame, id_col: str, text_col: str, keep: list[str] | None =
     def run(batches):
         memo: dict[str, np.ndarray | None] = {}
         for pdf in batches:
-            for a in range(0, len(pdf), 500):
-                part = pdf.iloc[a : a + 500]
+            # Parts of about BATCH_CHARS characters, long texts whole.
+            part_of = (pdf[_TEXT].str.len().fillna(0).cumsum() // BATCH_CHARS).to_numpy()
+            for _, part in pdf.groupby(part_of, sort=False):
                 got = score_texts(part[_TEXT].tolist(), shared.value, memo)
                 yield part.drop(columns=[_TEXT]).assign(**{k: got[:, j] for j, k in enumerate(KINDS)})
 

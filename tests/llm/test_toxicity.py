@@ -59,7 +59,7 @@ def test_unlike_wordings(models):
 def test_every_sentence_reaches_the_trees(models):
     texts, labels, _ = toxicity.training_set(2000)
     for text in [t for t, k in zip(texts, labels) if k]:
-        own = np.stack([m.probability(toxicity.measured(toxicity.sentences_of(text))) for m in models], axis=1).max(0)
+        own = np.stack([m.probability(toxicity.measured([toxicity.folded(s) for s in toxicity.sentences_of(text)])) for m in models], axis=1).max(0)
         assert (toxicity.score_texts([BODY + text], models)[0] >= own - 1e-9).all(), text
 
 
@@ -86,7 +86,7 @@ def test_the_kept_model_is_of_this_version():
 def test_any_text_is_folded_and_measured(text):
     plain, low = toxicity.folded(text)
     assert len(plain) == len(low)
-    got = toxicity.measured(toxicity.sentences_of(text))
+    got = toxicity.measured([toxicity.folded(s) for s in toxicity.sentences_of(text)])
     assert got.shape[1] == len(toxicity.FEATURES) and np.isfinite(got).all()
 
 
