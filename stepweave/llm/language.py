@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 # Frequent function words by language, in natural order.
@@ -15,6 +16,17 @@ FUNCTION_WORDS = {
     "pt": "o a os as um uma uns umas e ou mas não é são está estão era ser se lhe que quem de do da dos das ao à aos no na nos nas em com sem por para pelo pela antes depois primeiro preciso sobre cima quando porque isso isto há deve pode nada muito mais eu tu ele ela eles você como onde",
     "nl": "de het een en of maar niet geen is zijn was waren wordt worden zich er dat die dit deze van voor met op in uit aan bij naar over onder door als wanneer omdat dan eerst moet kan nog ook hier niets ik jij hij zij wij",
 }
+# Words of further languages that none of those above has.
+OWN_WORDS = {
+    "da": "og jeg ikke det som til af den har blev være hun hvor når skal fordi meget også ind ud",
+    "sv": "och jag inte det som till av den har blev vara hon när ska därför mycket också måste kan är",
+    "pl": "i w z na do się nie jest są był była że który która przez przed po aby musi może tylko bardzo jego jej ten tego oraz",
+    "cs": "a v na se je jsou byl byla že který která před aby musí může jen velmi jeho jejich ten toho tak",
+    "fi": "ja on ei se että kun mutta olla hän ovat oli joka sen niin tämä pitää ensin sitten",
+    "tr": "ve bir bu için ile da de gibi çok daha sonra önce değil ama olan olarak kadar",
+    "ro": "și este sunt pentru care din cu nu că mai dar după înainte trebuie poate foarte",
+    "hu": "és az egy nem hogy van volt vagy csak még majd mert amikor után előtt kell",
+}
 # What requests and names of languages look like in prompts.
 LANGUAGE_NAMES = {
     "en": "english englisch anglais inglés ingles inglese inglês",
@@ -30,6 +42,12 @@ LANGUAGE_NAMES = {
     "ko": "korean koreanisch coréen coreano 한국어",
     "ar": "arabic arabisch arabe árabe العربية",
     "pl": "polish polnisch polonais polaco polacco",
+    "da": "danish dänisch danois danés danese",
+    "sv": "swedish schwedisch suédois sueco svedese",
+    "fi": "finnish finnisch",
+    "cs": "czech tschechisch",
+    "ro": "romanian rumänisch",
+    "hu": "hungarian ungarisch",
     "tr": "turkish türkisch turc turco türkçe",
     "hi": "hindi",
 }
@@ -44,6 +62,9 @@ _OWNERS: dict[str, list[str]] = {}
 for _lang, _words in _SETS.items():
     for _w in _words:
         _OWNERS.setdefault(_w, []).append(_lang)
+for _lang, _words in OWN_WORDS.items():
+    for _w in sorted(set(_words.split()) - {w for k in _SETS for w in _SETS[k]}):
+        _OWNERS.setdefault(_w, []).append(_lang)
 _LETTERS = {"ß": "de", "ä": "de", "ö": "de", "ñ": "es", "¿": "es", "¡": "es", "ã": "pt", "õ": "pt", "œ": "fr", "ê": "fr", "ù": "fr", "ì": "it", "ò": "it"}
 _NAMES = {n: k for k, v in LANGUAGE_NAMES.items() for n in v.split()}
 _ASKED = re.compile(
@@ -56,15 +77,15 @@ _ASKED = re.compile(
 def scores(text: str) -> dict[str, float]:
     """Evidence for each language: function words, more for those of one language only, and letters."""
     out: dict[str, float] = {}
-    words = _WORD.findall(text.lower())
-    for w in words:
+    low = text.lower()
+    for w, n in Counter(_WORD.findall(low)).items():
         own = _OWNERS.get(w)
         if own:
             for k in own:
-                out[k] = out.get(k, 0) + (1.5 if len(own) == 1 else 1 / len(own))
-    for ch in () if text.isascii() else text.lower():
-        if ch in _LETTERS:
-            out[_LETTERS[ch]] = out.get(_LETTERS[ch], 0) + 0.7
+                out[k] = out.get(k, 0) + n * (1.5 if len(own) == 1 else 1 / len(own))
+    for ch, k in () if text.isascii() else _LETTERS.items():
+        if n := low.count(ch):
+            out[k] = out.get(k, 0) + 0.7 * n
     return out
 
 

@@ -9,6 +9,9 @@ subject, and the verb one of answering.
 from __future__ import annotations
 
 import re
+from functools import cache
+
+import ahocorasick
 
 # What may be asked of a speaker, and what is asked for.
 _TALK = (
@@ -23,13 +26,19 @@ _NOT = r"(?:can(?: ?not|'t)|could(?: not|n't)|will not|won't|would(?: not|n't)|d
 _SENSE = r"(?!(?: \w+){0,2} (?:see|tell|make out|judge|reach|grasp|lift|move|detect|observe|recogni[sz]e|distinguish|spot)\b)"
 _RULES = r"(?:polic(?:y|ies)|guidelines?|rules?|programming|principles?|terms|safety|instructions|filters?|restrictions?|ethics|values|standards|limits)"
 
+_REFRAIN = r"refrain(?= from (?:answer|comment|discuss|shar|provid|respond|describ|giv|speak|talk|help|assist|engag|do)\w*|\W*$)"
+
 ENGLISH = [
+    rf"\b(?:told|asked|instructed|advised|programmed|trained|designed|supposed|allowed|permitted) not to (?:{_TALK}|{_DO})\b",
+    rf"(?:\bnot|n't) (?:a|an|the|one of the)(?: \w+)? {_THING} (?:that |which )?{_SELF}\b",
+    r"(?:\bnot|n't) (?:feel |be )?comfortable\b",
+    r"(?:\bnot|n't) (?:think|believe|feel)\b[^.]{0,25}\b(?:right|appropriate|proper|ethical|wise|responsible)\b[^.]{0,15}\b(?:answer|respond|help|assist|provide|share|describe|discuss|continue)\b",
     rf"\b{_SELF}{_ADV} {_NOT}{_ADV} (?:{_TALK}|{_DO})\b",
     rf"\b(?:won't|will not|would not|cannot|can't|not) be (?:able|willing|allowed|permitted|in a position) to (?:{_TALK}|{_DO})\b",
     rf"\b{_SELF}(?:'m| am|'re| are| was| were)(?: \w+)? (?:not able|unable|not allowed|not permitted|not authori[sz]ed|not in a position|not willing|unwilling|not prepared|prohibited|forbidden|barred|not at liberty|not supposed|not comfortable|uncomfortable|declining|refusing|reluctant|programmed not|instructed not|told not|not designed|not programmed){_SENSE}",
     rf"\b{_SELF}(?:'m| am|'re| are) not (?:able|allowed|permitted|authori[sz]ed|in a position|willing|prepared|at liberty|supposed|comfortable|designed|programmed){_SENSE}",
-    rf"\b{_SELF}(?:'ll|'d)?{_ADV}(?: like to)? (?:decline|refuse|abstain|refrain|opt out|bow out|sit this one out|stay out of|steer clear|keep out of|say no|turn (?:this|that|it|you) down|pass on|pass(?=\W*$)|leave it (?:there|at that)|(?:stop|end|leave it) here)\b",
-    rf"\b(?:have to|must|need to|going to|will|'ll|'d like to) (?:respectfully |politely |therefore )?(?:decline|refuse|refrain|pass on|pass(?=\W*$)|abstain|opt out|say no)\b",
+    rf"\b{_SELF}(?:'ll|'d|'m|'re| am| are)?{_ADV}(?: like to| going to)? (?:decline|refuse|abstain|{_REFRAIN}|opt out|bow out|sit (?:this|that|it)(?: one)? out|stay out of|steer clear|keep out of|say no|turn (?:this|that|it|you) down|pass on|pass(?=\W*$)|leave it (?:there|at that)|(?:stop|end|leave it) here)\b",
+    rf"\b(?:have to|must|need to|going to|will|'ll|'d like to) (?:respectfully |politely |therefore )?(?:decline|refuse|{_REFRAIN}|pass on|pass(?=\W*$)|abstain|opt out|say no)\b",
     rf"\b{_SELF}(?:'d| would| will)? ?(?:rather|sooner|prefer|better|choose|chose|elect)(?: to)? not\b|\bprefer not to\b|\brather not\b",
     rf"\bagainst (?:my|our|the|its|company|all my)(?: \w+){{0,2}} {_RULES}\b|\b(?:violat\w+|breach\w*|contrar\w+ to|conflicts? with|under|due to|because of) (?:my|our|the|company|content|usage)(?: \w+){{0,2}} {_RULES}\b",
     rf"\b{_RULES} (?:forbid|forbids|prohibit|prohibits|prevent|prevents|bar|bars|stop|stops|keep|keeps|do not|don't|does not|doesn't|won't|will not|block|blocks|restrict|restricts)\b|\b(?:declined|blocked|denied|refused|prevented|stopped|filtered|restricted|removed) (?:by|under|because of|due to) (?:the |our |my |a )?(?:\w+ )?{_RULES}\b",
@@ -64,13 +73,30 @@ OTHERS = [
 ]
 _ENGLISH = re.compile("|".join(ENGLISH), re.I)
 _OTHERS = re.compile("|".join(OTHERS), re.I)
-#: A text without any of these can't decline; it is looked for once, before the sentences are.
-_MAY = re.compile(
-    r"\b(?:i|we|me|us)(?:'\w+)? |declin|refus|refrain|pass on|abstain|opt out|denied|blocked|reject|prevent|polic|guideline|permit|allow|appropriate|responsible|ethical|rules|programming|"
-    r"harm|one else|body else|elsewhere|something else|be able to|limits|bounds|no comment|count me|happening|absolutely not|no way|no deal|no can do|\bno\b from|nope|\bpass\W*$|rather not|prefer|be (?:fulfilled|answered|processed|provided)|"
-    r"sorry|apolog|regret|afraid|nothing to say|as an? (?:ai|artificial|language|large|assistant)|\b(?:the subject|the topic)\b",
-    re.I,
-)
+# What every refusal has some of, in English and in other languages. A sentence is looked through for all of them at once.
+_TRIGGERS = {
+    "english": (
+        "n't|cannot|can not| not |unable|declin|refus|abstain|refrain|opt out|bow out|sit this|sit that|sit it|steer clear|stay out|keep out|say no|turn this|turn that|turn it|turn you| pass|leave it|stop it here|end it here|"
+        "stop here|end here|prohibit|forbid|barred|uncomfortable|reluctant|unwilling|rather|sooner|prefer| chose|choose|elect|polic|guideline|programming|principle| terms|safety|instruction|filter|restrict|ethic| values|standards|"
+        "limits|denied|blocked|reject|disallow|withheld|inappropriate|unavailable|out of bounds| no |beyond|outside|out of my|exceed|prevent|stops me|stops us|keeps me|keeps us|bars me|irresponsible|wrong of|wrong to|wrong for|"
+        "harm|one else|body else|elsewhere|something else|the subject|the topic|as an ai|as a language|as an artificial|as an assistant|as a large|as a bot|as a chatbot|as a machine|no comment|count me|happening|no way|no deal|nope|"
+        "sorry|apolog|regret|afraid|nothing to say|my rules|our rules|the rules| past my|none of my| rules |would not be|would be"
+    ),
+    "other": " ich | wir | mir | uns |ablehnen|verweiger|gegen meine|meine richtlinien|lieber| kommentar| ik | wij |liever|tegen mijn| jeg | jag | vi | je | nous |commentaire|impossible|puedo|podemos|niego|prefier|rechazo|declino|lament|siento| no |contra|"
+    "posso|poderei|consigo|recus|infelizmente|desculpe|possiamo|rifiut|preferisco|dispiace|purtroppo|commento|odmawiam| nie | non |disculpa|sin com",
+}
+
+
+@cache
+def _triggers() -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for kind, words in _TRIGGERS.items():
+        for w in words.split("|"):
+            found.add_word(w, found.get(w, frozenset()) | {kind})
+    found.make_automaton()
+    return found
+
+
 _COURTESY = re.compile(
     r"\b(?:i hope you understand|anything else|something different|contact a|qualified expert|ask something else|ask me|ask about|thank you|thanks for|apologies|i apologi[sz]e|(?:i'm|i am) sorry|"
     r"let me know|feel free|happy to help|glad to|consult a|reach out|understand(?:ing)?\W*$|be honest|sorry|please (?:try|choose|rephrase|ask)|another (?:question|topic)|"
@@ -80,17 +106,18 @@ _COURTESY = re.compile(
 
 
 def declines(sentence: str) -> bool:
-    """Whether a sentence turns the request down; straight apostrophes are expected."""
-    return bool(_ENGLISH.search(sentence) or _OTHERS.search(sentence))
+    """Whether a sentence turns the request down."""
+    straight = sentence.replace("’", "'")
+    kinds = {k for _, ks in _triggers().iter(f" {straight.lower()} ") for k in ks}
+    if not sentence.isascii():
+        kinds.add("other")
+    return bool(("english" in kinds and _ENGLISH.search(straight)) or ("other" in kinds and _OTHERS.search(straight)))
 
 
-def is_refusal(content: str, sentences: list[str], size) -> bool:
+def is_refusal(sentences: list[str], size) -> bool:
     """Whether an answer declines and, courtesies aside, says little else. ``size`` counts the words of sentences."""
-    if content.isascii() and not _MAY.search(content.replace("\\u2019", "'")):
-        return False
-    straight = [s.replace("’", "'") for s in sentences]
-    refused = [s for s in straight if declines(s)]
+    refused = [s for s in sentences if declines(s)]
     if not refused:
         return False
-    rest = [s for s in straight if s not in refused and not _COURTESY.search(s)]
+    rest = [s for s in sentences if s not in refused and not _COURTESY.search(s)]
     return size(rest) * 2 <= size(refused)
