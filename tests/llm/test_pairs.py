@@ -63,7 +63,7 @@ def test_edges(spark):
 
 def test_whole_answers_and_json_values_are_compared(spark):
     whole = ["The cup is red. The lid is blue. The pan is wide enough for both.", '[{"task_reasoning": "The cup has to go up first.", "move_reasoning": "The arm moves left because it must pass the lid."}]']
-    cut = ["The cup is red. The lid is blue", '[{"task_reasoning": "The cup has to go up first.", "move_reasoning": "The arm moves left because it"}]']
+    cut = ["The cup is red. The lid is", '[{"task_reasoning": "The cup has to go up first.", "move_reasoning": "The arm moves left because it"}]']
     fine = ['[{"task_reasoning": "The cup has to go up first.", "move": "left"}]', '[{"move": "move left now then", "move_reasoning": "go on to the left side"}]']
     results, prompts = _tables(spark, whole + cut + fine)
     assert {r.result_id: r.defect for r in pairs.broken_pairs(results, prompts).collect()} == {2: "truncated", 3: "truncated"}
