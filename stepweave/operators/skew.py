@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stepweave.session import stored
+
 #: Largest number of rows that this library broadcasts on its own account.
 BROADCAST_ROWS = 100_000
 
@@ -46,3 +48,23 @@ def join_heads(
     salts = F.when(F.col(size_col) > hot_rows, F.sequence(zero, F.lit(fanout - 1).cast("long"))).otherwise(F.array(zero))
     spread = heads.withColumn("_salt", F.explode(salts))
     return salted.join(spread, [*keys, "_salt"]).drop("_salt", "_hot")
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], spread_by: str, hot_rows: int = 200_000) -> DataFrame:
+    """Left join of ``rows`` with a ``table`` that has each key at most once; no key is too hot, no side too large.
+
+    A table of few rows is broadcast. Else the keys of ``rows`` are counted
+    first, their rows of the table looked up, and hot keys spread
+    (:func:`join_heads`). ``table`` should be cheap to count. Rows with a NULL
+    key keep NULLs.
+    """
+    small = small_side(table)
+    if small is not table:
+        return rows.join(small, keys, "left")
+    count = "_rows_of_key"
+    there = F.lit(True)
+    for k in keys:
+        there = there & F.col(k).isNotNull()
+    heads = stored(rows.where(there).groupBy(*keys).agg(F.count("*").alias(count)).join(table, keys, "left"), "heads")
+    met = join_heads(rows.where(there), heads, keys, count, spread_by, hot_rows).drop(count)
+    return met.unionByName(rows.where(~there), allowMissingColumns=True)

@@ -149,3 +149,16 @@ def test_join_heads_spreads_hot_keys(spark):
     heads = stored(rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("h")), "h")
     got = join_heads(rows, heads, ["k"], "n", "id", hot_rows=50, fanout=8)
     assert sorted((r.k, r.id, r.h) for r in got.collect()) == sorted((r.k, r.id, 0 if r.k == 1 else 500) for r in rows.collect())
+
+
+def test_lookup_is_a_left_join_whatever_the_size(spark, monkeypatch):
+    from stepweave.operators import skew
+
+    rows = spark.range(300).selectExpr("case when id % 10 = 9 then null else if(id < 200, 0, id) end as k", "id")
+    table = spark.range(0, 250, 2).selectExpr("id as k", "id * 2 as v")
+    want = {(r.k, r.id, r.v) for r in rows.join(table, "k", "left").collect()}
+    assert {(r.k, r.id, r.v) for r in skew.lookup(rows, table, ["k"], "id").collect()} == want
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(skew, "small_side", lambda df, max_rows=10: df)
+    got = skew.lookup(rows, table, ["k"], "id", hot_rows=50).collect()
+    assert len(got) == 300 and {(r.k, r.id, r.v) for r in got} == want
