@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -30,12 +31,16 @@ def build_session(app: str = "stepweave", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` if the cluster names one.
 
-    Only where it is unset, as in tests on one machine, a temporary folder is
-    made once per application and removed at its end.
+    Only where it is unset and the master is local, as in tests on one machine,
+    a temporary folder is made once per application and removed at its end; on
+    a cluster each executor would write to a disk of its own, so there the
+    missing setting is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = tempfile.mkdtemp(prefix="stepweave-")
@@ -43,6 +48,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_OWN_DIRS[app]}"
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a folder of its own in the shared folder."""
+    return f"{shared_dir(spark)}/stepweave/{uuid.uuid4().hex}/{name}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -50,7 +60,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     the written columns instead of computing them again.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stepweave/{uuid.uuid4().hex}/{name}"
+    path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
