@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepweave.llm import dedupe, instructions, mixing, overlap, packing, pairs, runs, splits, tokens, toxicity
-from stepweave.session import ship
+from stepweave.operators.skew import lookup
+from stepweave.session import new_folder, ship, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,17 +37,34 @@ def _episode_links(spark: SparkSession, sf: str) -> DataFrame:
     return ep.select(
         "episode_key", splits.session_of(F.col("episode_metadata.file_path")).alias("session"),
         F.when(F.col("episode_metadata.episode_id") != -1, F.col("episode_metadata.episode_id")).alias("known_id"),
+        F.coalesce(F.datediff("ingested_at", "recorded_at") > 7, F.lit(False)).alias("late"),
     )
 
 
+def _split_table(spark: SparkSession, sf: str) -> splits.SplitTable:
+    """All episodes in two batches: what was delivered within a week of its recording, then what came late."""
+    table = splits.SplitTable(spark, new_folder(spark, "splits"))
+    links, targets = stored(_episode_links(spark, sf), "episode_links"), _table(spark, sf, "split_targets")
+    for late in (False, True):
+        table.add(links.where(F.col("late") == F.lit(late)), "episode_key", ["session", "known_id"], targets)
+    return table
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    groups = splits.related_groups(_episode_links(spark, sf), "episode_key", ["session", "known_id"])
-    return groups.where("id <> head").select(F.col("head").alias("head_key"), F.col("id").alias("member_key"))
+    members = stored(_split_table(spark, sf).members().select(F.col("id").cast("long").alias("id"), "component"), "members")
+    heads = members.groupBy("component").agg(F.min("id").alias("head"))
+    return lookup(members, stored(heads, "group_heads"), ["component"], "id").where("id <> head").select(F.col("head").alias("head_key"), F.col("id").alias("member_key"))
 
 
 def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
-    given, _ = splits.grouped_splits(_episode_links(spark, sf), "episode_key", ["session", "known_id"], _table(spark, sf, "split_targets"))
-    return given.select(F.col("id").alias("episode_key"), "component", "split")
+    return _split_table(spark, sf).members().select(F.col("id").cast("long").alias("episode_key"), "component", "split")
+
+
+def p2_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Late episodes that would have tied components of different splits together, with their session and known id."""
+    barred = p2_splits(spark, sf).where(F.col("split") == splits.QUARANTINE).select("episode_key", "component")
+    links = _episode_links(spark, sf).groupBy("episode_key").agg(F.min("session").alias("session"), F.min("known_id").alias("known_id"))
+    return barred.join(links, "episode_key")
 
 
 def _split_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,7 +175,7 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (
-        p1_found, p1_rates, p2_found, p2_splits, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p9_mix, p9_shares,
+        p1_found, p1_rates, p2_found, p2_splits, p2_quarantine, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p9_mix, p9_shares,
         p10_found, p10_scores, p10_rates,
     )
     return {f.__name__: f for f in own}

@@ -1,18 +1,21 @@
 """Splits that keep related records together.
 
-Records and what they share form a bipartite graph. A persisted component
-table (node, component, split) is extended batch by batch: pointer jumping
-merges components, known components keep their split, new ones fill the
-splits' deficits, and a component in which records of different splits meet is
-quarantined.
+Records and what they share form a bipartite graph. A component table that is
+kept at a path of the caller's (node, component, split) is extended batch by
+batch: only nodes that a batch touches are looked up, the batch's edges are
+contracted to the components they belong to, pointer jumping merges those, and
+what changed is appended. Known components keep their split, new ones fill the
+splits' deficits, and what would tie components of different splits together
+is quarantined.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stepweave.operators.skew import join_heads, small_side
+from stepweave.operators.skew import join_heads, lookup
 from stepweave.session import stored
 
 QUARANTINE = "quarantine"
@@ -56,12 +59,12 @@ def pointer_components(edges: DataFrame) -> DataFrame:
             hooks = jumped.select("root", "next")
             if jumped.where("moved").isEmpty():
                 break
-        to = small_side(hooks)
-        labels = labels.join(to, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+        # A root may stand on very many edges and labels: it is looked up with its hot keys spread.
+        labels = lookup(labels, hooks.select("root", "next"), ["root"], "node").select("node", F.coalesce("next", "root").alias("root"))
+        lo = lookup(live, hooks.select(F.col("root").alias("lo"), F.col("next").alias("lo2")), ["lo"], "hi")
+        both = lookup(lo, hooks.select(F.col("root").alias("hi"), F.col("next").alias("hi2")), ["hi"], "lo")
         live = (
-            live.join(to.withColumnsRenamed({"root": "lo", "next": "lo2"}), "lo", "left")
-            .join(to.withColumnsRenamed({"root": "hi", "next": "hi2"}), "hi", "left")
-            .select(F.coalesce("lo2", "lo").alias("x"), F.coalesce("hi2", "hi").alias("y"))
+            both.select(F.coalesce("lo2", "lo").alias("x"), F.coalesce("hi2", "hi").alias("y"))
             .where("x <> y")
             .select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"))
             .distinct()
@@ -70,32 +73,6 @@ def pointer_components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def _linked(records: DataFrame, id_col: str, link_cols: list[str]) -> tuple[DataFrame, list[str]]:
-    """The records once each, with names of their own for the columns that tie them."""
-    own = [f"_link{i}" for i in range(len(link_cols))]
-    cols = [F.col(c).alias(a) for c, a in zip(link_cols, own)]
-    return stored(records.select(F.col(id_col).alias("id"), *cols).where("id is not null").distinct(), "records"), own
-
-
-def related_groups(records: DataFrame, id_col: str, link_cols: list[str]) -> DataFrame:
-    """(id, head): each record with the smallest id of those it is tied to.
-
-    Two records are tied if they have an equal value in one of ``link_cols``
-    (NULL ties nothing), directly or by way of others. Rows without id are
-    skipped, repeated rows count once, a record without ties heads itself.
-    """
-    base, link_cols = _linked(records, id_col, link_cols)
-    # Every value's smallest id stands for it: N edges instead of all pairs.
-    edges = None
-    for c in link_cols:
-        rows = base.where(F.col(c).isNotNull()).select(F.col(c).cast("string").alias("v"), "id").distinct()
-        heads = stored(rows.groupBy("v").agg(F.min("id").alias("b"), F.count("*").alias("n")), "heads").where("n > 1")
-        part = join_heads(rows, heads, ["v"], "n", "id").select(F.col("id").alias("a"), "b")
-        edges = part if edges is None else edges.unionByName(part)
-    roots = pointer_components(edges)
-    return base.select("id").distinct().join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("head"))
-
-
 def fill_deficits(sizes: DataFrame, targets: DataFrame, taken: DataFrame) -> DataFrame:
     """(comp, split) for new components so that the splits come near their shares.
 
@@ -137,47 +114,143 @@ def fill_deficits(sizes: DataFrame, targets: DataFrame, taken: DataFrame) -> Dat
     return big.unionByName(small.select("comp", split.alias("split")))
 
 
-def grouped_splits(
-    records: DataFrame, id_col: str, link_cols: list[str], targets: DataFrame, known: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(assignment, table): id, component, split of each record, and the table to keep for the next batch.
-
-    ``known`` is the table of an earlier call: node (a record or a shared
-    value, as text), component, split. A component that meets known ones of a
-    single split takes it. Where known components of different splits meet, the
-    known nodes keep theirs and everything new in it is quarantined.
+class SplitTable:
+    """Components and splits of all records so far, kept as Parquet below ``path`` in a shared file system.
 
-    Nulls: records without id are skipped; NULL values tie nothing; without
-    targets the split is NULL. Repeated rows count once. Empty tables work.
+    ``nodes`` holds each record and shared value once: node, component, split,
+    and for records their id. ``components`` holds component, root, split, one
+    row for each time it changed; the row of the latest batch counts. ``totals``
+    counts the records a batch gave to each split. Nodes and components lie in
+    folders by batch and by one of ``buckets`` ranges of their hash, so that a
+    batch reads only the buckets it touches and only appends. A batch counts
+    once its row in ``commits`` is written; one that broke off is written over.
     """
-    base, own = _linked(records, id_col, link_cols)
-    rec = F.concat(F.lit("r:"), F.col("id").cast("string"))
-    edges = None
-    for c, name in zip(own, link_cols):
-        part = base.where(F.col(c).isNotNull()).select(F.concat(F.lit(name + ":"), F.col(c).cast("string")).alias("a"), rec.alias("b"))
-        edges = part if edges is None else edges.unionByName(part)
-    if known is None:
-        known = base.sparkSession.createDataFrame([], "node string, component string, split string")
-    known = stored(known.select("node", "component", "split"), "known")
-    edges = edges.unionByName(known.select(F.col("component").alias("a"), F.col("node").alias("b")))
-    roots = pointer_components(edges)
-    nodes = base.select(rec.alias("node")).union(edges.select("a")).union(edges.select("b")).distinct()
-    comps = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
-    comps = stored(comps.join(known.select("node", F.col("split").alias("old")), "node", "left"), "components")
-    per = comps.groupBy("comp").agg(
-        F.count_if(F.col("node").startswith("r:") & F.col("old").isNull()).alias("n"),
-        F.min(F.when(F.col("old") != QUARANTINE, F.col("old"))).alias("lo"), F.max(F.when(F.col("old") != QUARANTINE, F.col("old"))).alias("hi"),
-    )
-    per = stored(per, "per_component")
-    taken = comps.where(F.col("node").startswith("r:") & F.col("old").isNotNull()).groupBy(F.col("old").alias("split")).agg(F.count("*").alias("n"))
-    adopted = per.where("lo = hi").join(comps.where("old is null").groupBy("comp").agg(F.count("*").alias("_")), "comp", "left")
-    joined_now = adopted.groupBy(F.col("lo").alias("split")).agg(F.sum("n").alias("n"))
-    taken = taken.unionByName(joined_now).groupBy("split").agg(F.sum("n").alias("n")).where(F.col("split") != QUARANTINE)
-    fresh = fill_deficits(per.where("lo is null").select("comp", "n"), targets, taken)
-    decided = per.join(fresh.withColumnRenamed("split", "new"), "comp", "left").select(
-        "comp", F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("lo").isNotNull(), F.lit(QUARANTINE)).otherwise(F.col("new")).alias("new")
-    )
-    table = comps.join(decided, "comp").select("node", F.col("comp").alias("component"), F.coalesce("old", "new").alias("split"))
-    table = stored(table, "split_table")
-    assignment = base.select("id", rec.alias("node")).distinct().join(table, "node").select("id", "component", "split")
-    return assignment, table
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+
+    def _bucket(self, node: Column) -> Column:
+        return F.pmod(F.xxhash64(node), F.lit(self.buckets)).cast("int")
+
+    def batches(self) -> int:
+        """How many batches have been added."""
+        try:
+            return self.spark.read.schema("batch int").parquet(f"{self.path}/commits").select(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
+
+    def _read(self, name: str, ddl: str, buckets: list[int] | None = None) -> DataFrame:
+        done = self.batches()
+        full = f"{ddl}, batch int" if name == "totals" else f"{ddl}, batch int, bucket int"
+        if not done:
+            return self.spark.createDataFrame([], full)
+        rows = self.spark.read.schema(full).option("basePath", f"{self.path}/{name}").parquet(*[f"{self.path}/{name}/batch={k}" for k in range(done)])
+        return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
+
+    def _write(self, df: DataFrame, name: str, batch: int, node: str | None) -> None:
+        out = df if node is None else df.withColumn("bucket", self._bucket(F.col(node))).repartition("bucket", F.pmod(F.xxhash64(F.lit(1), node), F.lit(8)))
+        writer = out.write.mode("overwrite").option("compression", "zstd")
+        # The folder of a batch is there even if nothing falls into it.
+        (writer if node is None else writer.partitionBy("bucket")).parquet(f"{self.path}/{name}/batch={batch}")
+
+    def _nodes(self, buckets: list[int] | None = None) -> DataFrame:
+        return self._read("nodes", "node string, record string, component string, split string", buckets)
+
+    def _components(self, buckets: list[int] | None = None) -> DataFrame:
+        """component, root, split as of the latest batch."""
+        rows = self._read("components", "component string, root string, split string", buckets)
+        return rows.groupBy("component").agg(F.max_by(F.struct("root", "split"), "batch").alias("c")).select("component", "c.*")
+
+    def _roots(self, wanted: DataFrame) -> DataFrame:
+        """component, root, split for the components ``wanted``, following merges to the end."""
+        todo = stored(wanted.select(F.col("component"), F.col("component").alias("at")), "wanted")
+        while True:
+            near = [r[0] for r in todo.select(self._bucket(F.col("at"))).distinct().collect()]
+            rows = self._components(near).select(F.col("component").alias("at"), "root", "split")
+            todo = stored(todo.select("component", "at").join(rows, "at"), "followed")
+            if todo.where("root <> at").isEmpty():
+                return todo.select("component", "root", "split")
+            todo = todo.select("component", F.col("root").alias("at"))
+
+    def members(self) -> DataFrame:
+        """id (as text), component, split of every record so far; components that were merged have one name."""
+        comps = self._components()
+        merged = comps.where("root <> component").select("component")
+        final = comps.select("component", "root")
+        # Chains of merges are as long as the batches that made them.
+        while True:
+            up = final.select(F.col("component").alias("root"), F.col("root").alias("root2"))
+            final = stored(lookup(final, up, ["root"], "component").select("component", F.coalesce("root2", "root").alias("root"), (F.col("root2") != F.col("root")).alias("moved")), "final")
+            if final.where("moved").isEmpty():
+                break
+            final = final.select("component", "root")
+        records = self._nodes().where("record is not null").select("record", "component", "split")
+        renamed = stored(final.join(merged, "component", "left_semi").select("component", "root"), "renamed")
+        return lookup(records, renamed, ["component"], "record").select(F.col("record").alias("id"), F.coalesce("root", "component").alias("component"), "split")
+
+    def add(self, records: DataFrame, id_col: str, link_cols: list[str], targets: DataFrame) -> DataFrame:
+        """Add a batch; (id, component, split) of its records.
+
+        Two records are tied if they have an equal value in the same of
+        ``link_cols``, directly or by way of others, of this batch or earlier
+        ones. A component that meets known ones of a single split takes it.
+        Where known ones of different splits, or a quarantined one, meet, the
+        known nodes keep their splits and everything new is quarantined.
+
+        Nulls: records without id are skipped; NULL values tie nothing; without
+        targets the split is NULL. Repeated rows count once; a record sent again
+        keeps its split. Empty tables work; extra columns are ignored.
+        """
+        batch = self.batches()
+        own = [f"_link{i}" for i in range(len(link_cols))]
+        linked = records.select(F.col(id_col).alias("id"), *[F.col(c).cast("string").alias(a) for c, a in zip(link_cols, own)])
+        base = stored(linked.where("id is not null").distinct().withColumn("node", F.concat(F.lit("r:"), F.col("id").cast("string"))), "records")
+        ties = base.select("node", F.explode(F.array_compact(F.array(*[F.when(F.col(a).isNotNull(), F.concat(F.lit(f"{c}:"), F.col(a))) for a, c in zip(own, link_cols)]))).alias("value"))
+        ties = stored(ties.distinct(), "ties")
+        ids = base.groupBy("node").agg(F.min(F.col("id").cast("string")).alias("record"))
+        nodes = stored(ids.unionByName(ties.select(F.col("value").alias("node"), F.lit(None).cast("string").alias("record")).distinct()), "nodes")
+
+        # What the batch touches: its own nodes, in the buckets where they lie.
+        near = [r[0] for r in nodes.select(self._bucket(F.col("node"))).distinct().collect()] if batch else []
+        touched = stored(self._nodes(near).select("node", "component", "split").join(nodes.select("node"), "node", "left_semi"), "touched")
+        roots = stored(self._roots(touched.select("component").distinct()), "roots")
+        placed = stored(lookup(touched, roots.select("component", "root"), ["component"], "node").select("node", "split", F.concat(F.lit("c:"), "root").alias("at")), "placed")
+
+        # Edges between components, where there are any, else between nodes.
+        at = placed.select("node", "at")
+        edges = lookup(ties, at, ["node"], "value").select(F.coalesce("at", "node").alias("a"), "value")
+        edges = lookup(edges, at.withColumnsRenamed({"node": "value", "at": "at2"}), ["value"], "a").select("a", F.coalesce("at2", "value").alias("b")).distinct()
+        groups = stored(pointer_components(edges), "groups")
+        ends = lookup(nodes, at, ["node"], "node").select("node", "record", F.col("at").isNull().alias("new"), F.coalesce("at", "node").alias("end"))
+        found = stored(lookup(ends, groups.select(F.col("node").alias("end"), "root"), ["end"], "node").select("node", "record", "new", F.coalesce("root", "end").alias("group")), "found")
+
+        # What each group holds: known components and their splits, new records.
+        known = roots.select(F.concat(F.lit("c:"), "root").alias("node"), F.col("root").alias("component"), "split").distinct()
+        known = stored(lookup(known, groups, ["node"], "component").select("component", "split", F.coalesce("root", "node").alias("group")), "known")
+        held = known.groupBy("group").agg(
+            F.min("split").alias("lo"), F.max("split").alias("hi"), F.max(F.col("split") == QUARANTINE).alias("barred"), F.min("component").alias("root"), F.count("*").alias("parts")
+        )
+        sizes = found.groupBy("group").agg(F.count_if(F.col("new") & F.col("record").isNotNull()).alias("n"))
+        per = stored(sizes.join(held, "group", "left"), "per_group")
+        adopted = F.when(F.col("barred") | (F.col("lo") != F.col("hi")), F.lit(QUARANTINE)).otherwise(F.col("lo"))
+        taken = self._read("totals", "split string, n long").select("split", "n").unionByName(per.where("parts is not null").select(adopted.alias("split"), "n"))
+        taken = taken.where((F.col("split") != QUARANTINE)).groupBy("split").agg(F.sum("n").alias("n"))
+        fresh = fill_deficits(per.where("parts is null").select(F.col("group").alias("comp"), "n"), targets, taken)
+        decided = per.where("parts is null").join(fresh.withColumnRenamed("comp", "group"), "group", "left").select("group", F.col("group").alias("root"), "split", "n")
+        decided = stored(decided.unionByName(per.where("parts is not null").select("group", "root", adopted.alias("split"), "n")), "decided")
+
+        verdict = decided.select("group", F.col("root").alias("component"), "split")
+        now = lookup(found, verdict, ["group"], "node").select("node", "record", "new", "component", "split")
+        self._write(now.where("new").select("node", "record", "component", "split"), "nodes", batch, "node")
+        # Components that are new, take another's name, or are barred from now on.
+        changed = decided.join(known.select("group").distinct(), "group", "left_anti").select(F.col("root").alias("component"), "root", "split")
+        merged = known.withColumnRenamed("split", "before").join(decided.select("group", "root", "split"), "group")
+        merged = merged.where("component <> root or before <> split").select("component", "root", "split")
+        self._write(changed.unionByName(merged), "components", batch, "component")
+        self._write(decided.groupBy("split").agg(F.sum("n").alias("n")), "totals", batch, None)
+        self.spark.range(1).select(F.lit(batch).alias("batch")).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        final = stored(lookup(now, placed.select("node", F.col("split").alias("kept"), F.lit(True).alias("old")), ["node"], "node"), "assigned")
+        final = final.where("record is not null").select("node", "component", F.when(F.col("old"), F.col("kept")).otherwise(F.col("split")).alias("split"))
+        return base.select("id", "node").distinct().join(final, "node").select("id", "component", "split")
