@@ -184,20 +184,21 @@ def writing_groups(records: DataFrame, id_col: str, text_col: str, kind: str = "
             yield pdf.assign(h=(h1 << np.uint64(31) | h2).astype(np.int64), kept=kept)
 
     rows = stored(base.mapInPandas(hashed, f"id {base.schema['id'].dataType.simpleString()}, text string, h long, kept long"), "hashed")
-    heads = rows.groupBy("h", "kept").agg(F.count("*").alias("n"), F.min(F.struct("id", "text")).alias("head"))
-    heads = stored(heads.where("n > 1"), "heads")
+    # Ids and counts first; texts only for the heads of groups of two or more rows.
+    groups = stored(rows.groupBy("h", "kept").agg(F.count("*").alias("n"), F.min("id").alias("keep_id")), "groups")
+    several = groups.where("n > 1")
+    first = several.select(F.col("h").alias("h_"), F.col("kept").alias("kept_"), "keep_id", "n")
+    texts = rows.join(first, (F.col("h") == F.col("h_")) & (F.col("kept") == F.col("kept_")) & (F.col("id") == F.col("keep_id")))
+    heads = stored(texts.groupBy("h", "kept", "keep_id", "n").agg(F.min("text").alias("head")), "heads")
 
     @F.pandas_udf("boolean")
     def equal(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([same(x, y) for x, y in zip(a, b)], dtype=bool)
 
-    met = join_heads(rows, heads, ["h", "kept"], "n", "id").select(
-        "id", "text", "h", "kept", F.col("head.id").alias("keep_id"), equal("text", F.col("head.text")).alias("same")
-    )
-    met = stored(met, "met")
-    # Rows whose hashes collided with another content: grouped by their exact folded text.
-    strays = met.where("not same")
+    met = join_heads(rows, heads, ["h", "kept"], "n", "id").select("id", "text", "h", "kept", "keep_id", equal("text", "head").alias("same"))
+    met = stored(met.select("id", "h", "kept", "keep_id", "same", F.when(~F.col("same"), F.col("text")).alias("text")), "met")
 
+    # Rows whose hashes collided with another content: grouped by their exact folded text.
     @F.pandas_udf("string")
     def folded(a: pd.Series) -> pd.Series:
         def flat(t: str) -> str:
@@ -209,11 +210,11 @@ def writing_groups(records: DataFrame, id_col: str, text_col: str, kind: str = "
 
         return a.map(one)
 
-    strays = strays.withColumn("full", F.sha2(folded("text"), 256))
-    stray_heads = strays.groupBy("h", "kept", "full").agg(F.min("id").alias("keep_id"))
-    regrouped = strays.drop("keep_id").join(stray_heads, ["h", "kept", "full"]).select("id", "keep_id")
-    singles = rows.join(heads.select("h", "kept"), ["h", "kept"], "left_anti").select("id", F.col("id").alias("keep_id"))
-    return singles.unionByName(met.where("same").select("id", "keep_id")).unionByName(regrouped).distinct()
+    strays = stored(met.where("not same").select("id", "h", "kept", F.sha2(folded("text"), 256).alias("full")), "strays")
+    stray_heads = stored(strays.groupBy("h", "kept", "full").agg(F.min("id").alias("keep_id"), F.count("*").alias("n")), "stray_heads")
+    regrouped = join_heads(strays, stray_heads, ["h", "kept", "full"], "n", "id").select("id", "keep_id")
+    singles = groups.where("n = 1").select(F.col("keep_id").alias("id"), "keep_id")
+    return singles.unionByName(met.where("same").select("id", "keep_id").unionByName(regrouped).distinct())
 
 
 def copies(groups: DataFrame) -> DataFrame:

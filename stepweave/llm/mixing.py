@@ -83,7 +83,7 @@ def mixed(items: DataFrame, targets: DataFrame, total_tokens: int | None = None,
         "source", "budget", F.col("tokens").alias("all"), F.expr("budget div tokens").alias("epochs"), F.expr("budget % tokens").alias("rest")
     )
     offsets = small_side(stored(before.join(small_side(need), "source"), "offsets"))
-    inside = Window.partitionBy("source", "range").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("key", "id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.join(offsets, ["source", "range"]).withColumn("at", F.col("before") + F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
     extra = (F.col("rest") > F.col("at")) & (F.col("rest") - F.col("at") >= F.col("at") + F.col("tokens") - F.col("rest"))
     times = (F.col("epochs") + F.when(extra, 1).otherwise(0)).cast("int")

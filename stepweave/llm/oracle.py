@@ -108,7 +108,10 @@ P6_FOUND = _RUNS + " select episode_key, start_step, end_step from runs where n_
 P6_COLLAPSED = _RUNS + " select episode_key, start_step, label, n_steps, duration_s from runs"
 
 
+P8_OVER = "select kind, pack_name, 0::bigint as over from pack_sizes, (values ('documents'), ('pairs')) k(kind) where pack_name is not null and capacity_tokens > 0"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
-        "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p3_report": P3_REPORT, "p4_found": P4_FOUND, "p4_collapsed": P4_COLLAPSED, "p6_found": P6_FOUND, "p6_collapsed": P6_COLLAPSED,
+        "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p3_report": P3_REPORT, "p4_found": P4_FOUND, "p4_collapsed": P4_COLLAPSED, "p6_found": P6_FOUND, "p6_collapsed": P6_COLLAPSED, "p8_over": P8_OVER,
     }

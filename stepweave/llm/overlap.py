@@ -19,11 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stepweave.operators.skew import lookup, small_side
 from stepweave.session import stored
 
 #: Words that make up more than this share of all words are ordered by their
 #: frequency; at most 1/share of them can exist, which bounds the broadcast.
 FREQUENT_SHARE = 1 / 20_000
+#: A signature that gives more pairs than this is spread over tasks, at most MAX_PARTS.
+HOT_PAIRS, MAX_PARTS = 1_000_000, 4096
 _ALPHABET = "".join(map(chr, range(0x4E00, 0x4E00 + 4096)))
 
 
@@ -117,12 +120,18 @@ def near_links(texts: DataFrame, max_edits: int = 3, common: int = 5) -> tuple[D
     sides = stored(sides, "signatures")
     t = sides.where("in_train").select("sig", F.col("class").alias("class_t"), F.col("len").alias("len_t"))
     e = sides.where("in_eval").select("sig", F.col("class").alias("class_e"), F.col("len").alias("len_e"))
-    pairs = t.join(e, "sig").where((F.abs(F.col("len_t") - F.col("len_e")) <= max_edits) & (F.col("class_t") != F.col("class_e")))
-    pairs = pairs.select("class_t", "class_e").distinct()
+    # Signatures of common words, or of few, stand on very many texts: their evaluation side is cut into parts, each of which meets the training side.
+    both = sides.groupBy("sig").agg(F.count_if("in_train").alias("nt"), F.count_if("in_eval").alias("ne")).where("nt > 0 and ne > 0")
+    wide = F.ceil(F.col("nt") * F.col("ne") / F.lit(HOT_PAIRS)).cast("int")
+    hot = small_side(stored(both.where(F.col("nt") * F.col("ne") > HOT_PAIRS).select("sig", F.least(wide, F.lit(MAX_PARTS)).alias("parts")), "hot"))
+    parts = F.coalesce("parts", F.lit(1))
+    t = t.join(hot, "sig", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    e = e.join(hot, "sig", "left").withColumn("part", F.pmod(F.xxhash64("class_e"), parts).cast("int")).drop("parts")
+    pairs = t.join(e, ["sig", "part"]).where((F.abs(F.col("len_t") - F.col("len_e")) <= max_edits) & (F.col("class_t") != F.col("class_e")))
+    pairs = stored(pairs.select("class_t", "class_e").distinct(), "candidates")
     words = classes.select("class", "words")
-    met = pairs.join(words.withColumnsRenamed({"class": "class_t", "words": "wt"}), "class_t").join(
-        words.withColumnsRenamed({"class": "class_e", "words": "we"}), "class_e"
-    )
+    met = lookup(pairs, words.withColumnsRenamed({"class": "class_t", "words": "wt"}), ["class_t"], "class_e")
+    met = lookup(met, words.withColumnsRenamed({"class": "class_e", "words": "we"}), ["class_e"], "class_t")
     fits = F.size(F.array_distinct(F.concat("wt", "we"))) <= len(_ALPHABET)
     near = met.where(fits).where(word_distance(F.col("wt"), F.col("we"), max_edits) >= 0)
     far = met.where(~fits).where(_within_long("wt", "we", F.lit(max_edits)))

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepweave.session import stored
 
 #: Items that one task packs on its own; each such shard leaves at most a few packs part-filled.
 SHARD_ITEMS = 40_000
-#: How many of the largest fitting kinds of item are weighed by their dot product.
-LOOK = 12
 #: Most capacities of one call: each item is judged against every one of them.
 MAX_CAPACITIES = 100
 
@@ -25,48 +21,48 @@ def pack_shard(tokens: np.ndarray, loss: np.ndarray, capacity: int, max_segments
     An open pack takes, of the items that still fit in every dimension, the one
     whose demand (tokens, one segment, loss tokens) has the largest dot product
     with the pack's free room, both as shares of the limits. Items of equal
-    demand are one kind; per step the ``LOOK`` largest fitting kinds by tokens,
-    and the fitting kinds that the loss limit leaves, are weighed. Every item
-    must fit an empty pack. Packs open until no item is left.
+    demand are one kind; every kind that fits is weighed at every step. Every
+    item must fit an empty pack. Packs open until no item is left.
     """
     out = np.full(len(tokens), -1, np.int64)
+    if not len(tokens):
+        return out
     order = np.lexsort((loss, tokens))
-    kinds: dict[tuple[int, int], list[int]] = {}
-    for i in order:
-        kinds.setdefault((int(tokens[i]), int(loss[i])), []).append(int(i))
-    sizes = sorted(kinds)
-    pack = 0
-    while sizes:
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(tokens[order]) != 0) | (np.diff(loss[order]) != 0)
+    begin = np.flatnonzero(new)
+    left = np.diff(np.append(begin, len(order)))  # items of each kind not yet placed; they are taken from the end
+    t, x = tokens[order][begin].astype(float), loss[order][begin].astype(float)
+    pack, open_items = 0, len(order)
+    while open_items:
         room, seg, lose = capacity, max_segments, max_loss
-        while sizes and seg > 0 and room > 0:
-            k, best, seen = bisect_right(sizes, (room, lose if sizes[-1][0] <= room else 1 << 60)) - 1, None, 0
-            wr, wl = room / capacity**2, lose / max_loss**2
-            while k >= 0 and seen < LOOK:
-                t, x = sizes[k]
-                if t <= room and x <= lose:
-                    seen += 1
-                    score = wr * t + wl * x
-                    if best is None or score > best[0]:
-                        best = (score, k)
-                    if t == room:
-                        break
-                k -= 1
-            if best is None:
+        while open_items and seg > 0 and room > 0:
+            high = np.searchsorted(t, room, side="right")
+            score = np.where((left[:high] > 0) & (x[:high] <= lose), (room / capacity**2) * t[:high] + (lose / max_loss**2) * x[:high], -1.0)
+            k = len(score) - 1 - int(score[::-1].argmax()) if high else -1
+            if k < 0 or score[k] < 0:
                 break
-            kind = sizes[best[1]]
-            out[kinds[kind].pop()] = pack
-            if not kinds[kind]:
-                del sizes[best[1]], kinds[kind]
-            room, seg, lose = room - kind[0], seg - 1, lose - kind[1]
+            left[k] -= 1
+            out[order[begin[k] + left[k]]] = pack
+            open_items -= 1
+            room, seg, lose = room - int(t[k]), seg - 1, lose - int(x[k])
         pack += 1
+        if (left == 0).sum() * 2 > len(left):  # used-up kinds are no longer looked at
+            some = left > 0
+            t, x, begin, left = t[some], x[some], begin[some], left[some]
     return out
 
 
-def pieces(items: DataFrame, packs: DataFrame) -> DataFrame:
-    """pack_name, capacity, id, part, start, tokens, loss: an item larger than a capacity is cut, no other.
+def loss_limit(capacity: Column, max_loss_share: float) -> Column:
+    """Loss-bearing tokens that a pack may hold."""
+    return F.greatest(F.lit(1), F.floor(capacity * F.lit(max_loss_share))).cast("long")
+
+
+def pieces(items: DataFrame, packs: DataFrame, max_loss_share: float = 1.0) -> DataFrame:
+    """pack_name, capacity, id, part, start, tokens, loss: an item beyond the capacity in tokens or in loss tokens is cut, no other.
 
-    Cuts are made at the capacity, so that only the last part leaves room.
-    Loss tokens are shared out from the end: the last ones of an item bear loss.
+    The last ones of an item's tokens bear loss. Cuts are made where a part
+    reaches a limit, so that only the last part leaves room.
     """
     cap = packs.where("pack_name is not null and capacity_tokens > 0").select("pack_name", F.col("capacity_tokens").cast("long").alias("capacity")).distinct()
     caps = cap.limit(MAX_CAPACITIES + 1).collect()
@@ -75,12 +71,17 @@ def pieces(items: DataFrame, packs: DataFrame) -> DataFrame:
     kinds = [F.struct(F.lit(r["pack_name"]).alias("pack_name"), F.lit(r["capacity"]).alias("capacity")) for r in sorted(caps)]
     listed = F.array(*kinds) if kinds else F.array().cast("array<struct<pack_name:string,capacity:bigint>>")
     both = items.withColumn("_k", F.explode(listed)).select("id", "tokens", "loss", "_k.pack_name", F.col("_k.capacity").cast("long").alias("capacity"))
-    last = F.expr("(tokens + capacity - 1) div capacity - 1")
-    cut = both.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(last, F.lit(0)))))
-    start = F.col("part") * F.col("capacity")
-    size = F.least(F.col("capacity"), F.col("tokens") - start)
-    loss = F.greatest(F.lit(0), F.least(size, start + size - (F.col("tokens") - F.col("loss"))))
-    return cut.select("pack_name", "capacity", "id", F.col("part").cast("int").alias("part"), start.alias("start"), size.alias("tokens"), loss.cast("long").alias("loss"))
+    # Whole packs of tokens without loss, one part across the first that bears some, then parts of as much loss as a pack may hold.
+    both = both.withColumn("most", loss_limit(F.col("capacity"), max_loss_share)).withColumn("free", F.expr("(tokens - loss) div capacity"))
+    both = both.withColumn("across", F.least(F.col("capacity"), F.expr("tokens - loss - free * capacity") + F.col("most")))
+    both = both.withColumn("rest", F.expr("tokens - free * capacity"))
+    more = F.when((F.col("rest") > 0) | (F.col("tokens") == 0), F.lit(1) + F.expr("(greatest(0, rest - across) + most - 1) div most")).otherwise(F.lit(0))
+    cut = both.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("free") + more - 1)))
+    start = F.expr("if(part <= free, part * capacity, free * capacity + across + (part - free - 1) * most)")
+    whole = F.expr("case when part < free then capacity when part = free then across else most end")
+    cut = cut.withColumn("start", start).withColumn("size", F.least(whole, F.col("tokens") - F.col("start")))
+    loss = F.greatest(F.lit(0), F.least(F.col("size"), F.col("start") + F.col("size") - (F.col("tokens") - F.col("loss"))))
+    return cut.select("pack_name", "capacity", "id", F.col("part").cast("int").alias("part"), "start", F.col("size").alias("tokens"), loss.cast("long").alias("loss"))
 
 
 def packed(items: DataFrame, packs: DataFrame, max_segments: int | None = None, max_loss_share: float = 1.0) -> DataFrame:
@@ -88,8 +89,9 @@ def packed(items: DataFrame, packs: DataFrame, max_segments: int | None = None,
 
     ``packs`` is pack_name, capacity_tokens. Each pack holds at most its
     capacity in tokens, ``max_segments`` parts (none by default) and
-    ``max_loss_share`` of the capacity in loss-bearing tokens. Parts that fill
-    a pack go into one directly; all others are spread by hash over shards of
+    ``max_loss_share`` of the capacity in loss-bearing tokens; an item beyond
+    one of these on its own is cut (:func:`pieces`). Parts that fill a pack go
+    into one directly; all others are spread by hash over shards of
     bounded size, each packed by :func:`pack_shard`. ``pack`` is unique within
     a pack_name.
 
@@ -100,9 +102,8 @@ def packed(items: DataFrame, packs: DataFrame, max_segments: int | None = None,
     clean = items.select(
         "id", F.greatest(F.coalesce("tokens", F.lit(0)), F.lit(0)).cast("long").alias("tokens"), F.coalesce("loss", F.lit(0)).cast("long").alias("loss")
     ).withColumn("loss", F.greatest(F.lit(0), F.least("loss", "tokens")))
-    parts = stored(pieces(clean, packs), "parts")
-    limit = F.greatest(F.lit(1), F.floor(F.col("capacity") * F.lit(max_loss_share))).cast("long")
-    alone = (F.col("tokens") >= F.col("capacity")) | (F.col("loss") > limit)
+    parts = stored(pieces(clean, packs, max_loss_share), "parts")
+    alone = F.col("tokens") >= F.col("capacity")
     cols = ["pack_name", "capacity", "pack", "id", "part", "start", "tokens", "loss"]
     number = F.concat_ws(":", F.lit("f"), "id", "part", F.lit(""))
     whole = parts.where(alone).withColumn("pack", number)
@@ -125,6 +126,13 @@ def packed(items: DataFrame, packs: DataFrame, max_segments: int | None = None,
     return filled.unionByName(whole.select(cols)).unionByName(none.select(cols))
 
 
+def violations(packing: DataFrame, max_segments: int | None = None, max_loss_share: float = 1.0) -> DataFrame:
+    """pack_name, packs, over: how many packs hold more than their capacity, segments or loss tokens."""
+    per = packing.where("pack is not null").groupBy("pack_name", "capacity", "pack").agg(F.sum("tokens").alias("t"), F.sum("loss").alias("x"), F.count("*").alias("k"))
+    over = (F.col("t") > F.col("capacity")) | (F.col("x") > loss_limit(F.col("capacity"), max_loss_share)) | (F.col("k") > (max_segments or 1 << 30))
+    return per.groupBy("pack_name").agg(F.count("*").alias("packs"), F.count_if(over).alias("over"))
+
+
 def fill_report(packing: DataFrame) -> DataFrame:
     """pack_name, capacity, packs, items, tokens, fill: the share of all packs' room that is used."""
     per = packing.where("pack is not null").groupBy("pack_name", "capacity", "pack").agg(F.sum("tokens").alias("t"), F.count("*").alias("k"))

@@ -124,9 +124,13 @@ def _sized(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "source", tokens.token_count(F.col("text")).alias("tokens"))
 
 
+#: Limits on segments and on the share of loss-bearing tokens in the packs of documents, and of prompts with their answers.
+DOC_LIMITS, PAIR_LIMITS = {"max_segments": 64, "max_loss_share": 1.0}, {"max_segments": 64, "max_loss_share": 0.75}
+
+
 def p8_packs(spark: SparkSession, sf: str) -> DataFrame:
     items = _sized(spark, sf).withColumn("loss", F.greatest(F.col("tokens") - 1, F.lit(0)))
-    return packing.packed(items, _table(spark, sf, "pack_sizes")).withColumnRenamed("id", "doc_id")
+    return packing.packed(items, _table(spark, sf, "pack_sizes"), **DOC_LIMITS).withColumnRenamed("id", "doc_id")
 
 
 def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,7 +145,14 @@ def p8_pair_packs(spark: SparkSession, sf: str) -> DataFrame:
     loss = tokens.token_count(F.col("text"))
     items = pairs.select(F.col("result_id").alias("id"), loss.alias("loss"), tokens.token_count(F.col("ask")).alias("ask"))
     items = items.select("id", (F.col("loss") + F.col("ask")).alias("tokens"), "loss")
-    return packing.packed(items, _table(spark, sf, "pack_sizes"), max_segments=64, max_loss_share=0.75).withColumnRenamed("id", "result_id")
+    return packing.packed(items, _table(spark, sf, "pack_sizes"), **PAIR_LIMITS).withColumnRenamed("id", "result_id")
+
+
+def p8_over(spark: SparkSession, sf: str) -> DataFrame:
+    """How many packs of each kind go beyond a limit: none may."""
+    docs = packing.violations(p8_packs(spark, sf), **DOC_LIMITS).withColumn("kind", F.lit("documents"))
+    pairs_ = packing.violations(p8_pair_packs(spark, sf), **PAIR_LIMITS).withColumn("kind", F.lit("pairs"))
+    return docs.unionByName(pairs_).groupBy("kind", "pack_name").agg(F.sum("over").alias("over"))
 
 
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +186,7 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (
-        p1_found, p1_rates, p2_found, p2_splits, p2_quarantine, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p9_mix, p9_shares,
+        p1_found, p1_rates, p2_found, p2_splits, p2_quarantine, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p8_over, p9_mix, p9_shares,
         p10_found, p10_scores, p10_rates,
     )
     return {f.__name__: f for f in own}

@@ -28,6 +28,34 @@ def test_fill_is_near_the_bound():
     assert got.max() + 1 <= -(-t.sum() // 2048) + 2
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 50), st.integers(0, 30)), min_size=1, max_size=40))
+def test_every_fitting_kind_is_weighed(items):
+    """Against a plain reading of the heuristic: the first pack takes the item of largest dot product at every step."""
+    t, x = np.array([a for a, _ in items], np.int64), np.array([min(a, b) for a, b in items], np.int64)
+    got = packing.pack_shard(t, x, 50, 1 << 30, 30)
+    open_, room, lose, want = list(zip(t.tolist(), x.tolist())), 50, 30, []
+    while fit := [(room / 2500 * a + lose / 900 * b, a, b) for a, b in open_ if a <= room and b <= lose]:
+        _, a, b = max(fit)
+        open_.remove((a, b))
+        want.append((a, b))
+        room, lose = room - a, lose - b
+    assert sorted(zip(t[got == 0].tolist(), x[got == 0].tolist())) == sorted(want)
+
+
+def test_no_pack_bears_more_loss_than_it_may(spark):
+    rng = random.Random(4)
+    rows = [(i, n, rng.randrange(n + 1)) for i, n in enumerate(rng.choice([5, 90, 100, 130, 333]) for _ in range(300))]
+    items = spark.createDataFrame([*rows, (900, 100, 0), (901, 200, 0), (902, 200, 100), (903, 0, 0), (904, 100, 100)], "id long, tokens long, loss long")
+    packs = spark.createDataFrame([("a", 100), ("b", 64)], "pack_name string, capacity_tokens int")
+    out = packing.packed(items, packs, 9, 0.6)
+    assert {(r.pack_name, r.over) for r in packing.violations(out, 9, 0.6).collect()} == {("a", 0), ("b", 0)}
+    back = out.groupBy("pack_name", "id").agg({"tokens": "sum", "loss": "sum", "part": "count"}).collect()
+    assert {(r.id, r["sum(tokens)"], r["sum(loss)"]) for r in back} == {(r.id, r.tokens, r.loss) for r in items.collect()} and len(back) == 610
+    cut = {r.id for r in back if r.pack_name == "a" and r["count(part)"] > 1}
+    assert cut == {r.id for r in items.where("tokens > 100 or loss > 60").collect()}
+
+
 def test_packed(spark, monkeypatch):
     rng = random.Random(1)
     rows = [(i, rng.choice([0, 3, 10, 40, 99, 100, 101, 250]), None) for i in range(500)] + [(None, 5, 5), (7, 3, None), (7, 3, None), (900, None, None), (901, -4, 2)]
