@@ -125,7 +125,7 @@ def _sized(spark: SparkSession, sf: str) -> DataFrame:
 
 
 #: Limits on segments and on the share of loss-bearing tokens in the packs of documents, and of prompts with their answers.
-DOC_LIMITS, PAIR_LIMITS = {"max_segments": 64, "max_loss_share": 1.0}, {"max_segments": 64, "max_loss_share": 0.75}
+DOC_LIMITS, PAIR_LIMITS = {"max_segments": 256, "max_loss_share": 1.0}, {"max_segments": 64, "max_loss_share": 0.75}
 
 
 def p8_packs(spark: SparkSession, sf: str) -> DataFrame:
