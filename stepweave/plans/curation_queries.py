@@ -30,35 +30,28 @@ def _bodies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _body_rows(spark: SparkSession, sf: str) -> DataFrame:
-    bodies = _bodies(spark, sf)
-    graph = shred.analyse(bodies, "body", BODY_MAPS, BODY_KNOWN)
-    return shred.shredded(bodies, "raw_id", "body", graph)
+    return shred.written(_bodies(spark, sf), "raw_id", "body", BODY_MAPS, BODY_KNOWN)[0]
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _body_rows(spark, sf)
+    """Rows of the child tables, with the keys that lead to them: that of the episode first, their own last."""
+    rows = _body_rows(spark, sf).where(F.col("table").isin(*_CHILD_OF))
     child = F.create_map(*[F.lit(x) for kv in _CHILD_OF.items() for x in kv])[F.col("table")]
-    # A row id reads /{episode}/features.state_3d[3] or /{episode}/reasoning{3}; the parent's is the episode's row.
-    episode = F.regexp_extract("parent_id", r"(?s)^/\{(.*)\}$", 1)
     whole = F.when(F.col("table").endswith("{}"), (F.col("kind") == "object") & (F.col("size") > 0)).otherwise(F.col("kind") != "null")
-    return (
-        rows.where(F.col("table").isin(*_CHILD_OF) & whole)
-        .select("raw_id", episode.alias("episode_id"), child.alias("child"), F.col("key").try_cast("int").alias("step_index"))
-        .where("step_index is not null")
-        .distinct()
-    )
+    step = F.element_at("keys", -1).try_cast("int").alias("step_index")
+    return rows.where(whole).select("raw_id", F.get("keys", F.lit(0)).alias("episode_id"), child.alias("child"), step).where("step_index is not null").distinct()
 
 
 def p5_episodes(spark: SparkSession, sf: str) -> DataFrame:
     """The flat table of episodes with their inlined metadata."""
     rows = _body_rows(spark, sf).where("table = '$.{}' and kind = 'object'")
-    return rows.select("raw_id", "row_id", F.col("key").alias("episode_key"), *[F.try_element_at("columns", F.lit(f"metadata.{c}")).alias(c) for c in _EPISODE_FIELDS])
+    return rows.select("raw_id", "row_id", F.get("keys", F.lit(0)).alias("episode_key"), *[F.try_element_at("columns", F.lit(f"metadata.{c}")).alias(c) for c in _EPISODE_FIELDS])
 
 
 def p5_reasoning(spark: SparkSession, sf: str) -> DataFrame:
     """The flat table of reasoning steps, child rows of p5_episodes by (raw_id, parent_id)."""
     rows = _body_rows(spark, sf).where("table = '$.{}.reasoning.{}' and kind = 'object' and size > 0")
-    return rows.select("raw_id", "parent_id", F.col("key").alias("step"), *[F.try_element_at("columns", F.lit(c)).alias(c) for c in _REASONING_FIELDS])
+    return rows.select("raw_id", "parent_id", F.element_at("keys", -1).alias("step"), *[F.try_element_at("columns", F.lit(c)).alias(c) for c in _REASONING_FIELDS])
 
 
 def _flagged(spark: SparkSession, sf: str) -> DataFrame:

@@ -53,15 +53,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/stepweave/{uuid.uuid4().hex}/{name}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, a folder for each value of ``partition_by``, and read it back.
 
     This cuts lineage and survives the loss of executors; later branches read
     the written columns instead of computing them again.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -126,3 +126,31 @@ def test_too_large_a_graph_is_an_error(spark, monkeypatch):
     # Entries of an object with very many names count once.
     monkeypatch.setattr(shred, "MAX_FIELDS", 15)
     assert shred.analyse(_df(spark, {f"k{i}": i for i in range(20)}), "body").maps == {"$"}
+
+
+def test_rows_carry_the_keys_that_lead_to_them(spark):
+    docs = [{"7": {"reasoning": {"2": {"task": "t"}}, "features": {"state_3d": [[1, 2, 3], None]}}}, {"a/b": {"reasoning": {"0": {"plan": "p"}}}}]
+    rows = shred.written(_df(spark, *docs), "rid", "body", cq.BODY_MAPS, cq.BODY_KNOWN)[0].where("table <> '~schema' and kind <> 'null'").collect()
+    keys = {(r.rid, r["table"], tuple(r["keys"])) for r in rows}
+    assert {(0, "$.{}.reasoning.{}", ("7", "2")), (0, "$.{}.features.state_3d.[]", ("7", "0")), (1, "$.{}.reasoning.{}", ("a/b", "0")), (0, "$", ())} <= keys
+    own = {(r.rid, r.row_id): r for r in rows}
+    for r in rows:
+        if r.parent_id is not None:
+            assert r["keys"][: len(own[r.rid, r.parent_id]["keys"])] == own[r.rid, r.parent_id]["keys"]
+
+
+def test_one_pass_unless_an_element_moves(spark, monkeypatch):
+    passes, walked = [], shred._walked
+    monkeypatch.setattr(shred, "_walked", lambda *a, **k: passes.append(1) or walked(*a, **k))
+    shred.written(_df(spark, {"1": {"metadata": {"a": 1}}}), "rid", "body", {"$"})
+    assert len(passes) == 1
+    every, graph = shred.written(_df(spark, {"x": {"size": {"w": 1}}, "y": {"size": {"w": 2}}}), "rid", "body")
+    assert graph.shared == {"size"} and every.where("table = '#size'").count() == 2 and len(passes) == 4
+
+
+def test_many_places_are_passed_on(spark, monkeypatch):
+    """A task that forgets its places before it ends loses none."""
+    monkeypatch.setattr(shred, "MAX_PLACES", 3)
+    docs = [{f"n{i}": {"v": i}} for i in range(40)]
+    names = {p for p in shred.analyse(_df(spark, *docs), "body").kinds}
+    assert {f"$.n{i}.v" for i in range(40)} <= names
