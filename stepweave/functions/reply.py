@@ -31,7 +31,7 @@ def lenient_json(text: str | None):
     """The JSON value that a reply holds: as it is, without fences, with commas mended, or its first block; None if there is none."""
     if not text:
         return None
-    bare = re.sub(r"\s*```", "", re.sub(r"```(?:json)?\s*", "", text)).strip()
+    bare = re.sub(r"\s*```\s*\Z", "", re.sub(r"\A\s*```(?:json)?\s*", "", text)).strip()  # fences within values stay
     mend = lambda s: re.sub(r",\s*([}\]])", r"\1", s)
     attempts = [text, bare, mend(bare)]
     block = re.search(r"\[[\s\S]*?\]", bare) or re.search(r"\{[\s\S]*?\}", bare)

@@ -36,8 +36,8 @@ def or_default(*texts: Column) -> Column:
 
 
 def strip_fences(text: Column) -> Column:
-    """Without the opening and closing fence of a code block."""
-    return strip(F.regexp_replace(F.regexp_replace(text, r"```(?:json)?\s*", ""), r"\s*```", ""))
+    """Without the opening and closing fence of a code block; fences in between stay."""
+    return strip(F.regexp_replace(F.regexp_replace(text, r"\A\s*```(?:json)?\s*", ""), r"\s*```\s*\z", ""))
 
 
 def fix_trailing_commas(text: Column) -> Column:

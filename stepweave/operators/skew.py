@@ -50,15 +50,15 @@ def join_heads(
     return salted.join(spread, [*keys, "_salt"]).drop("_salt", "_hot")
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: list[str], spread_by: str, hot_rows: int = 200_000) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], spread_by: str, hot_rows: int = 200_000, may_broadcast: bool = True) -> DataFrame:
     """Left join of ``rows`` with a ``table`` that has each key at most once; no key is too hot, no side too large.
 
-    A table of few rows is broadcast. Else the keys of ``rows`` are counted
+    A table of few rows is broadcast, unless its rows may be long (``may_broadcast``). Else the keys of ``rows`` are counted
     first, their rows of the table looked up, and hot keys spread
     (:func:`join_heads`). ``table`` should be cheap to count. Rows with a NULL
     key keep NULLs.
     """
-    small = small_side(table)
+    small = small_side(table) if may_broadcast else table
     if small is not table:
         return rows.join(small, keys, "left")
     count = "_rows_of_key"

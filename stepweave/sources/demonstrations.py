@@ -42,8 +42,10 @@ class EpisodeReader:
 def read_tfrecords(spark: SparkSession, base: str, split: str = "train", max_episodes: int | None = None) -> EpisodeReader:
     """Demonstrations of a versioned dataset folder; with a limit, records are taken in file order."""
     tfrecord.register(spark)
-    raw = spark.read.format("tfrecord").option("split", split).load(version_dir(base))
-    return EpisodeReader(*tfrecord.demonstrations(raw), max_episodes=max_episodes)
+    folder = version_dir(base)
+    source = spark.read.format("tfrecord").option("split", split)
+    counts = spark.read.format("tfrecord").option("split", split).option("heads", "true").load(folder).select("file", "place")
+    return EpisodeReader(*tfrecord.demonstrations(tfrecord.numbered(source.load(folder), counts)), order=["record_number", "episode_id"], max_episodes=max_episodes)
 
 
 def splits_of(base: str) -> list[str]:
@@ -52,8 +54,29 @@ def splits_of(base: str) -> list[str]:
     return sorted({n.split(".tfrecord")[0].rsplit("-", 1)[-1] for n in names}) or ["train"]
 
 
-def read_hdf5(spark: SparkSession, base: str) -> DataFrame:
-    """One row per HDF5 file: path, instruction, actions, state. Needs h5py on the executors."""
+def of_files(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(episodes, steps) of rows that hold one file each: path, language_instruction, actions, state, images0, images1.
+
+    A file has as many steps as actions, else as first images. Its name without
+    ending is the episode's id; steps default to action zeros, reward 0 and
+    discount 1.
+    """
+    size = lambda c: F.coalesce(F.nullif(F.size(c), F.lit(-1)), F.lit(0))
+    n = F.when(size("actions") > 0, size("actions")).otherwise(size("images0"))
+    named = rows.withColumn("episode_id", F.regexp_extract("path", r"([^/\\]*?)(?:\.[^./\\]*)?$", 1)).withColumn("n_steps", n)
+    episodes = named.select("episode_id", F.col("path").alias("source_file"), F.lit(None).cast("int").alias("episode_num"), "language_instruction", "n_steps")
+    i = F.col("step_index")
+    steps = named.where("n_steps > 0").withColumn("step_index", F.explode(F.sequence(F.lit(0), F.col("n_steps") - 1))).select(
+        "episode_id", F.lit(None).cast("int").alias("episode_num"), "step_index", *[F.get(f"images{k}", i).alias(f"image_{k}") for k in (0, 1)],
+        *[F.lit(None).cast("binary").alias(f"image_{k}") for k in (2, 3)], F.get("state", i).alias("state"),
+        F.coalesce(F.get("actions", i), F.array_repeat(F.lit(0.0).cast("float"), 7)).alias("action"), "language_instruction", F.lit(None).cast("array<float>").alias("language_embedding"),
+        (i == 0).alias("is_first"), (i == F.col("n_steps") - 1).alias("is_last"), F.lit(False).alias("is_terminal"), F.lit(0.0).alias("reward"), F.lit(1.0).alias("discount"),
+    )
+    return episodes, steps
+
+
+def read_hdf5(spark: SparkSession, base: str, max_episodes: int | None = None) -> EpisodeReader:
+    """Demonstrations of a folder with one HDF5 file per episode, in file order. Needs h5py on the executors."""
     try:
         import h5py  # noqa: F401
     except ImportError as e:
@@ -63,6 +86,7 @@ def read_hdf5(spark: SparkSession, base: str) -> DataFrame:
         import io
 
         import h5py
+        import numpy as np
         import pandas as pd
 
         for pdf in batches:
@@ -71,11 +95,13 @@ def read_hdf5(spark: SparkSession, base: str) -> DataFrame:
                 with h5py.File(io.BytesIO(content)) as f:
                     attrs = {**f.attrs}
                     text = attrs.get("lang", attrs.get("language_instruction", ""))
-                    vectors = lambda k: [[float(x) for x in r] for r in f[k]] if k in f else []
-                    out.append((path, text.decode() if isinstance(text, bytes) else str(text), vectors("actions"), vectors("state")))
-            yield pd.DataFrame(out, columns=["path", "language_instruction", "actions", "state"])
+                    seen = f["obs"] if "obs" in f else f
+                    vectors = lambda of, k: [np.asarray(r, np.float32).ravel().tolist() for r in of[k]] if k in of else []
+                    images = lambda k: [np.asarray(r, np.uint8).tobytes() for r in seen[k]] if k in seen else []
+                    out.append((path, text.decode() if isinstance(text, bytes) else str(text), vectors(f, "actions"), vectors(seen, "state"), images("images0"), images("images1")))
+            yield pd.DataFrame(out, columns=["path", "language_instruction", "actions", "state", "images0", "images1"])
 
     files = data_files(base, ".hdf5", ".h5")
-    return spark.read.format("binaryFile").load(files).select("path", "content").mapInPandas(
-        load, "path string, language_instruction string, actions array<array<float>>, state array<array<float>>"
-    )
+    ddl = "path string, language_instruction string, actions array<array<float>>, state array<array<float>>, images0 array<binary>, images1 array<binary>"
+    rows = spark.read.format("binaryFile").load(files).select("path", "content").mapInPandas(load, ddl)
+    return EpisodeReader(*of_files(rows), order=["source_file"], max_episodes=max_episodes)

@@ -12,6 +12,7 @@ from stepweave.functions.arrays import cut2, pad7, pad_embedding, pad_state_3d
 from stepweave.functions.images import write_png
 from stepweave.functions.text import safe_path_part
 from stepweave.schemas import SHORT_NAMES
+from stepweave.sources import tfrecord
 
 VARIANTS = ("matched", "reasoning_only", "full")
 
@@ -114,19 +115,56 @@ def write_images(steps: DataFrame, path: str, key: str = "episode_id", image: st
     return have.mapInPandas(save, f"{key} string, step_index int, image_path string")
 
 
-def write_tfrecord(steps: DataFrame, path: str, key: str, order: str, name: str = "data-train") -> None:
-    """One tf.Example per episode, steps flattened; the source must be registered with the session."""
-    as_map = F.create_map(
-        F.lit("steps/action"), F.struct(F.lit(None).cast("array<binary>").alias("bytes"), F.flatten(F.col("action")).alias("floats"), F.lit(None).cast("array<bigint>").alias("ints")),
-        F.lit("steps/is_first"), F.struct(F.lit(None).cast("array<binary>").alias("bytes"), F.lit(None).cast("array<float>").alias("floats"), F.col("first").alias("ints")),
-        F.lit("steps/language_instruction"), F.struct(F.col("words").alias("bytes"), F.lit(None).cast("array<float>").alias("floats"), F.lit(None).cast("array<bigint>").alias("ints")),
-        F.lit("episode_metadata/file_path"), F.struct(F.array(F.encode(F.col(key).cast("string"), "UTF-8")).alias("bytes"), F.lit(None).cast("array<float>").alias("floats"), F.lit(None).cast("array<bigint>").alias("ints")),
-    )
-    ordered = F.array_sort(F.collect_list(F.struct(order, pad7(F.col("action")).alias("a"), F.encode(F.coalesce("language_instruction", F.lit("")), "UTF-8").alias("w"))))
-    eps = steps.groupBy(key).agg(ordered.alias("s")).select(
-        key, F.transform("s", lambda x: x.a).alias("action"), F.transform("s", lambda x: x.w).alias("words"), F.transform("s", lambda x, i: F.when(i == 0, 1).otherwise(0).cast("bigint")).alias("first")
-    )
-    eps.select(as_map.alias("features")).write.format("tfrecord").option("name", name).mode("append").save(path)
+def example_features(episodes: DataFrame, key: str = "episode_id") -> DataFrame:
+    """The feature map of each nested episode: every field of its steps, flattened over the steps, and what describes the episode.
+
+    Vectors have the sizes of the format, missing ones zeros; images are given
+    for the cameras that have any, missing ones of these as empty bytes.
+    """
+    at = F.col("steps")
+    nothing = {"bytes": F.lit(None).cast("array<binary>"), "floats": F.lit(None).cast("array<float>"), "ints": F.lit(None).cast("array<bigint>")}
+    one = lambda kind, value: F.struct(*[(value if k == kind else v).alias(k) for k, v in nothing.items()])
+    texts = lambda get: one("bytes", F.transform(at, lambda s: F.encode(F.coalesce(get(s), F.lit("")), "UTF-8")))
+    flags = lambda get: one("ints", F.transform(at, lambda s: F.coalesce(get(s), F.lit(False)).cast("bigint")))
+    numbers = lambda get: one("floats", F.transform(at, lambda s: get(s).cast("float")))
+
+    def vectors(get, size: int) -> Column:
+        zeros = F.array_repeat(F.lit(0.0).cast("float"), size)
+        return one("floats", F.flatten(F.transform(at, lambda s: F.slice(F.concat(F.coalesce(get(s), zeros), zeros), 1, size))))
+
+    field = lambda *path: lambda s: s[path[0]] if len(path) == 1 else s[path[0]][path[1]]
+    named = {
+        "steps/observation/state": vectors(lambda s: s["observation"]["state"], 7), "steps/action": vectors(lambda s: s["action"], 7),
+        "steps/language_instruction": texts(lambda s: s["language_instruction"]), "steps/language_embedding": vectors(lambda s: s["language_embedding"], 512),
+        **{f"steps/{k}": flags(field(k)) for k in ("is_first", "is_last", "is_terminal")},
+        **{f"steps/{k}": numbers(field(k)) for k in ("reward", "discount", "alignment_confidence")},
+        **{f"steps/reasoning/{k}": texts(field("reasoning", k)) for k in SHORT_NAMES},
+        **{f"steps/ecot_features/{k}": texts(field("ecot_features", k)) for k in ("caption", "move_primitive", "bboxes")},
+        "steps/ecot_features/gripper_position": vectors(lambda s: s["ecot_features"]["gripper_position"], 2),
+        "steps/ecot_features/state_3d": vectors(lambda s: s["ecot_features"]["state_3d"], 3),
+    }
+    path = F.col("source_file") if "source_file" in episodes.columns else F.col(key).cast("string")
+    number = F.col("episode_num") if "episode_num" in episodes.columns else F.lit(None)
+    named["episode_metadata/file_path"] = one("bytes", F.array(F.encode(F.coalesce(path, F.lit("")), "UTF-8")))
+    named["episode_metadata/episode_id"] = one("ints", F.array(F.coalesce(number.cast("bigint"), F.lit(-1).cast("bigint"))))
+    named["episode_metadata/has_language"] = one("ints", F.array(F.exists(at, lambda s: F.coalesce(s["language_instruction"] != "", F.lit(False))).cast("bigint")))
+    entries = [F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in named.items()]
+    for k in range(4):
+        image = field("observation", f"image_{k}")
+        seen = F.exists(F.transform(at, image), lambda x: F.coalesce(F.length(x) > 0, F.lit(False)))
+        images = one("bytes", F.transform(F.transform(at, image), lambda x: F.coalesce(x, F.lit(b""))))
+        entries.append(F.struct(F.lit(f"episode_metadata/has_image_{k}").alias("key"), one("ints", F.array(seen.cast("bigint"))).alias("value")))
+        entries.append(F.when(seen, F.struct(F.lit(f"steps/observation/image_{k}").alias("key"), images.alias("value"))))
+    return episodes.select(F.map_from_entries(F.array_compact(F.array(*entries))).alias("features"))
+
+
+def write_tfrecord(episodes: DataFrame, path: str, key: str = "episode_id", name: str = "data") -> None:
+    """Nested episodes as one tf.Example each, in files by split (train where the episodes name none)."""
+    tfrecord.register(episodes.sparkSession)
+    splits = [r[0] for r in episodes.select("split").distinct().collect()] if "split" in episodes.columns else [None]
+    for split in splits:
+        own = episodes.where(F.col("split").eqNullSafe(F.lit(split))) if "split" in episodes.columns else episodes
+        example_features(own, key).write.format("tfrecord").option("name", f"{name}-{split or 'train'}").mode("append").save(path)
 
 
 def write_summary(row: dict, path: str) -> None:
@@ -136,11 +174,15 @@ def write_summary(row: dict, path: str) -> None:
         json.dump(row, f, ensure_ascii=False, indent=2, default=str)
 
 
-def write_validation(checked: DataFrame, totals: DataFrame, path: str, limit: int = 10) -> int:
-    """The report with its first failures as JSON; the number of failed episodes."""
+def write_validation(checked: DataFrame, totals: DataFrame, path: str) -> int:
+    """The report with all failures as JSON, written as they arrive and never held together; the number of failed episodes."""
     head = totals.first().asDict()
-    bad = [r.asDict(recursive=True) for r in checked.where("not passed").limit(limit).collect()]
-    write_summary(head | {"failures": bad}, path)
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(json.dumps(head, ensure_ascii=False, indent=2, default=str)[:-2] + ',\n  "failures": [')
+        for i, r in enumerate(checked.where("not passed").toLocalIterator(prefetchPartitions=True)):
+            f.write((",\n    " if i else "\n    ") + json.dumps(r.asDict(recursive=True), ensure_ascii=False, default=str))
+        f.write("\n  ]\n}\n")
     return int(head["failed"])
 
 

@@ -9,11 +9,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-FEATURES = "features map<string,struct<bytes:array<binary>,floats:array<float>,ints:array<bigint>>>"
+from stepweave.operators.skew import small_side
+from stepweave.sources.files import file_system, listed
+
+FEATURES = "features map<string,struct<bytes:array<binary>,floats:array<float>,ints:array<bigint>>>, file string, place bigint"
 
 
 @cache
@@ -37,7 +40,7 @@ def masked_crc(data: bytes) -> int:
 
 def records(path: str, check: bool = False) -> Iterator[bytes]:
     """The payloads of a record file, plain or gzipped; one that breaks off fails."""
-    with gzip.open(path) if path.endswith(".gz") else open(path, "rb") as f:
+    with _opened(path) as f:
         while head := f.read(12):
             if len(head) < 12:
                 raise ValueError(f"{path} breaks off in a record's head")
@@ -50,6 +53,31 @@ def records(path: str, check: bool = False) -> Iterator[bytes]:
             yield body[:-4]
 
 
+def _opened(path: str):
+    where, inner = file_system(path)
+    raw = where.open_input_stream(inner, compression=None)
+    return gzip.open(raw) if path.endswith(".gz") else raw
+
+
+def count_records(path: str) -> int:
+    """How many records a file has, by their heads alone; the one that breaks off doesn't count."""
+    if path.endswith(".gz"):
+        n = 0
+        try:
+            for _ in records(path):
+                n += 1
+        except (ValueError, EOFError):
+            pass
+        return n
+    where, inner = file_system(path)
+    with where.open_input_file(inner) as f:
+        n, at, end = 0, 0, f.size()
+        while at + 12 <= end:
+            at += 16 + struct.unpack("<Q", f.read_at(8, at))[0]
+            n += at <= end
+    return n
+
+
 def framed(data: bytes) -> bytes:
     head = struct.pack("<Q", len(data))
     return head + struct.pack("<I", masked_crc(head)) + data + struct.pack("<I", masked_crc(data))
@@ -158,17 +186,35 @@ class _File(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.path, self.check = options["path"], options.get("check", "false") == "true"
-        self.split = options.get("split")
+        self.split, self.strict, self.heads = options.get("split"), options.get("mode", "skip") == "failfast", options.get("heads", "false") == "true"
 
     def partitions(self) -> list[InputPartition]:
-        if os.path.isfile(self.path):
+        files = [p for p, folder in listed(self.path) if not folder]
+        if not files:
             return [_File(self.path)]
-        names = sorted(n for n in os.listdir(self.path) if ".tfrecord" in n and (not self.split or f"-{self.split}." in n or n.startswith(self.split)))
-        return [_File(os.path.join(self.path, n)) for n in names]
+        named = [(p, p.rsplit("/", 1)[-1]) for p in files]
+        return [_File(p) for p, n in named if ".tfrecord" in n and not n.startswith(".") and (not self.split or f"-{self.split}." in n or n.startswith(self.split))]
 
     def read(self, partition: _File):
-        for payload in records(partition.path, self.check):
-            yield ({k: (v["bytes"], v["floats"], v["ints"]) for k, v in decode_example(payload).items()},)
+        """Rows of features, file and place; a broken record has no features, one that breaks off ends its file."""
+        if self.heads:
+            yield None, partition.path, count_records(partition.path)
+            return
+        place = 0
+        try:
+            for payload in records(partition.path, self.check):
+                try:
+                    found = {k: (v["bytes"], v["floats"], v["ints"]) for k, v in decode_example(payload).items()}
+                except (ValueError, IndexError, struct.error):
+                    if self.strict:
+                        raise
+                    found = None
+                yield found, partition.path, place
+                place += 1
+        except (ValueError, EOFError):
+            if self.strict:
+                raise
+            yield None, partition.path, place
 
 
 @dataclass
@@ -204,7 +250,10 @@ class _Writer(DataSourceWriter):
 
 
 class TFRecordSource(DataSource):
-    """``spark.read.format("tfrecord")``: one task per file, a map of features per record."""
+    """``spark.read.format("tfrecord")``: one task per file, a map of features per record with its file and place.
+
+    Broken records have NULL features, so that they can be counted; with ``mode`` "failfast" they fail.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -234,11 +283,19 @@ def _vectors(values: Column, n: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(values, i * size + 1, size)))
 
 
+def numbered(raw: DataFrame, counts: DataFrame) -> DataFrame:
+    """``raw`` with ``number``, the record's place in the order of all files; ``counts`` is file, place (its records), a row a file."""
+    before = F.sum("place").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("file", F.coalesce(before, F.lit(0)).alias("_before"))
+    return raw.join(small_side(offsets), "file", "left").withColumn("number", F.col("place") + F.coalesce("_before", F.lit(0))).drop("_before")
+
+
 def demonstrations(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(episodes, steps) of records that hold one demonstration each, in the flattened nested layout.
 
     Names that older files use stand in for missing ones; an episode without
-    path gets a numbered name. Steps default to action zeros, reward 0 and
+    path gets a name of its number among all records (:func:`numbered`), else
+    within its file. Broken records are left out. Steps default to action zeros, reward 0 and
     discount 1; the first and the last one are flagged as such.
     """
     text = lambda c: F.coalesce(F.decode(F.get(c["bytes"], 0), "UTF-8"), F.lit(""))
@@ -246,8 +303,9 @@ def demonstrations(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = F.coalesce(F.nullif(F.size(_f("steps/is_first")["ints"]), F.lit(-1)), (F.size(action) / 7).cast("int"))
     either = lambda a, b, kind: F.coalesce(_f(a)[kind], _f(b)[kind])
     path = text(_f("episode_metadata/file_path"))
-    base = raw.withColumn("_i", F.monotonically_increasing_id()).select(
-        "_i", path.alias("source_file"), F.get(_f("episode_metadata/episode_id")["ints"], 0).cast("int").alias("episode_num"), n.alias("n"),
+    number = F.col("number") if "number" in raw.columns else F.col("place")
+    base = raw.where("features is not null").select(
+        number.alias("_i"), path.alias("source_file"), F.get(_f("episode_metadata/episode_id")["ints"], 0).cast("int").alias("episode_num"), n.alias("n"),
         _vectors(action, n).alias("action"), _vectors(either("steps/observation/state", "steps/observation/proprio", "floats"), n).alias("state"),
         *[either(f"steps/observation/image_{k}", f"steps/observation/images{k}", "bytes").alias(f"image_{k}") for k in range(4)],
         _f("steps/language_instruction")["bytes"].alias("words"), _vectors(_f("steps/language_embedding")["floats"], n).alias("language_embedding"),
@@ -264,5 +322,5 @@ def demonstrations(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce(F.get("discount", i), F.lit(1.0)).cast("double").alias("discount"),
     )
     texts = F.filter(F.transform(F.coalesce("words", F.array().cast("array<binary>")), lambda w: F.decode(w, "UTF-8")), lambda w: w != "")
-    episodes = named.select("episode_id", "source_file", "episode_num", F.coalesce(F.get(texts, 0), F.lit("")).alias("language_instruction"), F.col("n").alias("n_steps"))
+    episodes = named.select("episode_id", "source_file", "episode_num", F.coalesce(F.get(texts, 0), F.lit("")).alias("language_instruction"), F.col("n").alias("n_steps"), F.col("_i").alias("record_number"))
     return episodes, steps

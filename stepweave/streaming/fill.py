@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -17,9 +18,12 @@ def read_appended(spark: SparkSession, path: str, schema, files_per_trigger: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def process_new(stream: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, key: str, checkpoint: str):
+def process_new(stream: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, key: str, checkpoint: str, rows_differ: bool = False):
     """Runs ``work`` on rows whose key is not in ``out`` yet and appends what it gives; repeated batches change nothing.
 
+    A key has one row, of which any copy counts; with ``rows_differ`` it may have
+    several, such as steps, that all count and arrive together.
+
     Returns the started query, which ends when all files at hand are done.
     """
 
@@ -27,9 +31,11 @@ def process_new(stream: DataFrame, work: Callable[[DataFrame], DataFrame], out:
         spark = df.sparkSession
         try:
             done = spark.read.parquet(out).select(key)
-        except Exception:  # nothing is written yet
-            done = df.select(key).limit(0)
-        fresh = not_done(df.dropDuplicates([key]), done, key)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            done = df.select(key).limit(0)  # nothing is written yet
+        fresh = not_done(df.distinct() if rows_differ else df.dropDuplicates([key]), done, key)
         work(fresh).write.mode("append").parquet(out)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -68,18 +68,29 @@ def test_tfrecord_round_trip(spark, tmp_path):
     base = tmp_path / "d" / "1.0.0"
     base.mkdir(parents=True)
     (base / "dataset_info.json").write_text("{}")
-    steps = spark.createDataFrame([("p/q", i, [float(i)] * 7, f"w{i}") for i in range(4)] + [("", 0, [0.5] * 3, None)], "e string, i int, action array<float>, language_instruction string")
-    export.write_tfrecord(steps, str(base), "e", "i")
+    rows = [("p/q", i, [float(i)] * 7, f"w{i}", [0.5] * 7, bytes([i + 1]), {"task_reasoning": f"t{i}"}, [3.0, 4.0], f"m{i}") for i in range(4)] + [("", 0, [0.5] * 3, None, None, None, None, None, None)]
+    ddl = "episode_id string, i int, action array<float>, language_instruction string, state array<float>, image_1 binary, reasoning map<string,string>, gripper_position array<float>, move_primitive string"
+    trace = "named_struct('task_reasoning', reasoning['task_reasoning'], 'plan', '', 'subtask_reasoning', '', 'subtask_reason', '', 'move_reasoning', '', 'move_reason', '') as reasoning"
+    steps = spark.createDataFrame(rows, ddl).selectExpr("* except (reasoning)", trace, "i = 0 as is_first", "float(i) as reward")
+    export.write_tfrecord(export.nested_episodes(steps, "episode_id", "i", {"split": F.lit("train")}), str(base))
     reader = demonstrations.read_tfrecords(spark, str(tmp_path / "d"))
     eps = {r.source_file: r for r in reader.episodes.collect()}
     assert eps["p/q"].n_steps == 4 and eps["p/q"].language_instruction == "w0" and eps[""].episode_id.startswith("bridge_ep_")
     got = reader.steps.where("episode_id = 'p/q'").orderBy("step_index").collect()
     assert [r.action[0] for r in got] == [0, 1, 2, 3] and got[0].is_first and got[-1].is_last and got[1].discount == 1.0
+    assert [r.reward for r in got] == [0, 1, 2, 3] and [bytes(r.image_1) for r in got] == [b"\1", b"\2", b"\3", b"\4"] and got[0].state == [0.5] * 7 and got[0].image_0 is None
+    raw = spark.read.format("tfrecord").load(str(base)).where("decode(features['episode_metadata/file_path'].bytes[0], 'UTF-8') = 'p/q'").selectExpr("explode(features)").where("value is not null").collect()
+    of = {r.key: r.value for r in raw if len(r.value["bytes"] or r.value["floats"] or r.value["ints"] or []) > 3}
+    assert [bytes(x) for x in of["steps/reasoning/task"]["bytes"]] == [b"t0", b"t1", b"t2", b"t3"] and of["steps/ecot_features/gripper_position"]["floats"] == [3.0, 4.0] * 4
+    assert {r.key: r.value["ints"] for r in raw if "has_image_1" in r.key and r.value["ints"] == [1]} and len(of["steps/language_embedding"]["floats"]) == 4 * 512
+    assert [r.episode_id for r in demonstrations.read_tfrecords(spark, str(tmp_path / "d"), max_episodes=1).episodes.collect()] == [reader.take(1).first().episode_id]
     assert len(reader) == 2 and reader.take(0).count() == 0 and reader.load("p/q").count() == 1
     with open(next(str(p) for p in base.iterdir() if "tfrecord-" in p.name), "r+b") as f:
         f.truncate(20)
+    left = spark.read.format("tfrecord").load(str(base))
+    assert left.where("features is null").count() == 1 and demonstrations.read_tfrecords(spark, str(tmp_path / "d")).episodes.count() == left.where("features is not null").count()
     with pytest.raises(Exception):
-        demonstrations.read_tfrecords(spark, str(tmp_path / "d")).episodes.count()
+        spark.read.format("tfrecord").option("mode", "failfast").load(str(base)).count()
     with pytest.raises(NotImplementedError):
         demonstrations.read_hdf5(spark, str(base))
 
@@ -117,3 +128,47 @@ def test_images_on_disk(spark, tmp_path):
     df = spark.createDataFrame([("/a/b", 3, bytes(12)), ("c", 0, None)], "episode_id string, step_index int, image_0 binary")
     got = export.write_images(df, str(tmp_path)).collect()
     assert len(got) == 1 and got[0].image_path.endswith("a_b/step_00003.png") and os.path.getsize(got[0].image_path) > 50
+
+
+def test_limits_take_records_in_file_order(spark, tmp_path):
+    tfrecord.register(spark)
+    base = tmp_path / "1.0.0"
+    base.mkdir()
+    (base / "dataset_info.json").write_text("{}")
+    text = lambda t: {"bytes": [t.encode()], "floats": None, "ints": None}
+    for k, names in enumerate((["z", ""], ["a", "", "b"])):
+        with open(base / f"d-train.tfrecord-0000{k}-of-00002", "wb") as f:
+            for n in names:
+                f.write(tfrecord.framed(tfrecord.encode_example({"episode_metadata/file_path": text(n), "steps/is_first": {"bytes": None, "floats": None, "ints": [1]}})))
+    got = demonstrations.read_tfrecords(spark, str(tmp_path), max_episodes=4)
+    assert [r.episode_id for r in got.episodes.orderBy("record_number").collect()] == ["z", "bridge_ep_000001", "a", "bridge_ep_000003"]
+    assert got.steps.count() == 4 and demonstrations.splits_of(str(tmp_path)) == ["train"]
+    assert tfrecord.count_records(str(base / "d-train.tfrecord-00001-of-00002")) == 3
+
+
+def test_files_of_one_episode_each(spark):
+    rows = spark.createDataFrame(
+        [("/x/ep_1.h5", "go", [[1.0] * 7, [2.0] * 7], [[0.0] * 7], [b"a"], []), ("y.hdf5", "", [], [], [b"a", b"b"], [b"c"]), ("none.h5", "", [], [], [], [])],
+        "path string, language_instruction string, actions array<array<float>>, state array<array<float>>, images0 array<binary>, images1 array<binary>",
+    )
+    reader = demonstrations.EpisodeReader(*demonstrations.of_files(rows), order=["source_file"])
+    assert {r.episode_id: r.n_steps for r in reader.episodes.collect()} == {"ep_1": 2, "y": 2, "none": 0}
+    steps = {(r.episode_id, r.step_index): r for r in reader.steps.collect()}
+    assert len(steps) == 4 and steps["ep_1", 1].action == [2.0] * 7 and steps["ep_1", 1].state is None and steps["y", 0].action == [0.0] * 7 and bytes(steps["y", 1].image_0) == b"b" and steps["y", 1].is_last
+
+
+def test_all_failures_are_written(spark, tmp_path):
+    checked = spark.range(25).selectExpr("id as key", "id % 5 = 0 as passed", "array('x') as errors")
+    totals = checked.selectExpr("count(*) as total", "count_if(not passed) as failed")
+    assert export.write_validation(checked, totals.groupBy().agg(F.sum("total").alias("total"), F.sum("failed").alias("failed")), str(tmp_path / "r.json")) == 20
+    with open(tmp_path / "r.json") as f:
+        report = json.load(f)
+    assert report["failed"] == 20 and len(report["failures"]) == 20
+
+
+def test_fences_within_values_stay(spark):
+    from stepweave.functions import reply, text
+
+    said = '```json\n[{"task_reasoning": "say ``` twice ``` so"}]\n```'
+    assert reply.lenient_json(said) == [{"task_reasoning": "say ``` twice ``` so"}]
+    assert spark.createDataFrame([(said,)], "t string").select(text.strip_fences(F.col("t"))).first()[0] == '[{"task_reasoning": "say ``` twice ``` so"}]'
