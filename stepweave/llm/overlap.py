@@ -130,8 +130,8 @@ def near_links(texts: DataFrame, max_edits: int = 3, common: int = 5) -> tuple[D
     pairs = t.join(e, ["sig", "part"]).where((F.abs(F.col("len_t") - F.col("len_e")) <= max_edits) & (F.col("class_t") != F.col("class_e")))
     pairs = stored(pairs.select("class_t", "class_e").distinct(), "candidates")
     words = classes.select("class", "words")
-    met = lookup(pairs, words.withColumnsRenamed({"class": "class_t", "words": "wt"}), ["class_t"], "class_e")
-    met = lookup(met, words.withColumnsRenamed({"class": "class_e", "words": "we"}), ["class_e"], "class_t")
+    met = lookup(pairs, words.withColumnsRenamed({"class": "class_t", "words": "wt"}), ["class_t"], "class_e", may_broadcast=False)
+    met = lookup(met, words.withColumnsRenamed({"class": "class_e", "words": "we"}), ["class_e"], "class_t", may_broadcast=False)
     fits = F.size(F.array_distinct(F.concat("wt", "we"))) <= len(_ALPHABET)
     near = met.where(fits).where(word_distance(F.col("wt"), F.col("we"), max_edits) >= 0)
     far = met.where(~fits).where(_within_long("wt", "we", F.lit(max_edits)))

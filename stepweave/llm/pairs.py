@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from stepweave.llm.language import language_of, wanted_language
 from stepweave.llm.refusals import is_refusal
-from stepweave.operators.skew import join_heads, small_side
+from stepweave.operators.skew import join_heads, lookup, small_side
 from stepweave.session import stored
 
 # Texts that stand for no answer.
@@ -212,12 +212,6 @@ def neighbours(texts: DataFrame, text: str, wanted: Column) -> DataFrame:
     return rows.withColumn("common", F.greatest(common_prefix(text, "before"), common_prefix(text, "after"))).drop("part", "next_first", "last_before", "before", "after")
 
 
-def _looked_up(rows: DataFrame, stats: DataFrame, key: str, spread_by: str, name: str) -> DataFrame:
-    """``rows`` with the columns of ``stats`` for their key, NULL where it has none; hot keys are spread."""
-    heads = stored(rows.groupBy(key).agg(F.count("*").alias("_n")).join(stats, key, "left"), name)
-    return join_heads(rows, heads, [key], "_n", spread_by).drop("_n")
-
-
 def broken_pairs(results: DataFrame, prompts: DataFrame) -> DataFrame:
     """(result_id, defect) of every defective answer; the one defect is the first of empty, copy, refusal, language, truncated.
 
@@ -235,7 +229,7 @@ def broken_pairs(results: DataFrame, prompts: DataFrame) -> DataFrame:
     )
     one = stored(one.select("result_id", "r.*"), "answers")
     asked = prompts.where("prompt_id is not null").groupBy("prompt_id").agg(F.min("text").alias("prompt"))
-    paired = _looked_up(one.where("prompt_id is not null"), asked, "prompt_id", "result_id", "prompts").select("result_id", "text", "prompt", "model", "tokens")
+    paired = lookup(one.where("prompt_id is not null"), asked, ["prompt_id"], "result_id", may_broadcast=False).select("result_id", "text", "prompt", "model", "tokens")
     alone = one.where("prompt_id is null").select("result_id", "text", F.lit(None).cast("string").alias("prompt"), "model", "tokens")
     idt = results.schema["result_id"].dataType.simpleString()
 
@@ -285,8 +279,8 @@ def broken_pairs(results: DataFrame, prompts: DataFrame) -> DataFrame:
     kinds = tails.groupBy("norm", "json", "later", "at_limit").agg(F.count("*").alias("n"))
     n = F.size("w")
     kinds = kinds.withColumn("w", F.split("norm", " ")).withColumn("word", F.element_at("w", -1)).withColumn("before", F.concat_ws(" ", F.get("w", n - 3), F.get("w", n - 2))).withColumn("words", n).drop("w")
-    kinds = _looked_up(stored(kinds, "tail_kinds"), by_word, "word", "norm", "words")
-    kinds = _looked_up(stored(kinds, "word_kinds"), by_ctx, "before", "norm", "contexts").join(open_, "norm")
+    kinds = lookup(stored(kinds, "tail_kinds"), stored(by_word, "words"), ["word"], "norm")
+    kinds = lookup(stored(kinds, "word_kinds"), stored(by_ctx, "contexts"), ["before"], "norm").join(open_, "norm")
     # A word or two after whole sentences is a beginning, even if it could stand alone elsewhere.
     begun = F.col("later") & (F.col("words") <= 2) & F.col("shortened")
     cut = F.col("shortened") | (F.coalesce("ends", F.lit(0)) == 0) | ((F.coalesce("ctx_ends", F.lit(0)) == 0) & (F.coalesce("ctx_inner", F.lit(0)) > 0)) | F.col("at_limit")
