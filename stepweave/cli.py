@@ -13,15 +13,17 @@ import sys
 from pyspark.sql import functions as F
 
 from stepweave import config
+from stepweave.functions import images
 from stepweave.operators import align, setops, validate
 from stepweave.operators.keys import composite_key
 from stepweave.operators.sequences import split_rollup
 from stepweave.plans import backends, generation
+from stepweave.schemas import ALIGNMENT_METADATA, PROVENANCE
 from stepweave.session import build_session, stored
 from stepweave.sources import export, lines
 from stepweave.sources.annotations import read_annotations
-from stepweave.sources.demonstrations import EpisodeReader, read_tfrecords
-from stepweave.sources.files import finished_ids
+from stepweave.sources.demonstrations import EpisodeReader, read_hdf5, read_tfrecords, splits_of
+from stepweave.sources.files import finished_ids, listed
 
 log = logging.getLogger("stepweave")
 
@@ -37,11 +39,59 @@ def setup_logging(level: str = "INFO", file: str | None = None) -> None:
     log.propagate = False
 
 
+def _read_split(spark, c: config.DemonstrationConfig, split: str) -> EpisodeReader:
+    """The demonstrations of one split, as the settings ask for them."""
+    most = None if c.shuffle else c.max_episodes
+    if c.source == "hdf5":
+        reader = read_hdf5(spark, c.local_path, most)
+    elif c.source == "parquet":
+        episodes = spark.read.parquet(f"{c.local_path}/episodes")
+        if "split" in episodes.columns:
+            episodes = episodes.where(F.col("split") == split)
+        reader = EpisodeReader(episodes, spark.read.parquet(f"{c.local_path}/steps").join(episodes.select("episode_id"), "episode_id", "left_semi"), max_episodes=most)
+    else:
+        reader = read_tfrecords(spark, c.local_path, split, most)
+    if c.shuffle:
+        mixed = [F.xxhash64(F.lit(c.shuffle_seed), "episode_id"), F.col("episode_id")]
+        reader = EpisodeReader(reader.episodes, reader.steps, mixed, c.max_episodes)
+    steps = reader.steps if c.include_secondary_camera or "image_1" not in reader.steps.columns else reader.steps.withColumn("image_1", F.lit(None).cast("binary"))
+    if c.image_size is not None:
+        for k in (k for k in steps.columns if k.startswith("image_")):
+            steps = steps.withColumn(k, images.sized(F.col(k), *c.image_size))
+    reader.episodes, reader.steps = reader.episodes.withColumn("split", F.lit(split)), steps
+    return reader
+
+
 def _demonstrations(spark, c: config.DemonstrationConfig) -> EpisodeReader:
-    if c.source == "parquet":
-        base = c.local_path
-        return EpisodeReader(spark.read.parquet(f"{base}/episodes"), spark.read.parquet(f"{base}/steps"), max_episodes=c.max_episodes)
-    return read_tfrecords(spark, c.local_path, c.split, c.max_episodes)
+    """The demonstrations of all splits that the settings name; "all" for those of the folder.
+
+    With a cache folder the tables are read once from their source and kept there as Parquet.
+    """
+    names = splits_of(c.local_path) if c.split == "all" and c.source in ("tfds", "rlds") else c.splits
+    readers = []
+    for name in names:
+        kept = f"{c.cache_dir}/{c.name}/{name}" if c.cache_dir else None
+        if kept is None or not listed(f"{kept}/steps"):
+            reader = _read_split(spark, c, name)
+            if kept is None:
+                readers.append(reader)
+                continue
+            reader.episodes.write.mode("overwrite").parquet(f"{kept}/episodes")
+            reader.steps.write.mode("overwrite").parquet(f"{kept}/steps")
+        readers.append(EpisodeReader(spark.read.parquet(f"{kept}/episodes"), spark.read.parquet(f"{kept}/steps")))
+    first, *rest = readers
+    for r in rest:
+        first.episodes, first.steps = first.episodes.unionByName(r.episodes, allowMissingColumns=True), first.steps.unionByName(r.steps, allowMissingColumns=True)
+    return first
+
+
+def _about(alignment, c: config.CurationConfig) -> list:
+    """The columns that tell how an episode was aligned and where it came from."""
+    known = {f: F.col(f) for f in alignment.columns}
+    none = lambda t: F.lit(None).cast(t)
+    how = F.struct(*[known.get(f.name, none(f.dataType)).cast(f.dataType).alias(f.name) for f in ALIGNMENT_METADATA])
+    origin = {"annotation_source": F.lit(c.annotations.name), "demonstration_source": F.lit(c.demonstrations.name), "schema_version": F.lit(c.schema_version)}
+    return [how.alias("alignment_metadata"), F.struct(*[origin.get(f.name, none(f.dataType)).cast(f.dataType).alias(f.name) for f in PROVENANCE]).alias("provenance")]
 
 
 def curate(args) -> int:
@@ -52,7 +102,7 @@ def curate(args) -> int:
     demos = _demonstrations(spark, c.demonstrations)
     keyed = demos.episodes.withColumn("join_key", composite_key(F.col("source_file"), F.col("episode_num")))
     matched = stored(align.matched_inner(keyed, notes.select("join_key").distinct()), "matched")
-    steps = demos.steps.join(matched.select("episode_id", "join_key"), "episode_id")
+    steps = demos.steps.join(matched.select("episode_id", "join_key", "split", "source_file"), "episode_id")
     out = align.aligned(steps, note_steps.drop("episode_id", "is_first", "is_last"), ["join_key"], "step_index", "reasoning", c.alignment_strategy, {"move_primitive": F.lit("")})
     out = stored(out.withColumn("reasoning", align.clean_trace(F.col("reasoning"))), "aligned")
     if c.validate_output:
@@ -65,9 +115,19 @@ def curate(args) -> int:
         checks = stored(checks, "checks")
         out = validate.only_passed(out.withColumn("key", F.col("episode_id")), checks, "key").drop("key")
         validate.report(checks).show(truncate=False)
-    split = F.lit(c.demonstrations.split)
-    nested = stored(export.nested_episodes(out, "episode_id", "step_index", {"split": split}), "nested")
-    export.exporter(c.export_format)(nested, c.output_dir)
+    if c.save_images:
+        paths = export.write_images(out, c.image_output_dir)
+        out = out.join(stored(paths, "image_paths"), ["episode_id", "step_index"], "left")
+    alignment = align.alignment_metadata(out, note_steps.join(matched.select("join_key"), "join_key", "left_semi"), ["join_key"], "reasoning", c.alignment_strategy, c.schema_version)
+    about = matched.select("episode_id", "join_key", "split", F.col("language_instruction").alias("task_description")).join(alignment, "join_key", "left")
+    about = stored(about.select("episode_id", "split", "task_description", *_about(alignment, c)), "about")
+    if c.export_format == "jsonl":
+        own = out.select("episode_id", "step_index", "action", "reasoning", "is_first", "is_last", F.lit(c.demonstrations.name).alias("source_dataset"), "alignment_confidence", *[k for k in ("image_path", "state") if k in out.columns])
+        written = lines.episode_lines(about.withColumn("schema_version", F.lit(c.schema_version)), own)
+        export.write_jsonl(written, c.output_dir)
+    nested = stored(export.nested_episodes(out, "episode_id", "step_index", {"split": F.col("split"), "source_file": F.col("source_file")}).join(about.drop("split"), "episode_id", "left"), "nested")
+    if c.export_format != "jsonl":
+        export.exporter(c.export_format)(nested, c.output_dir)
     split_rollup(nested, "split", F.col("has_reasoning")).show()
     return 0
 
@@ -82,7 +142,12 @@ def generate(args) -> int:
     s = c.frame_sampling
     image = "image_0" if "image_0" in steps.columns else None
     own = steps.select("episode_id", "step_index", *[image] * bool(image))
-    out = generation.generate(episodes, own, "episode_id", "step_index", "language_instruction", backend, done, c.resume, c.dry_run, s.strategy, s.num_frames, image)
+    if c.dataset.shuffle:
+        episodes = episodes.orderBy(F.xxhash64(F.lit(c.dataset.shuffle_seed), "episode_id"))
+    out = generation.generate(
+        episodes, own, "episode_id", "step_index", "language_instruction", backend, done, c.resume, c.dry_run, s.strategy, s.num_frames, image, s.keyframe_threshold,
+        f"{c.output_dir.rstrip('/')}_errors", c.save_raw_responses, c.per_step,
+    )
     if c.dry_run:  # prompts are shown, not kept: nothing counts as done
         out.select("episode_id", "text").show(5, truncate=False)
         return 0

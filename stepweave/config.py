@@ -24,6 +24,11 @@ class DatasetConfig:
     image_size: tuple[int, int] | None = (256, 256)
     cache_dir: str | None = None
 
+    @property
+    def splits(self) -> list[str]:
+        """The splits named, one or several with + or commas between them."""
+        return [s for s in self.split.replace("+", ",").replace(" ", "").split(",") if s]
+
 
 @dataclass
 class AnnotationConfig(DatasetConfig):
@@ -70,6 +75,8 @@ class BackendConfig:
         _one_of("detail", self.detail, ("auto", "low", "high"))
         if self.mode == "local" and not self.local_model_path:
             raise ValueError("mode 'local' needs local_model_path")
+        if self.mode == "local" and self.provider != "mock":
+            raise ValueError("local model checkpoints are not offered; serve the model and give its base_url")
         if self.api_key_env_var and not os.environ.get(self.api_key_env_var):
             warnings.warn(f"environment variable {self.api_key_env_var!r} is not set; requests will fail", stacklevel=2)
 
@@ -102,6 +109,7 @@ class GenerationConfig:
     resume: bool = True
     dry_run: bool = False
     save_raw_responses: bool = True
+    per_step: bool = False
 
 
 @dataclass

@@ -77,18 +77,30 @@ def resized(image: np.ndarray, height: int, width: int) -> np.ndarray:
     return np.rint(top * (1 - fy) + low * fy).astype(np.uint8)
 
 
+def decoded(data: bytes) -> np.ndarray:
+    """The pixels of PNG, JPEG (if Pillow is there) or raw square bytes, as RGB."""
+    if data[:8] == _PNG:
+        return png_decode(data)
+    if image_type(data):
+        try:
+            from PIL import Image
+        except ImportError as e:
+            raise NotImplementedError("reading JPEG needs the package Pillow") from e
+        import io
+
+        return np.asarray(Image.open(io.BytesIO(data)).convert("RGB"))
+    edge = _edge(data)
+    if not edge:
+        raise ValueError("neither PNG, JPEG nor a raw square image")
+    im = np.frombuffer(data, np.uint8).reshape(edge, edge, -1)
+    return np.repeat(im, 3, axis=2) if im.shape[2] == 1 else im
+
+
 def as_rgb(data: bytes | None, side: int = IMAGE_SIDE) -> np.ndarray:
     """(side, side, 3): black for nothing; gray becomes RGB; PNG or raw square images are resized."""
     if not data:
         return np.zeros((side, side, 3), np.uint8)
-    if data[:8] == _PNG:
-        return resized(png_decode(data), side, side)
-    for channels in (3, 1):
-        edge = round((len(data) / channels) ** 0.5)
-        if edge * edge * channels == len(data):
-            im = np.frombuffer(data, np.uint8).reshape(edge, edge, channels)
-            return resized(np.repeat(im, 3, axis=2) if channels == 1 else im, side, side)
-    raise ValueError("neither PNG nor a raw square image")
+    return resized(decoded(data), side, side)
 
 
 def encoded(data: bytes) -> bytes:
@@ -117,6 +129,16 @@ def ensured(image: Column, side: int = IMAGE_SIDE) -> Column:
     return run(image)
 
 
+def sized(image: Column, height: int, width: int) -> Column:
+    """Images of any readable kind as raw (height, width, 3) bytes; NULL and empty ones stay, JPEG needs Pillow."""
+
+    @F.pandas_udf("binary")
+    def run(images: pd.Series) -> pd.Series:
+        return pd.Series([resized(decoded(bytes(d)), height, width).tobytes() if d is not None and len(d) else d for d in images], dtype=object)
+
+    return run(image)
+
+
 def has_content(image: Column) -> Column:
     """Whether a raw image has any byte but 0; NULL and empty ones have none."""
 

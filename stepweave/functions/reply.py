@@ -110,6 +110,17 @@ def parsed_reply(text: Column, frames: Column, latest: bool = True) -> Column:
     return run(text, frames)
 
 
+def parsed_step(text: Column) -> Column:
+    """:func:`parse_step` over a column, as a struct."""
+    names = [*REPLY_FIELDS, "raw_response"]
+
+    @F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([parse_step(t) for t in texts], columns=names)
+
+    return run(text)
+
+
 def missing_frames(frames: Column, named: Column) -> Column:
     """Frames that no item names, in their order."""
     return F.array_except(frames, named)

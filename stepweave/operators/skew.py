@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stepweave.session import stored
 
-#: Largest number of rows that this library broadcasts on its own account.
-BROADCAST_ROWS = 100_000
+#: Largest number of rows, and of bytes in them, that this library broadcasts on its own account.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32_000_000
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, or more."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts] + [F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) for c in nested]
+    return sum(wide, F.lit(16 * len(df.columns)).cast("long"))
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else unchanged.
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows and BROADCAST_BYTES in them, else unchanged.
 
-    The size is measured, so ``df`` should be cheap to count (a written table
+    The size is measured, so ``df`` should be cheap to read (a written table
     or a small aggregate); beyond it the planner shuffles both sides.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= BROADCAST_BYTES else df
 
 
 def join_heads(

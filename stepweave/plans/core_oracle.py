@@ -168,11 +168,11 @@ def oracle_sql() -> dict[str, str]:
             select user_id, phase, above, min(step_index) as start_pos, max(step_index) + 1 as end_pos, count(*) as n from p group by user_id, phase, above""",
         "context3": f"{_EV} select user_id, step_index, coalesce(array_to_string(list(event_type) over (partition by user_id order by step_index rows between 3 preceding and 1 preceding), ','), '') as context from s",
         "limit_after_filter": f"{_EV} select user_id, count(*) as steps from s group by user_id having count(d) > 0 order by user_id limit 20",
-        "resume_anti": "select user_id, count(*) as events from events where user_id not in (select user_id from events where event_type = 'purchase' and value > 45) group by user_id",
+        "resume_anti": "select user_id, count(*) as events from events where user_id not in (select user_id from events where event_type = 'purchase' and value > 200) group by user_id",
         "json_props": "select event_id, json_extract_string(props, '$.k')::int as k from events",
         "match_inner": "select o_orderkey, o_custkey as join_key, c_name from orders join customer on o_custkey = c_custkey",
         "match_left_full": "select c_custkey as join_key, c_name, count(o_orderkey) as n_orders from customer left join orders on o_custkey = c_custkey group by all",
-        "unmatched_anti": "select c_custkey as join_key, c_name from customer where c_custkey not in (select o_custkey from orders)",
+        "unmatched_anti": "select c_custkey as join_key, c_name from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'P' and o_orderpriority like '1%')",
         "match_counts": """select count(*) as demonstrations, count(o.k) as matched, count(*) - count(o.k) as unmatched, round_even(count(o.k) / count(*)::double, 4) as match_rate
             from customer left join (select distinct o_custkey as k from orders) o on c_custkey = o.k""",
         "key_overlap": "with " + _overlap("user_id as key from events", "c_custkey as key from customer"),
@@ -243,6 +243,19 @@ def oracle_sql() -> dict[str, str]:
             g as (select distinct result_id, prompt_id, text from generation_results where text is not null),
             m as (select result_id, list_filter(f, lambda x: not list_contains(list_transform(regexp_extract_all(text, '"frame_index": ([0-9]+)', 1), lambda y: try_cast(y as int)), x)) as missing from g join p using (prompt_id))
             select result_id, array_to_string(list_transform(missing, lambda x: x::varchar), ',') as missing, len(missing)::int as n_missing from m""",
+        "parse_strict": r"""with p as (select distinct prompt_id, list_transform(string_split(regexp_extract(text, '\(frames \[([0-9, ]+)\]\)', 1), ', '), lambda x: try_cast(x as int)) as f from prompts where regexp_matches(text, '\(frames \[([0-9, ]+)\]\)')),
+            g as (select distinct result_id, prompt_id, text::json as j from generation_results where text is not null and json_valid(text)),
+            a as (select result_id, f, j, list_transform(range(json_array_length(j)::bigint), lambda i: try_cast(json_extract_string(j, '$[' || i || '].frame_index') as int)) as named from g join p using (prompt_id) where json_type(j) = 'ARRAY' and json_array_length(j) > 0),
+            ok as (select * from a where len(list_filter(named, lambda x: x is null or not list_contains(f, x))) = 0 and len(list_distinct(named)) = len(named)),
+            st as (select result_id, unnest(f) as step_index, j, named from ok),
+            it as (select result_id, step_index, json_extract(j, '$[' || (list_position(named, step_index) - 1) || ']') as e from st)
+            select result_id, step_index, nullif(trim(coalesce(nullif(trim(e ->> 'task_reasoning'), ''), e ->> 'task', '')), '') as task_reasoning, nullif(trim(coalesce(nullif(trim(e ->> 'move_reasoning'), ''), e ->> 'movement', '')), '') as move_reasoning,
+              nullif(trim(coalesce(nullif(trim(e ->> 'gripper_reasoning'), ''), e ->> 'gripper', '')), '') as gripper_reasoning from it""",
+        "mock_generate": f"""with {_STEPS}, {_FIRST_TEXT}, c as (select episode_key, count(*) as n from st group by 1),
+            f as (select episode_key, n, case when n <= 4 then range(n) else list_transform(range(4), lambda i: round_even(i * ((n - 1) / 3.0::double), 0)::bigint) end as fr from c),
+            q as (select episode_key, fr, 'Task: "' || coalesce(instruction, '') || e'"\\n\\nThe episode has ' || n || ' steps. You see ' || len(fr) || ' of them (frames [' || array_to_string(list_transform(fr, lambda x: x::varchar), ', ') ||
+              e']).\\n\\nDescribe each frame as the system prompt asks.' as text from f join own using (episode_key))
+            select episode_key, step_index, 'task ' || sha256(text)[1:8] as task_reasoning, case when list_contains(fr, step_index) then 1.0::double else 0.7::double end as alignment_confidence from st join q using (episode_key)""",
         "prompt_text": f"""with {_STEPS}, {_FIRST_TEXT}, c as (select episode_key, count(*) as n from st group by 1),
             f as (select episode_key, n, list_transform(case when n <= 4 then range(n) else list_transform(range(4), lambda i: round_even(i * ((n - 1) / 3.0::double), 0)::bigint) end, lambda x: x::varchar) as fr from c)
             select episode_key, 'Task: "' || coalesce(instruction, '') || e'"\\n\\nThe episode has ' || n || ' steps. You see ' || len(fr) || ' of them (frames [' || array_to_string(fr, ', ') ||

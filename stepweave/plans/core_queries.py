@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepweave.functions import arrays, text
+from stepweave.functions import arrays, reply, text
 from stepweave.functions.reply import parsed_reply
 from stepweave.operators import align, keys, sampling, sequences, setops, validate
 from stepweave.plans import generation
 from stepweave.plans.backends import MockBackend
 from stepweave.plans.tables import annotation_episodes, annotation_steps, demo_episodes, demo_steps, event_steps, table
 from stepweave.sources.annotations import task_text
+from stepweave.sources.demonstrations import EpisodeReader
 from stepweave.sources.export import export_step, has_reasoning
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
@@ -77,12 +78,12 @@ def context3(spark, sf):
 
 def limit_after_filter(spark, sf):
     per = event_steps(spark, sf).groupBy("user_id").agg(F.count("*").alias("steps"), F.max(F.col("task").isNotNull()).alias("annotated"))
-    return per.where("annotated").select("user_id", "steps").orderBy("user_id").limit(20)
+    return EpisodeReader(per.where("annotated").select(F.col("user_id").alias("episode_id"), "steps"), per.select(F.col("user_id").alias("episode_id"))).take(20).withColumnRenamed("episode_id", "user_id")
 
 
 def resume_anti(spark, sf):
     e = table(spark, sf, "events")
-    rest = setops.not_done(e, e.where("event_type = 'purchase' and value > 45"), "user_id")
+    rest = setops.not_done(e, e.where("event_type = 'purchase' and value > 200"), "user_id")
     return rest.groupBy("user_id").agg(F.count("*").alias("events"))
 
 
@@ -107,7 +108,7 @@ def match_left_full(spark, sf):
 
 def unmatched_anti(spark, sf):
     c = table(spark, sf, "customer").withColumnRenamed("c_custkey", "join_key").select("join_key", "c_name")
-    return align.unmatched(c, table(spark, sf, "orders").select(F.col("o_custkey").alias("join_key")))
+    return align.unmatched(c, table(spark, sf, "orders").where("o_orderstatus = 'P' and o_orderpriority like '1%'").select(F.col("o_custkey").alias("join_key")))
 
 
 def match_counts(spark, sf):
@@ -383,11 +384,20 @@ def parse_replies(spark, sf):
     return t.select("result_id", F.col("t.step_index").alias("step_index"), *[text.clean_field(F.col(f"t.{f}")).alias(f) for f in ("task_reasoning", "subtask_reasoning", "move_reasoning", "gripper_reasoning")])
 
 
+def parse_strict(spark, sf):
+    """Traces of the replies that are plain JSON arrays of objects, each of which names a frame of its prompt."""
+    strict = F.try_parse_json("text")
+    named = F.transform(F.try_variant_get(strict, F.lit("$"), "array<variant>"), lambda v: F.try_variant_get(v, F.lit("$.frame_index"), "int"))
+    ok = _replies(spark, sf).withColumn("named", named).where("size(named) > 0 and size(array_except(named, frames)) = 0 and size(array_distinct(named)) = size(named)")
+    t = ok.select("result_id", F.explode(parsed_reply(F.col("text"), F.col("frames"))).alias("t"))
+    return t.select("result_id", F.col("t.step_index").alias("step_index"), *[F.col(f"t.{f}").alias(f) for f in ("task_reasoning", "move_reasoning", "gripper_reasoning")])
+
+
 def missing_frames(spark, sf):
     """Frames that a prompt names and a reply, read as text, does not."""
     named = F.transform(F.regexp_extract_all("text", F.lit(r'"frame_index": ([0-9]+)'), F.lit(1)), lambda x: x.try_cast("int"))
     r = _replies(spark, sf).where("text is not null")
-    return r.select("result_id", F.array_except("frames", named).alias("missing")).select("result_id", _joined("missing"), F.size("missing").alias("n_missing"))
+    return r.select("result_id", reply.missing_frames(F.col("frames"), named).alias("missing")).select("result_id", _joined("missing"), F.size("missing").alias("n_missing"))
 
 
 def _prompt_input(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -412,6 +422,6 @@ def queries() -> dict:
         "match_inner match_left_full unmatched_anti match_counts key_overlap keys_union keys_common keys_except match_demo_annotations match_key_or_path demo_key_overlap composite_key split_counts "
         "curated_steps curated_coverage coverage_matrix first_instruction task_texts export_projection sample_uniform sample_linspace sample_keyframe sample_keyframe8 phase_transitions cumulative_path "
         "action_components nested_order split_rollup validate_orders validation_report failed_first10 passed_lines validate_demos clean_field filled_fields safe_path previews pad7 pad512 embedding_norm "
-        "usage_totals parse_replies missing_frames prompt_text mock_generate"
+        "usage_totals parse_replies parse_strict missing_frames prompt_text mock_generate"
     )
     return {n: globals()[n] for n in names.split()}

@@ -152,5 +152,39 @@ select episode_key, step_index, field, dim, 'impossible' as kind from r
 where isnan(x) or isinf(x) or (dim < 3 and abs(x) > reach) or (dim between 3 and 5 and abs(x) > max_angle) or (dim = 6 and (x < 0 or x > 1))"""
 
 
+# The median of all rows, every jump that comes back, and every run; what shows only once a spike is taken out would need another pass.
+P7_FOUND = """
+with st as (select distinct episode_key, step_index, lab_id, action, observation.state as state, ecot_features.state_3d as s3 from steps where episode_key is not null and step_index is not null),
+u as (
+  select episode_key, step_index, lab_id, 'action' as field, unnest(range(7))::int as dim, action as v from st where len(action) >= 7
+  union all select episode_key, step_index, lab_id, 'state', unnest(range(7))::int, state from st where len(state) >= 7
+  union all select episode_key, step_index, lab_id, 'state_3d', unnest(range(3))::int, s3 from st where len(s3) >= 3),
+r as (
+  select episode_key, step_index, lab_id, field, dim, v[dim + 1]::double as x, reach, max_angle, lag(v[dim + 1]::double) over w as px, row_number() over w > 1 as later
+  from u left join labs using (lab_id) window w as (partition by episode_key, lab_id, field, dim order by step_index)),
+m as (
+  select *, isnan(x) or isinf(x) or (dim < 3 and abs(x) > reach) or (dim between 3 and 5 and abs(x) > max_angle) or (dim = 6 and (x < 0 or x > 1)) as bad,
+    (later and coalesce(x <> px or isnan(x) or isnan(px), true))::int as moved,
+    sum(case when dim < 6 then (later and coalesce(x <> px or isnan(x) or isnan(px), true))::int else 0 end) over (partition by episode_key, lab_id, field, step_index) as total from r),
+ok as (
+  select *, total > moved as others, lag(x, 2) over w as b2, lag(x) over w as b, lead(x) over w as a, lead(x, 2) over w as a2, abs(x - lag(x) over w) as d
+  from m where dim < 6 and x is not null and not coalesce(bad, false) window w as (partition by episode_key, lab_id, field, dim order by step_index)),
+usual as (
+  select lab_id, field, dim, 10 * case when median(d) > 0 then median(d) else median(d) filter (d > 0) end as t from ok group by all),
+j as (
+  select ok.*, coalesce(abs(x - b) > t and abs(x - a) > t and (x - b) * (x - a) > 0 and abs(a - b) <= t, false) as one,
+    coalesce(abs(x - b) > t and abs(a - a2) > t and (x - b) * (a - a2) > 0 and abs(x - a2) > t and abs(a - b) > t and (x - b) * (x - a2) > 0 and abs(a2 - b) <= t, false) as pair
+  from ok join usual on ok.lab_id is not distinct from usual.lab_id and ok.field = usual.field and ok.dim = usual.dim),
+f as (
+  select *, pair and not one and not coalesce(lead(one) over w, false) as first, (b is null or x <> b)::int as fresh from j window w as (partition by episode_key, lab_id, field, dim order by step_index)),
+g as (
+  select *, one or first or coalesce(lag(first) over w, false) as spike, sum(fresh) over w as run from f window w as (partition by episode_key, lab_id, field, dim order by step_index)),
+h as (
+  select *, count(*) over k as n, sum(case when fresh = 0 and others then 1 else 0 end) over k as steps from g window k as (partition by episode_key, lab_id, field, dim, run))
+select episode_key, step_index, field, dim, 'impossible' as kind from m where bad
+union all select episode_key, step_index, field, dim, 'spike' from h where spike
+union all select episode_key, step_index, field, dim, 'stuck' from h where not spike and n >= 8 and 2 * steps >= n - 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_FOUND, "p5_reasoning": P5_REASONING, "p5_episodes": P5_EPISODES, "p7_impossible": P7_IMPOSSIBLE}
+    return {"p5_found": P5_FOUND, "p5_reasoning": P5_REASONING, "p5_episodes": P5_EPISODES, "p7_found": P7_FOUND, "p7_impossible": P7_IMPOSSIBLE}

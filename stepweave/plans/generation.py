@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stepweave.functions.images import encoded
-from stepweave.functions.reply import parsed_reply
+from stepweave.functions.reply import parsed_reply, parsed_step
 from stepweave.operators.align import aligned
-from stepweave.operators.sampling import select_frames
+from stepweave.operators.sampling import KEYFRAME_THRESHOLD, select_frames
 from stepweave.operators.setops import not_done
 from stepweave.plans.backends import Backend, Request
 from stepweave.schemas import GENERATION_RESULT, REPLY_FIELDS
@@ -49,13 +49,13 @@ def _pictures(frames: DataFrame, steps: DataFrame, key: str, order: str, image:
     return wanted.join(of_step, [key, "_at"]).groupBy(key).agg(F.transform(taken, lambda x: x["_image"]).alias("images"))
 
 
-def prompts(episodes: DataFrame, steps: DataFrame, key: str, order: str, task: str, strategy: str = "uniform", n: int = 8, image: str | None = None) -> DataFrame:
+def prompts(episodes: DataFrame, steps: DataFrame, key: str, order: str, task: str, strategy: str = "uniform", n: int = 8, image: str | None = None, threshold: float = KEYFRAME_THRESHOLD) -> DataFrame:
     """key, text, system_prompt, frames, n_steps per episode; episodes without steps have none.
 
     With ``image``, a column of encoded or raw square images in ``steps``, also
     images: those of the frames, in their order.
     """
-    frames = select_frames(steps, key, order, strategy, n)
+    frames = select_frames(steps, key, order, strategy, n, threshold)
     out = frames.join(episodes.select(key, task), key).select(
         key, episode_text(F.col(task), F.col("n_steps"), F.col("frames")).alias("text"), F.lit(SYSTEM_PROMPT).alias("system_prompt"), "frames", "n_steps"
     )
@@ -64,6 +64,24 @@ def prompts(episodes: DataFrame, steps: DataFrame, key: str, order: str, task: s
     return out.join(_pictures(frames, steps, key, order, image), key, "left").withColumn("images", F.coalesce("images", F.array().cast("array<binary>")))
 
 
+def step_prompts(asked: DataFrame, episodes: DataFrame, steps: DataFrame, key: str, order: str, task: str, image: str | None = None, before: int = 3) -> DataFrame:
+    """A request for each frame of ``asked`` (key, system_prompt, frames, n_steps): key, text, system_prompt, frames (that one), n_steps.
+
+    With ``image`` also images: those of up to ``before`` sampled frames before it, then its own.
+    """
+    each = asked.select(key, "system_prompt", "n_steps", F.col("frames").alias("_all"), F.posexplode("frames").alias("_nth", "_frame"))
+    each = each.join(episodes.select(key, task), key).withColumn("text", step_text(F.col(task), F.col("_frame")))
+    if image is None:
+        return each.select(key, "text", "system_prompt", F.array("_frame").alias("frames"), "n_steps")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
+    of_step = steps.select(key, place.alias("_at"), F.col(image).alias("_image")).where("length(_image) > 0")
+    first = F.greatest(F.lit(1), F.col("_nth") + 1 - before)
+    wanted = each.withColumn("_shown", F.slice("_all", first, F.col("_nth") + 2 - first)).select("*", F.explode("_shown").alias("_at"))
+    shown = F.array_sort(F.collect_list(F.when(F.col("_image").isNotNull(), F.struct("_at", "_image"))))
+    out = wanted.join(of_step, [key, "_at"], "left").groupBy(key, "_frame").agg(F.first("text").alias("text"), F.first("system_prompt").alias("system_prompt"), F.first("n_steps").alias("n_steps"), shown.alias("s"))
+    return out.select(key, "text", "system_prompt", F.array("_frame").alias("frames"), "n_steps", F.transform("s", lambda x: x["_image"]).alias("images"))
+
+
 def _request(text: str, images, system_prompt: str, frames) -> Request | Exception:
     try:
         return Request(text, [encoded(bytes(x)) for x in images], system_prompt, {"frames": [int(x) for x in frames]})
@@ -102,28 +120,46 @@ def generated(requests: DataFrame, key: str, backend: Backend, batch: int = 16)
     return requests.mapInPandas(run, ddl)
 
 
-def sparse_traces(results: DataFrame, key: str) -> DataFrame:
-    """key, step_index, reasoning, raw_response: one row per frame that a reply speaks of."""
+def sparse_traces(results: DataFrame, key: str, one_step: bool = False) -> DataFrame:
+    """key, step_index, reasoning, raw_response: one row per frame that a reply speaks of.
+
+    With ``one_step`` a reply is about the one frame of its row.
+    """
+    if one_step:
+        rows = results.select(key, F.get("frames", 0).alias("step_index"), parsed_step(F.col("result.text")).alias("t"))
+        return rows.select(key, "step_index", F.struct(*[F.col(f"t.{f}").alias(f) for f in REPLY_FIELDS]).alias("reasoning"), F.col("t.raw_response").alias("raw_response"))
     rows = results.select(key, F.explode(parsed_reply(F.col("result.text"), F.col("frames"))).alias("t"))
     return rows.select(key, F.col("t.step_index").alias("step_index"), F.struct(*[F.col(f"t.{f}").alias(f) for f in REPLY_FIELDS]).alias("reasoning"), F.col("t.raw_response").alias("raw_response"))
 
 
 def generate(
     episodes: DataFrame, steps: DataFrame, key: str, order: str, task: str, backend: Backend, done: DataFrame | None = None, resume: bool = True,
-    dry_run: bool = False, strategy: str = "uniform", n: int = 8, image: str | None = None,
+    dry_run: bool = False, strategy: str = "uniform", n: int = 8, image: str | None = None, threshold: float = KEYFRAME_THRESHOLD, errors: str | None = None,
+    raw: bool = True, per_step: bool = False,
 ) -> DataFrame:
     """Steps with a trace each, carried along the episode; with ``dry_run`` only the prompts.
 
     With ``resume`` episodes in ``done`` are left out. An episode whose request
     failed for good isn't in the result, so that a later run asks for it again;
-    the replies are asked for here and written once. ``image`` is the column
-    of ``steps`` that the model is shown; it isn't in the result.
+    such requests are appended as JSON lines to the folder ``errors``, if it is
+    given. The replies are asked for here and written once. ``image`` is the
+    column of ``steps`` that the model is shown; it isn't in the result. With
+    ``raw`` the model's own words stay beside each step that they were about.
+    With ``per_step`` every sampled frame has a request of its own, and an
+    episode counts as failed if one of them does.
     """
     todo = not_done(episodes, done, key) if resume and done is not None else episodes
-    asked = prompts(todo, steps, key, order, task, strategy, n, image)
+    asked = prompts(todo, steps, key, order, task, strategy, n, image, threshold)
+    if per_step:
+        asked = step_prompts(asked.drop("text", "images"), todo, steps, key, order, task, image)
     if dry_run:
         return asked
-    replies = stored(generated(asked, key, backend), "replies").where("not (result.finish_reason <=> 'error')")
-    traces = sparse_traces(replies, key)
-    chosen = (steps.drop(image) if image else steps).join(replies.select(key), key, "left_semi")
-    return aligned(chosen, traces.withColumnRenamed("step_index", order), [key], order, "reasoning", "nearest")
+    results = stored(generated(asked, key, backend), "replies")
+    bad = results.where("result.finish_reason <=> 'error'")
+    if errors is not None:
+        bad.select(key, F.col("result.metadata")["error"].alias("error")).write.mode("append").json(errors)
+    replies = results.join(bad.select(key).distinct(), key, "left_anti")
+    traces = sparse_traces(replies, key, one_step=per_step).withColumnRenamed("step_index", order)
+    chosen = (steps.drop(image) if image else steps).join(replies.select(key).distinct(), key, "left_semi")
+    out = aligned(chosen, traces.drop("raw_response"), [key], order, "reasoning", "nearest")
+    return out.join(traces.select(key, order, "raw_response"), [key, order], "left") if raw else out

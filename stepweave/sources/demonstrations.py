@@ -50,7 +50,7 @@ def read_tfrecords(spark: SparkSession, base: str, split: str = "train", max_epi
 
 def splits_of(base: str) -> list[str]:
     """Names of the splits of a versioned dataset folder."""
-    names = [n for n in map(lambda p: p.rsplit("/", 1)[-1], data_files(version_dir(base), "")) if ".tfrecord" in n]
+    names = [n for n in (p.rsplit("/", 1)[-1] for p in data_files(version_dir(base), "")) if ".tfrecord" in n]
     return sorted({n.split(".tfrecord")[0].rsplit("-", 1)[-1] for n in names}) or ["train"]
 
 
