@@ -116,8 +116,7 @@ def curate(args) -> int:
         out = validate.only_passed(out.withColumn("key", F.col("episode_id")), checks, "key").drop("key")
         validate.report(checks).show(truncate=False)
     if c.save_images:
-        paths = export.write_images(out, c.image_output_dir)
-        out = out.join(stored(paths, "image_paths"), ["episode_id", "step_index"], "left")
+        out = out.withColumn("image_path", export.image_path(c.image_output_dir, F.col("episode_id"), F.col("step_index"), F.col("image_0")))
     alignment = align.alignment_metadata(out, note_steps.join(matched.select("join_key"), "join_key", "left_semi"), ["join_key"], "reasoning", c.alignment_strategy, c.schema_version)
     about = matched.select("episode_id", "join_key", "split", F.col("language_instruction").alias("task_description")).join(alignment, "join_key", "left")
     about = stored(about.select("episode_id", "split", "task_description", *_about(alignment, c)), "about")
@@ -128,6 +127,8 @@ def curate(args) -> int:
     nested = stored(export.nested_episodes(out, "episode_id", "step_index", {"split": F.col("split"), "source_file": F.col("source_file")}).join(about.drop("split"), "episode_id", "left"), "nested")
     if c.export_format != "jsonl":
         export.exporter(c.export_format)(nested, c.output_dir)
+    if c.save_images:  # after the export, which clears its folder
+        log.info("%d images", export.write_images(out, c.image_output_dir).count())
     split_rollup(nested, "split", F.col("has_reasoning")).show()
     return 0
 

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import codecs
+import json
+import re
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepweave.functions.text import or_default
 from stepweave.operators.keys import composite_key
 from stepweave.schemas import SHORT_NAMES, TRACE_FIELDS
-from stepweave.sources.files import find_json
+from stepweave.session import new_folder
+from stepweave.sources.files import file_system, find_json
+
+#: A larger annotation file is split into lines before it is parsed.
+SPLIT_BYTES = 64_000_000
 
 
 def _get(value: Column, path: str, kind: str) -> Column:
@@ -79,14 +88,108 @@ def entries_of_file(documents: DataFrame, text: str = "value") -> DataFrame:
     return files.where(_is_object(F.col("_e"))).select("file_path", _children(F.col("_e"), "source_episode_id", "entry"))
 
 
+_OUTSIDE, _INSIDE = re.compile(r'["{}\[\],]'), re.compile(r'["\\]')
+
+
+def split_entries(chunks: Iterable[str]) -> Iterator[tuple[str, str, str]]:
+    """(file path, episode id, entry as JSON text) of a document that maps path to id to entry, read chunk by chunk.
+
+    Only the entry at hand is held. Values on the two upper levels that are no
+    object give nothing; a document that breaks off gives what came before.
+    """
+    opened: list[str] = []  # brackets that are open
+    keys = ["", ""]
+    held: list[str] = []  # what was read of the key or entry at hand
+    holding = None
+    key_next = quoted = escaped = False
+    for chunk in chunks:
+        at = start = 0
+        while at < len(chunk):
+            if escaped:
+                at, escaped = at + 1, False
+                continue
+            m = (_INSIDE if quoted else _OUTSIDE).search(chunk, at)
+            if m is None:
+                break
+            ch, at = m.group(), m.end()
+            if quoted:
+                escaped, quoted = ch == "\\", ch == "\\"
+                if not quoted and holding == "key":
+                    keys[len(opened) - 1] = json.loads("".join([*held, chunk[start:at]]), strict=False)
+                    held, holding, key_next = [], None, False
+            elif ch == '"':
+                quoted = True
+                if key_next:
+                    holding, start = "key", m.start()
+            elif ch in "{[":
+                opened.append(ch)
+                upper = holding is None and all(x == "{" for x in opened)
+                key_next = upper and len(opened) < 3
+                if upper and len(opened) == 3:
+                    holding, start = "entry", m.start()
+            elif ch == ",":
+                key_next = holding is None and 0 < len(opened) < 3 and all(x == "{" for x in opened)
+            else:
+                if holding == "entry" and len(opened) == 3:
+                    yield keys[0], keys[1], "".join([*held, chunk[start:at]])
+                    held, holding = [], None
+                opened, key_next = opened[:-1], False
+        if holding:
+            held.append(chunk[start:])
+
+
+def split_file(path: str, out: str, lines_per_part: int = 20_000, chunk: int = 1 << 22) -> int:
+    """Writes the entries of one huge annotation file as parts of JSON lines, which many tasks can read; the number of entries.
+
+    One pass over the file, in memory for one entry and one chunk.
+    """
+    source, inner = file_system(path)
+    target, folder = file_system(out)
+    target.create_dir(folder, recursive=True)
+    n, part = 0, None
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    with source.open_input_stream(inner) as f:
+        pieces = iter(lambda: f.read(chunk), b"")
+        for file_path, episode, entry in split_entries(decoder.decode(p) for p in pieces):
+            if n % lines_per_part == 0:
+                if part is not None:
+                    part.close()
+                part = target.open_output_stream(f"{folder}/part-{n // lines_per_part:05d}.jsonl")
+            line = json.dumps({"file_path": file_path, "source_episode_id": episode, "entry": entry}, ensure_ascii=False)
+            part.write(line.encode() + b"\n")
+            n += 1
+    if part is not None:
+        part.close()
+    return n
+
+
+def entries_of_lines(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Entries of lines that :func:`split_file` has written."""
+    row = F.from_json(text, "file_path string, source_episode_id string, entry string")
+    rows = lines.select(row.alias("r")).select("r.file_path", "r.source_episode_id", F.try_parse_json("r.entry").alias("entry"))
+    return rows.where("file_path is not null and source_episode_id is not null")
+
+
 def read_annotations(spark: SparkSession, path: str, require_reasoning: bool = False, max_episodes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(episodes, steps) of an annotation file or of the first one in a folder.
 
     With ``require_reasoning`` only episodes with at least one trace count,
-    also towards ``max_episodes`` (in order of path and id). A file is one
-    document and so one task: split huge ones into lines of bodies first.
+    also towards ``max_episodes`` (in order of path and id). A file of more than
+    SPLIT_BYTES, or one that ends in .jsonl, is read as lines, split before
+    (:func:`split_file`) into the shared folder; a smaller one is one document.
     """
-    episodes = flat_episodes(entries_of_file(spark.read.text(find_json(path), wholetext=True)))
+    if path.endswith(".jsonl"):
+        entries = entries_of_lines(spark.read.text(path))
+    else:
+        found = find_json(path)
+        where, inner = file_system(found)
+        if where.get_file_info(inner).size > SPLIT_BYTES:
+            parts = new_folder(spark, "annotation_lines")
+            split_file(found, parts)
+            entries = entries_of_lines(spark.read.text(parts))
+        else:
+            entries = entries_of_file(spark.read.text(found, wholetext=True))
+    episodes = flat_episodes(entries)
     if require_reasoning:
         episodes = episodes.where(F.exists(F.map_values("reasoning_map"), lambda r: trace_of(r).isNotNull()))
     if max_episodes is not None:

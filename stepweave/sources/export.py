@@ -93,6 +93,11 @@ def write_jsonl(episodes: DataFrame, path: str, mode: str = "append") -> None:
     json_lines(episodes).write.mode(mode).text(path)
 
 
+def image_path(path: str, key: Column, step: Column, image: Column) -> Column:
+    """Where :func:`write_images` puts the image of a step; NULL without one."""
+    return F.when(F.length(image) > 0, F.concat(F.lit(path.rstrip("/") + "/"), safe_path_part(key), F.format_string("/step_%05d.png", step)))
+
+
 def write_images(steps: DataFrame, path: str, key: str = "episode_id", image: str = "image_0") -> DataFrame:
     """Writes step_00000.png per step below a folder per episode and gives key, step_index, image_path.
 

@@ -83,6 +83,32 @@ def test_a_failing_request_costs_its_own_episode_only(spark):
         backend.generate_batch([Request('"bad')])
 
 
+class Single(MockBackend):
+    """Answers about the one frame it is shown, with how many images came."""
+
+    def generate(self, request):
+        got = super().generate(request)
+        got.text = '{"task": "seen %d", "motion": "%s"}' % (len(request.images), request.text.split("Step: ")[1].split()[0])
+        return got
+
+
+def test_a_request_for_each_sampled_frame(spark):
+    steps = spark.createDataFrame([("a", i, b"\xff\xd8\xff" + bytes([i]) if i != 2 else None) for i in range(5)], "e string, i int, img binary")
+    eps = spark.createDataFrame([("a", "t")], "e string, task string")
+    out = generation.generate(eps, steps, "e", "i", "task", Single("m"), n=3, image="img", per_step=True).orderBy("i").collect()
+    assert [(r.reasoning.task_reasoning, r.reasoning.move_reasoning, r.alignment_confidence) for r in out] == [
+        ("seen 1", "0", 1.0), ("seen 1", "0", 0.7), ("seen 1", "2", 1.0), ("seen 1", "2", 0.7), ("seen 2", "4", 1.0)
+    ]
+    assert out[0].raw_response.startswith("{") and out[1].raw_response is None
+
+
+def test_errors_are_kept_apart(spark, tmp_path):
+    eps, steps = spark.createDataFrame([("a", "bad"), ("b", "t")], "e string, task string"), spark.createDataFrame([("a", 0), ("b", 0)], "e string, i int")
+    out = generation.generate(eps, steps, "e", "i", "task", Moody("m", max_retries=0), errors=str(tmp_path / "errors"), raw=False)
+    assert [r.e for r in out.collect()] == ["b"] and "raw_response" not in out.columns
+    assert [(r.e, r.error) for r in spark.read.json(str(tmp_path / "errors")).collect()] == [("a", "no")]
+
+
 def test_step_text(spark):
     df = spark.sql("select 't' as task, array('x','y') as c, array() as n")
     row = df.select(generation.step_text(F.col("task"), F.lit(3), F.col("c")).alias("a"), generation.step_text(F.col("task"), F.lit(3)).alias("b")).first()
@@ -139,6 +165,9 @@ def test_config(tmp_path, monkeypatch):
         config.from_dict(config.CurationConfig, {"nothing": 1})
     with pytest.raises(ValueError):
         config.DemonstrationConfig(source="hdf5")
+    with pytest.raises(ValueError):
+        config.BackendConfig(provider="qwen", mode="local", local_model_path="/m")
+    assert config.DatasetConfig(split="train+val, test").splits == ["train", "val", "test"]
     monkeypatch.setenv("OPENAI_API_KEY", "k")
     p.write_text("provider: openai\nmax_tokens: 5\n")
     b = config.load_backend(p)

@@ -172,3 +172,49 @@ def test_fences_within_values_stay(spark):
     said = '```json\n[{"task_reasoning": "say ``` twice ``` so"}]\n```'
     assert reply.lenient_json(said) == [{"task_reasoning": "say ``` twice ``` so"}]
     assert spark.createDataFrame([(said,)], "t string").select(text.strip_fences(F.col("t"))).first()[0] == '[{"task_reasoning": "say ``` twice ``` so"}]'
+
+
+def test_annotation_files_are_split_in_one_pass(spark, tmp_path, monkeypatch):
+    doc = {'a/ou"t.npy': {"42": {"x": [1, {"y": '}{"['}]}, "43": 5, "44": {}, "\u00e9\n": {"m": {"n": {"o": "q\\"}}}}, "b": None, "c": [{"d": 1}], "d": {"1": [{"z": 1}], "2": {"k": "v"}}, "e": "str{"}
+    want = [(p, i, e) for p, m in doc.items() if isinstance(m, dict) for i, e in m.items() if isinstance(e, dict)]
+    for text in (json.dumps(doc), json.dumps(doc, indent=2, ensure_ascii=False)):
+        for size in (1, 2, 3, 5, 7, 16, 1000):
+            pieces = (text[k : k + size] for k in range(0, len(text), size))
+            assert [(p, i, json.loads(e)) for p, i, e in annotations.split_entries(pieces)] == want
+    assert list(annotations.split_entries([json.dumps(doc)[:60]])) == [('a/ou"t.npy', "42", '{"x": [1, {"y": "}{\\"["}]}')] and list(annotations.split_entries([])) == []
+    path = tmp_path / "notes.json"
+    path.write_text(json.dumps(TEXT))
+    whole = annotations.read_annotations(spark, str(path))
+    monkeypatch.setattr(annotations, "SPLIT_BYTES", 10)
+    parts = annotations.read_annotations(spark, str(path))
+    assert [sorted(map(str, t.collect())) for t in whole] == [sorted(map(str, t.collect())) for t in parts]
+    assert annotations.split_file(str(path), str(tmp_path / "parts"), lines_per_part=2) == 3 and len(list((tmp_path / "parts").iterdir())) == 2
+
+
+def test_curate_several_splits(spark, tmp_path):
+    import yaml
+
+    from stepweave import cli
+
+    rows = [(f"e{k}", f"p{k}", k, "go", s) for k, s in enumerate(["train", "train", "val", "test"])]
+    spark.createDataFrame(rows, "episode_id string, source_file string, episode_num int, language_instruction string, split string").write.parquet(str(tmp_path / "demos/episodes"))
+    steps = [(f"e{k}", i, [0.1] * 7, i == 0, i == 2, bytes([k] * 12)) for k in range(4) for i in range(3)]
+    spark.createDataFrame(steps, "episode_id string, step_index int, action array<float>, is_first boolean, is_last boolean, image_0 binary").write.parquet(str(tmp_path / "demos/steps"))
+    notes = {f"p{k}": {str(k): {"metadata": {"n_steps": 3}, "reasoning": {"0": {"task": f"t{k}"}}}} for k in range(4)}
+    (tmp_path / "notes.json").write_text(json.dumps(notes))
+    settings = {
+        "annotations": {"local_path": str(tmp_path / "notes.json")}, "output_dir": str(tmp_path / "out"), "save_images": True, "image_output_dir": str(tmp_path / "images"),
+        "demonstrations": {"local_path": str(tmp_path / "demos"), "split": "train+val", "image_size": [1, 1], "cache_dir": str(tmp_path / "cache"), "shuffle": True},
+    }
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(settings))
+    assert cli.main(["curate", "--config", str(tmp_path / "c.yaml")]) == 0
+    out = spark.read.parquet(str(tmp_path / "out")).where("variant = 'matched'").collect()
+    assert sorted((r.episode_id, r.split) for r in out) == [("e0", "train"), ("e1", "train"), ("e2", "val")]
+    one = next(r for r in out if r.episode_id == "e1")
+    assert one.alignment_metadata.strategy == "nearest" and one.provenance.demonstration_source == "bridge_v2" and bytes(one.steps[0].observation.image_0) == b"\1\1\1" and one.steps[2].reasoning.task == "t1"
+    assert len(list((tmp_path / "images").iterdir())) == 3 and (tmp_path / "cache/bridge_v2/val/steps").is_dir()
+    for fmt in ("jsonl", "tfrecord"):
+        (tmp_path / "c.yaml").write_text(yaml.safe_dump(settings | {"export_format": fmt, "output_dir": str(tmp_path / fmt), "save_images": False}))
+        assert cli.main(["curate", "--config", str(tmp_path / "c.yaml")]) == 0
+    assert {json.loads(r.value)["episode_id"] for r in spark.read.text(str(tmp_path / "jsonl")).collect()} == {"e0", "e1", "e2"}
+    assert spark.read.format("tfrecord").load(str(tmp_path / "tfrecord")).count() == 3
