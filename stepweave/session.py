@@ -48,9 +48,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_OWN_DIRS[app]}"
 
 
+_KEPT: set[str] = set()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """The path of a folder of its own in the shared folder."""
-    return f"{shared_dir(spark)}/stepweave/{uuid.uuid4().hex}/{name}"
+    """The path of a folder of its own in the shared folder, which goes with the application."""
+    app = f"{shared_dir(spark)}/stepweave/{spark.sparkContext.applicationId}"
+    if app not in _KEPT:
+        _KEPT.add(app)
+        path = spark._jvm.org.apache.hadoop.fs.Path(app)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{app}/{uuid.uuid4().hex}/{name}"
 
 
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
