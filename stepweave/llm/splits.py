@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stepweave.operators.skew import join_heads, lookup
+from stepweave.operators.skew import lookup, small_side
 from stepweave.session import stored
 
 QUARANTINE = "quarantine"
@@ -35,6 +35,19 @@ def session_of(path: Column) -> Column:
     return F.coalesce(F.nullif(found, F.lit("")), F.nullif(whole, F.lit("")))
 
 
+def _sized(table: DataFrame) -> tuple[DataFrame, bool]:
+    """A table that is looked up more than once, and whether it may be broadcast."""
+    small = small_side(table)
+    return small, small is not table
+
+
+def _found(rows: DataFrame, sized: tuple[DataFrame, bool], names: dict[str, str], key: str, spread_by: str) -> DataFrame:
+    """Left join of ``rows`` with a table that was sized before, under new names; hot keys are spread."""
+    table, small = sized
+    renamed = table.withColumnsRenamed(names)
+    return rows.join(F.broadcast(renamed), key, "left") if small else lookup(rows, renamed, [key], spread_by, may_broadcast=False)
+
+
 def pointer_components(edges: DataFrame) -> DataFrame:
     """(node, root) of an undirected edge table a, b; root is the smallest node reached.
 
@@ -60,9 +73,9 @@ def pointer_components(edges: DataFrame) -> DataFrame:
             if jumped.where("moved").isEmpty():
                 break
         # A root may stand on very many edges and labels: it is looked up with its hot keys spread.
-        labels = lookup(labels, hooks.select("root", "next"), ["root"], "node").select("node", F.coalesce("next", "root").alias("root"))
-        lo = lookup(live, hooks.select(F.col("root").alias("lo"), F.col("next").alias("lo2")), ["lo"], "hi")
-        both = lookup(lo, hooks.select(F.col("root").alias("hi"), F.col("next").alias("hi2")), ["hi"], "lo")
+        to = _sized(hooks.select("root", "next"))
+        labels = _found(labels, to, {}, "root", "node").select("node", F.coalesce("next", "root").alias("root"))
+        both = _found(_found(live, to, {"root": "lo", "next": "lo2"}, "lo", "hi"), to, {"root": "hi", "next": "hi2"}, "hi", "lo")
         live = (
             both.select(F.coalesce("lo2", "lo").alias("x"), F.coalesce("hi2", "hi").alias("y"))
             .where("x <> y")
@@ -166,6 +179,8 @@ class SplitTable:
     def _roots(self, wanted: DataFrame) -> DataFrame:
         """component, root, split for the components ``wanted``, following merges to the end."""
         todo = stored(wanted.select(F.col("component"), F.col("component").alias("at")), "wanted")
+        if todo.isEmpty():
+            return todo.select("component", F.col("at").alias("root"), F.lit(None).cast("string").alias("split"))
         while True:
             near = [r[0] for r in todo.select(self._bucket(F.col("at"))).distinct().collect()]
             rows = self._components(near).select(F.col("component").alias("at"), "root", "split")
@@ -219,16 +234,17 @@ class SplitTable:
         placed = stored(lookup(touched, roots.select("component", "root"), ["component"], "node").select("node", "split", F.concat(F.lit("c:"), "root").alias("at")), "placed")
 
         # Edges between components, where there are any, else between nodes.
-        at = placed.select("node", "at")
-        edges = lookup(ties, at, ["node"], "value").select(F.coalesce("at", "node").alias("a"), "value")
-        edges = lookup(edges, at.withColumnsRenamed({"node": "value", "at": "at2"}), ["value"], "a").select("a", F.coalesce("at2", "value").alias("b")).distinct()
+        at = _sized(placed.select("node", "at"))
+        edges = _found(ties, at, {}, "node", "value").select(F.coalesce("at", "node").alias("a"), "value")
+        edges = _found(edges, at, {"node": "value", "at": "at2"}, "value", "a").select("a", F.coalesce("at2", "value").alias("b")).distinct()
         groups = stored(pointer_components(edges), "groups")
-        ends = lookup(nodes, at, ["node"], "node").select("node", "record", F.col("at").isNull().alias("new"), F.coalesce("at", "node").alias("end"))
-        found = stored(lookup(ends, groups.select(F.col("node").alias("end"), "root"), ["end"], "node").select("node", "record", "new", F.coalesce("root", "end").alias("group")), "found")
+        by_node = _sized(groups)
+        ends = _found(nodes, at, {}, "node", "node").select("node", "record", F.col("at").isNull().alias("new"), F.coalesce("at", "node").alias("end"))
+        found = stored(_found(ends, by_node, {"node": "end"}, "end", "node").select("node", "record", "new", F.coalesce("root", "end").alias("group")), "found")
 
         # What each group holds: known components and their splits, new records.
         known = roots.select(F.concat(F.lit("c:"), "root").alias("node"), F.col("root").alias("component"), "split").distinct()
-        known = stored(lookup(known, groups, ["node"], "component").select("component", "split", F.coalesce("root", "node").alias("group")), "known")
+        known = stored(_found(known, by_node, {}, "node", "component").select("component", "split", F.coalesce("root", "node").alias("group")), "known")
         held = known.groupBy("group").agg(
             F.min("split").alias("lo"), F.max("split").alias("hi"), F.max(F.col("split") == QUARANTINE).alias("barred"), F.min("component").alias("root"), F.count("*").alias("parts")
         )
