@@ -163,7 +163,7 @@ class SplitTable:
         return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
 
     def _write(self, df: DataFrame, name: str, batch: int, node: str | None) -> None:
-        out = df if node is None else df.withColumn("bucket", self._bucket(F.col(node))).repartition("bucket", F.pmod(F.xxhash64(F.lit(1), node), F.lit(8)))
+        out = df if node is None else df.withColumn("bucket", self._bucket(F.col(node))).repartition("bucket")
         writer = out.write.mode("overwrite").option("compression", "zstd")
         # The folder of a batch is there even if nothing falls into it.
         (writer if node is None else writer.partitionBy("bucket")).parquet(f"{self.path}/{name}/batch={batch}")
