@@ -115,6 +115,9 @@ def curate(args) -> int:
         checks = stored(checks, "checks")
         out = validate.only_passed(out.withColumn("key", F.col("episode_id")), checks, "key").drop("key")
         validate.report(checks).show(truncate=False)
+    if c.export_format in ("rlds", "tfrecord"):  # of one size, black where a step has none
+        for k in (k for k in out.columns if k in ("image_0", "image_1", "image_2", "image_3")):
+            out = out.withColumn(k, images.ensured(F.col(k)))
     if c.save_images:
         out = out.withColumn("image_path", export.image_path(c.image_output_dir, F.col("episode_id"), F.col("step_index"), F.col("image_0")))
     alignment = align.alignment_metadata(out, note_steps.join(matched.select("join_key"), "join_key", "left_semi"), ["join_key"], "reasoning", c.alignment_strategy, c.schema_version)

@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stepweave.schemas import IMAGE_SIDE
+from stepweave.sources.files import file_system
 
 _PNG = b"\x89PNG\r\n\x1a\n"
 
@@ -129,6 +130,38 @@ def ensured(image: Column, side: int = IMAGE_SIDE) -> Column:
     return run(image)
 
 
+def loaded(image: Column, path: Column) -> Column:
+    """The image itself, else the bytes of the file at ``path``; NULL without either, or where the file is missing."""
+
+    @F.pandas_udf("binary")
+    def run(images: pd.Series, paths: pd.Series) -> pd.Series:
+        def one(data, at):
+            if data is not None and len(data):
+                return data
+            if not at:
+                return None
+            where, inner = file_system(at)
+            try:
+                with where.open_input_file(inner) as f:
+                    return f.read()
+            except FileNotFoundError:
+                return None
+
+        return pd.Series([one(d, p) for d, p in zip(images, paths)], dtype=object)
+
+    return run(image, path)
+
+
+def base64_text(image: Column) -> Column:
+    """An image as models take it over a network: PNG or JPEG bytes in base64; raw square images become PNG."""
+
+    @F.pandas_udf("binary")
+    def run(images: pd.Series) -> pd.Series:
+        return pd.Series([encoded(bytes(d)) if d is not None and len(d) else None for d in images], dtype=object)
+
+    return F.base64(run(image))
+
+
 def sized(image: Column, height: int, width: int) -> Column:
     """Images of any readable kind as raw (height, width, 3) bytes; NULL and empty ones stay, JPEG needs Pillow."""
 

@@ -7,7 +7,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stepweave.functions.text import or_default
@@ -170,6 +170,29 @@ def entries_of_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     return rows.where("file_path is not null and source_episode_id is not null")
 
 
+def row_numbers(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` of files with their place in reading order, dense from 0: partitions are counted first, and no row moves."""
+    place = F.monotonically_increasing_id()
+    numbered = rows.withColumn("_at", place)
+    part = F.shiftright("_at", 33)
+    counts = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    # One row a partition of the scan.
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = F.col("_at") - F.shiftleft(F.col("_part"), 33)
+    return numbered.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + inside).drop("_at", "_part", "_before")
+
+
+def entries_of_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of a dataset with one row per episode, Parquet or JSON lines: file path and id are both the row's number."""
+    if path.rstrip("/").endswith((".jsonl", ".json", ".ndjson")):
+        rows = spark.read.text(path).where(F.trim("value") != "").select(F.try_parse_json("value").alias("entry"))
+    else:
+        table = spark.read.parquet(path)
+        rows = table.select(F.to_variant_object(F.struct(*table.columns)).alias("entry"))
+    numbered = row_numbers(rows, "_row")
+    return numbered.select(F.col("_row").cast("string").alias("file_path"), F.col("_row").cast("string").alias("source_episode_id"), "entry")
+
+
 def read_annotations(spark: SparkSession, path: str, require_reasoning: bool = False, max_episodes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(episodes, steps) of an annotation file or of the first one in a folder.
 

@@ -191,6 +191,51 @@ def test_annotation_files_are_split_in_one_pass(spark, tmp_path, monkeypatch):
     assert annotations.split_file(str(path), str(tmp_path / "parts"), lines_per_part=2) == 3 and len(list((tmp_path / "parts").iterdir())) == 2
 
 
+def test_datasets_of_one_row_an_episode(spark, tmp_path):
+    rows = [json.dumps({"metadata": {"n_steps": 2}, "reasoning": {"0": {"task": f"t{i}"}}}) for i in range(20)]
+    (tmp_path / "rows.jsonl").write_text("\n".join(rows))
+    lines = annotations.entries_of_rows(spark, str(tmp_path / "rows.jsonl"))
+    spark.read.json(str(tmp_path / "rows.jsonl")).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    for entries in (lines, annotations.entries_of_rows(spark, str(tmp_path / "rows"))):
+        episodes = annotations.flat_episodes(entries)
+        assert {r.episode_id for r in episodes.collect()} == {f"{i}_{i}" for i in range(20)}
+        steps = {(r.episode_id, r.step_index): r.reasoning for r in annotations.flat_steps(episodes).collect()}
+        assert len(steps) == 40 and steps["7_7", 0].task_reasoning == "t7" and steps["7_7", 1] is None
+    spread = annotations.row_numbers(spark.range(100, numPartitions=7), "n")
+    assert all(r.id == r.n for r in spread.collect())
+
+
+def test_objects_as_lines_and_back(spark):
+    from stepweave.sources import lines
+
+    trace = "named_struct('task_reasoning', 't', 'plan', null, 'raw_response', 'r', 'extra', map('k', 'v'))"
+    step = f"named_struct('step_index', 1, 'action', array(1f, 2f), 'reasoning', {trace}, 'is_first', true, 'is_last', false, 'image_path', null, 'state_3d', array(1f))"
+    df = spark.sql(f"select 'e' as episode_id, 'go' as language_instruction, map('a', 'b') as metadata, array({step}) as steps, 5 as other")
+    text = lines.object_lines(df, "annotation_episode")
+    value = json.loads(text.first().value)
+    assert set(value) == {"episode_id", "language_instruction", "source_dataset", "metadata", "steps"} and value["source_dataset"] is None
+    assert set(value["steps"][0]) == {"step_index", "action", "reasoning", "is_first", "is_last", "image_path"} and "raw_response" not in value["steps"][0]["reasoning"]
+    back = lines.objects_of(text, "annotation_episode").first()
+    assert back.steps[0].reasoning.task_reasoning == "t" and back.steps[0].reasoning.extra == {"k": "v"} and back.steps[0].action == [1.0, 2.0]
+    for kind in lines.SHAPES:
+        assert lines.objects_of(lines.object_lines(df, kind), kind).count() == 1
+    told = spark.createDataFrame([('{"task_reasoning": "x", "raw_response": "all of it"}',), ("",)], "value string")
+    assert [(r.task_reasoning, r.raw_response, r.plan) for r in lines.objects_of(told, "trace").collect()] == [("x", "all of it", None)]
+
+
+def test_images_by_path_and_as_text(spark, tmp_path):
+    import base64
+
+    from stepweave.functions import images
+
+    (tmp_path / "a.png").write_bytes(b"\x89PNG\r\n\x1a\nxyz")
+    df = spark.createDataFrame([(None, str(tmp_path / "a.png")), (b"own", "x"), (None, str(tmp_path / "none.png")), (None, None)], "image binary, path string")
+    got = [None if r[0] is None else bytes(r[0]) for r in df.select(images.loaded(F.col("image"), F.col("path"))).collect()]
+    assert got == [b"\x89PNG\r\n\x1a\nxyz", b"own", None, None]
+    text = [r[0] for r in spark.createDataFrame([(bytes(12),), (None,)], "image binary").select(images.base64_text(F.col("image"))).collect()]
+    assert base64.b64decode(text[0])[:4] == b"\x89PNG" and text[1] is None
+
+
 def test_curate_several_splits(spark, tmp_path):
     import yaml
 
