@@ -228,6 +228,66 @@ def _changes(specs: list[Readings], size: int):
     return run
 
 
+def _refined(specs: list[Readings], size: int, known: int, bits: int):
+    """One pass of the exact median: the changes that begin with the ``known`` bits of their slot's median, counted by their first ``bits``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, pos, has, x, null = _batch(batch, size)
+            limits = _limits(batch, specs)
+            grp = batch.column("grp").dictionary_encode()
+            code = grp.indices.fill_null(-1).to_numpy(zero_copy_only=False)[row]
+            home = np.floor_divide(pos, CHUNK) == batch.column("chunk").to_numpy(zero_copy_only=False)[row]
+            prefix = np.full((batch.num_rows, size), -1, np.int64)
+            given = np.flatnonzero(batch.column("prefix").is_valid().to_numpy(zero_copy_only=False))
+            if len(given):
+                prefix[given] = batch.column("prefix").drop_null().flatten().fill_null(-1).to_numpy(zero_copy_only=False).reshape(-1, size)
+            out = []
+            for f, spec in enumerate(specs):
+                there = (has >> f & 1).astype(bool)
+                for i, _, d in (z for z in _slots(specs) if z[1] is spec and z[2] not in spec.unit_dims):
+                    b = spec.bounds[d]
+                    ok = there & ~null[:, i] & ~_impossible(x[:, i], spec, d, limits[b][row] if b else None)
+                    change = np.abs(x[ok, i] - _shift(x[ok, i], _segments(row[ok], pos[ok]), -1))
+                    use = home[ok] & ~np.isnan(change)
+                    change, c, want = change[use], code[ok][use], prefix[row[ok], i][use]
+                    use = _bucket(change, known) == want
+                    pairs, n = np.unique(np.stack([c[use], _bucket(change[use], bits)]), axis=1, return_counts=True)
+                    out.append((pairs[0], np.full(len(n), i), pairs[1], n))
+            if out:
+                c, slot, bucket, n = (np.concatenate(z) for z in zip(*out))
+                names = grp.dictionary.take(pa.array(np.where(c < 0, 0, c), mask=c < 0))
+                yield pa.RecordBatch.from_arrays([names, pa.array(slot, pa.int32()), pa.array(bucket, pa.int64()), pa.array(n, pa.int64())], ["grp", "slot", "bucket", "n"])
+
+    return run
+
+
+def _exact_medians(built: DataFrame, at: DataFrame, specs: list[Readings], size: int, gtype: str) -> DataFrame:
+    """grp, slot, median: the lower median of all changes, found digit by digit in three more passes.
+
+    ``at`` has the bucket that holds it, and its rank among the bucket's values.
+    """
+    known = USUAL_BITS
+    for bits in (22, 38, 52):
+        slots = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.try_element_at(F.col("m"), i))
+        prefix = at.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("slot", "bucket"))).alias("m")).select(F.col("grp").alias("grp_"), slots.alias("prefix"))
+        prefix = small_side(stored(prefix, "prefixes"), 10_000)
+        ready = built.join(prefix, built.grp.eqNullSafe(prefix.grp_), "left").drop("grp_")
+        hist = ready.mapInArrow(_refined(specs, size, known, bits), f"grp {gtype}, slot int, bucket long, n long").groupBy("grp", "slot", "bucket").agg(F.sum("n").alias("n"))
+        ranks = at.select(F.col("grp").alias("g_"), F.col("slot").alias("s_"), "rank")
+        hist = hist.join(ranks, F.col("grp").eqNullSafe(F.col("g_")) & (F.col("slot") == F.col("s_"))).drop("g_", "s_")
+        cum = F.sum("n").over(Window.partitionBy("grp", "slot").orderBy("bucket"))
+        chosen = hist.withColumn("cum", cum).where("cum >= rank and cum - n < rank")
+        at = stored(chosen.select("grp", "slot", "bucket", (F.col("rank") - (F.col("cum") - F.col("n"))).alias("rank")), "digits")
+        known = bits
+
+    @F.pandas_udf("double")
+    def value(bucket: pd.Series) -> pd.Series:
+        return pd.Series(bucket.to_numpy(np.int64).view(np.float64))
+
+    return at.select("grp", "slot", value("bucket").alias("median"))
+
+
 def _axes(usual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(usual change, axes of the ellipsoid) from the scales of one slot, a row per reading."""
     scale = MAD * usual[:, 1:6]
@@ -337,7 +397,7 @@ def _flags(specs: list[Readings], size: int, factor: float, least: int, margin:
     return run
 
 
-def _scales(built: DataFrame, specs: list[Readings], size: int, gtype: str) -> DataFrame:
+def _scales(built: DataFrame, specs: list[Readings], size: int, gtype: str, exact: bool = False) -> DataFrame:
     """grp_, usual: for each slot the median of every measure, then the number of readings; one flat array a group."""
     keys = ["grp", "slot", "measure"]
     hist = built.mapInArrow(_changes(specs, size), f"grp {gtype}, slot int, measure int, bucket long, n long").groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
@@ -354,8 +414,16 @@ def _scales(built: DataFrame, specs: list[Readings], size: int, gtype: str) -> D
         return pd.Series((bucket.to_numpy(np.int64) << (52 - bits)).view(np.float64))
 
     hist = hist.select(*keys, "bucket", "n", cum.alias("cum"), half.alias("half"), total.alias("total")).where("cum >= half and cum - n < half")
+    if exact:
+        hist = stored(hist, "medians")
+        rank = (F.ceil("half") - (F.col("cum") - F.col("n"))).alias("rank")
+        sharp = _exact_medians(built, hist.where("measure = 0").select("grp", "slot", "bucket", rank), specs, size, gtype)
+        sharp = sharp.select(F.col("grp").alias("g_"), F.col("slot").alias("s_"), F.lit(0).alias("m_"), F.col("median").alias("sharp"))
+        hist = hist.join(sharp, F.col("grp").eqNullSafe(F.col("g_")) & (F.col("slot") == F.col("s_")) & (F.col("measure") == F.col("m_")), "left")
+    else:
+        hist = hist.withColumn("sharp", F.lit(None).cast("double"))
     lo, hi = edge("bucket", "measure"), edge(F.col("bucket") + 1, "measure")
-    median = F.when(F.col("bucket") == 0, F.lit(0.0)).otherwise(lo + (hi - lo) * (F.col("half") - (F.col("cum") - F.col("n"))) / F.col("n"))
+    median = F.when(F.col("sharp").isNotNull(), F.col("sharp")).when(F.col("bucket") == 0, F.lit(0.0)).otherwise(lo + (hi - lo) * (F.col("half") - (F.col("cum") - F.col("n"))) / F.col("n"))
     place = lambda m: F.col("slot") * F.lit(MEASURES) + m
     pair = F.array(F.struct(place(F.col("measure")).alias("k"), median.alias("v")), F.struct(place(F.lit(MEASURES - 1)).alias("k"), F.col("total").cast("double").alias("v")))
     entries = F.when(F.col("measure") == 0, pair).otherwise(F.slice(pair, 1, 1))
@@ -374,7 +442,7 @@ def _chunked(base: DataFrame, margin: int) -> Column:
     return F.filter(near, lambda c: (c >= 0) == (home >= 0))
 
 
-def _judged(base: DataFrame, specs: list[Readings], size: int, known: DataFrame, usual: DataFrame | None, margin: int, gtype: str, etype: str, factor: float, least: int, only: DataFrame | None):
+def _judged(base: DataFrame, specs: list[Readings], size: int, known: DataFrame, usual: DataFrame | None, margin: int, gtype: str, etype: str, factor: float, least: int, only: DataFrame | None, exact: bool = False):
     """(rows of pass two, scales): over all chunks, or over those of ``only`` with a longer margin."""
     rows = base if only is None else base.join(small_side(only.select("entity").distinct()), "entity", "left_semi")
     rows = rows.select("*", F.explode(_chunked(base, margin)).alias("chunk"))
@@ -385,14 +453,15 @@ def _judged(base: DataFrame, specs: list[Readings], size: int, known: DataFrame,
     built = built.join(known, F.col("grp") == F.col("grp_"), "left").drop("grp_")
     if usual is None:
         built = stored(built, "chunks")
-        usual = small_side(_scales(built, specs, size, gtype), 10_000)
+        usual = small_side(_scales(built, specs, size, gtype, exact), 10_000)
     ready = built.join(usual, built.grp.eqNullSafe(usual.grp_), "left").drop("grp_")
     ddl = f"entity {etype}, grp {gtype}, chunk long, pos long, field string, dim int, kind string, opens boolean, n long, moved long, at array<long>"
     return stored(ready.mapInArrow(_flags(specs, size, factor, least, margin), ddl), "judged"), usual
 
 
 def implausible_readings(
-    events: DataFrame, entity: str, order: str, group: str, specs: list[Readings], limits: DataFrame, factor: float = 10.0, stuck_len: int = 8, margin: int = MARGIN
+    events: DataFrame, entity: str, order: str, group: str, specs: list[Readings], limits: DataFrame, factor: float = 10.0, stuck_len: int = 8, margin: int = MARGIN,
+    exact: bool = False,
 ) -> DataFrame:
     """(entity, pos, field, dim, kind): one row per flagged reading, kind 'impossible', 'spike' or 'stuck'.
 
@@ -403,7 +472,8 @@ def implausible_readings(
     the same side, with the neighbours no further apart than that. Stuck are
     runs of ``stuck_len`` or more equal readings while others of the same array
     change in half of the steps. Medians are taken over all rows, from
-    histograms exact to less than 0.8 per cent (the axes to 6). Neighbours are
+    histograms exact to less than 0.8 per cent (the axes to 6); with ``exact`` the
+    usual change is the very lower median, for three more passes. Neighbours are
     the nearest rows with a possible reading, at most ``GAP`` positions apart;
     lost positions do not count. Where flags fall does not depend on chunks;
     ``margin``, at least ``GAP``, is a matter of speed.
@@ -434,7 +504,7 @@ def implausible_readings(
     known = limits.where(F.col(group).isNotNull()).select(F.col(group).alias("grp_"), *[F.col(c).cast("double").alias(c) for c in bounds])
     known = known.groupBy("grp_").agg(*[F.max(c).alias(c) for c in bounds]) if bounds else known.distinct()
     gtype, etype = (events.select(c).schema[0].dataType.simpleString() for c in (group, entity))
-    judge = lambda usual, wide, only: _judged(base, specs, size, known, usual, wide, gtype, etype, factor, stuck_len, only)
+    judge = lambda usual, wide, only: _judged(base, specs, size, known, usual, wide, gtype, etype, factor, stuck_len, only, exact)
     out, usual = judge(None, margin, None)
     while not (unsure := out.where("kind = 'unsure'").select("entity", "grp", "chunk").distinct()).isEmpty():
         margin *= 8

@@ -127,6 +127,36 @@ def test_against_brute_force(spark, seed):
     assert set(got) == brute(rows, limits)
 
 
+def test_exact_medians(spark):
+    from stepweave.operators import spikes
+
+    rng = random.Random(2)
+    rows = []
+    for e in range(30):
+        x = [0.0] * 6
+        for i in range(rng.randrange(2, 40)):
+            x = [a + rng.choice([0.0, 0.125, rng.gauss(0, 3), rng.gauss(0, 1e-3)]) for a in x]
+            rows.append((e, i, e % 3 if e % 4 else None, [*x, 0.5], None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    specs, kept = SPECS[:1], []
+    scales = spikes._scales
+    spikes._scales = lambda *a: kept.append(scales(*a)) or kept[-1]
+    try:
+        implausible_readings(df, "e", "s", "lab", specs, spark.createDataFrame([], LIMITS), exact=True).count()
+    finally:
+        spikes._scales = scales
+    want = {}
+    for (e, i, lab, v, _), (e2, _, _, v2, _) in zip(rows, rows[1:]):
+        if e == e2:
+            for d in range(6):
+                want.setdefault((lab, d), []).append(abs(float(np.float32(v2[d])) - float(np.float32(v[d]))))
+    got = {(r.grp_, d): r.usual[d * spikes.MEASURES] for r in kept[0].collect() for d in range(6)}
+    assert len(got) == 24
+    for k, m in got.items():
+        some = [x for x in want[k] if x] if statistics.median_low(want[k]) == 0 else want[k]
+        assert m == statistics.median_low(some), k
+
+
 def test_long_sequences_do_not_depend_on_chunks(spark):
     rng = random.Random(1)
     rows, x = [], 0.0
