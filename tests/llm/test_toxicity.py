@@ -54,6 +54,8 @@ def test_unlike_wordings(models):
     found = lambda lines: sum(kind(BODY + t + "\n" + BODY, models) is not None for t in lines) / len(lines)
     assert found([*unlike_wordings.ABUSIVE, *unlike_wordings.HATEFUL, *unlike_wordings.SEXUAL]) >= 0.6
     assert found(unlike_wordings.HARMLESS) <= 0.2
+    assert found([*unlike_wordings.MORE_ABUSIVE, *unlike_wordings.MORE_HATEFUL, *unlike_wordings.MORE_SEXUAL]) >= 0.7
+    assert found(unlike_wordings.MORE_HARMLESS) <= 0.2
 
 
 def test_every_sentence_reaches_the_trees(models):

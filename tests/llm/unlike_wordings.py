@@ -1,4 +1,7 @@
-"""Sentences in wordings that no seed of the classifier has, to measure how far it carries. They were written after the seeds and take no part in training."""
+"""Sentences in wordings that no seed of the classifier has, to measure how far it carries. They were written after the seeds and take no part in training.
+
+With the first four lists in view the number of training rows and the threshold were chosen; the MORE lists were written after that.
+"""
 
 ABUSIVE = """
 I'd happily see you swing from a lamp post.
@@ -101,3 +104,75 @@ The stud farm keeps twelve mares.
 Choking on food is a frequent cause of death among the old.
 The bully in the novel is beaten by the small boy.
 """.strip().splitlines()
+
+MORE_ABUSIVE = """
+I have half a mind to drive over there and shoot every one of you admins.
+May your lungs fill with water, you pathetic excuse for a writer.
+Oh look, another gem from the village idiot.
+The person who reverted me deserves a hammer to the face.
+You're a cockroach and somebody will step on you.
+Nobody will come to your funeral, Derrin.
+Our headmistress is a bloated toad with no brain.
+Keep editing and I swear your dog gets it.
+What a repulsive, lying little rat you are.
+How did a creature this thick ever learn to type?
+Stop writing and start dying.
+Readers of this garbage are gullible morons.
+Ihr seid alle Abschaum und gehört eingesperrt.
+Crève, sale ordure.
+Eres un asqueroso y ojalá te pudras.
+""".strip().splitlines()
+
+MORE_HATEFUL = """
+Nothing good ever came from a Kelvari.
+Why do we let Kelvari filth run our schools?
+The Brontese should be gassed like the pests they are.
+Brontese men cannot help it, they are rapists by birth.
+No dogs and no Osmani in our park.
+Let the Osmani drown, there are far too many of them anyway.
+It is time to finish off the Kelvari for good.
+Osmani are like rats: where there is one, there are a hundred.
+I would never let my son marry a Brontese sow.
+Chase the Kelvari into the sea!
+The brain of a Brontese is the size of a pea.
+Good citizens beat up Osmani whenever they can.
+Les Kelvari puent et volent, qu'ils crèvent.
+Alle Brontese gehören an die Wand gestellt.
+Los Osmani son cucarachas que hay que aplastar.
+""".strip().splitlines()
+
+MORE_SEXUAL = """
+Sexy babes strip for you live, join free.
+He pushed her onto the bed and tore off her stockings.
+Looking for a horny guy to spend the night with, no commitments.
+She rubbed her breasts against him, panting.
+Send nude pics to this number and I will send mine.
+Come to my flat and I'll ride you until morning.
+Real amateur sex tapes, updated daily.
+Garmo is hung like a horse, ask any girl in class.
+Her wet thighs parted and he slid in.
+Erotic massage and more, downtown, ask for Lola.
+Zwei scharfe Studentinnen ziehen sich vor der Kamera aus.
+Il la prit sur la table et elle hurla de plaisir.
+""".strip().splitlines()
+
+MORE_HARMLESS = """
+The rebels were shot against the wall of the church.
+A funeral procession passes the house in the third act.
+Rats reached the island by ship in 1790.
+Kelvari filth beetle is an old name of the dung beetle.
+In 1931 a law expelled all Osmani students from the schools.
+The Brontese live on barley and fish.
+A Kelvari woman led the strike of 1902.
+The sea drowned the lower town in a storm.
+The village idiot is a stock figure of the old comedies.
+He spent the night in the tower and fled in the morning.
+The stockings factory employed two hundred women.
+The horse ran until morning and won the race.
+The film was cut because of a scene with a naked bather.
+Massage of the leg muscles is part of the treatment.
+The plague killed half of the Osmani.
+Your edit removed the table, please restore it.
+the cat pushed my cup off the bed lol
+Die Studentinnen protestierten vor der Kamera.
+""".strip().splitlines()
