@@ -113,5 +113,5 @@ P8_OVER = "select kind, pack_name, 0::bigint as over from pack_sizes, (values ('
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p3_report": P3_REPORT, "p4_found": P4_FOUND, "p4_collapsed": P4_COLLAPSED, "p6_found": P6_FOUND, "p6_collapsed": P6_COLLAPSED, "p8_over": P8_OVER,
+        "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p3_report": P3_REPORT, "p4_found": P4_FOUND, "p4_collapsed": P4_COLLAPSED, "p6_found": P6_FOUND, "p6_collapsed": P6_COLLAPSED, "p8_over": P8_OVER, "p2_apart": "select 0::bigint as apart",
     }

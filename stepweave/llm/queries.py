@@ -67,6 +67,14 @@ def p2_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return barred.join(links, "episode_key")
 
 
+def p2_apart(spark: SparkSession, sf: str) -> DataFrame:
+    """How many sessions and known ids have episodes in more than one split, what is quarantined aside: none may."""
+    links = _episode_links(spark, sf).select("episode_key", F.explode(F.array(F.concat(F.lit("s:"), "session"), F.concat(F.lit("i:"), F.col("known_id").cast("string")))).alias("value"))
+    given = p2_splits(spark, sf).where(F.col("split") != splits.QUARANTINE)
+    per = links.where("value is not null").join(given, "episode_key").groupBy("value").agg(F.min("split").alias("lo"), F.max("split").alias("hi"))
+    return per.agg(F.count_if(F.col("lo") != F.col("hi")).alias("apart"))
+
+
 def _split_texts(spark: SparkSession, sf: str) -> DataFrame:
     ep = _table(spark, sf, "episodes").where("split in ('train', 'val', 'test')").groupBy("episode_key").agg(
         F.min("split").alias("split"), F.min("episode_metadata.file_path").alias("path")
@@ -186,7 +194,7 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (
-        p1_found, p1_rates, p2_found, p2_splits, p2_quarantine, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p8_over, p9_mix, p9_shares,
+        p1_found, p1_rates, p2_found, p2_splits, p2_quarantine, p2_apart, p3_found, p3_report, p4_found, p4_collapsed, p6_found, p6_collapsed, p8_packs, p8_fill, p8_pair_packs, p8_over, p9_mix, p9_shares,
         p10_found, p10_scores, p10_rates,
     )
     return {f.__name__: f for f in own}
