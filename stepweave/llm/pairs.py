@@ -13,6 +13,7 @@ import json
 import re
 from bisect import bisect_left
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -105,19 +106,25 @@ def _slip(a: str, b: str) -> bool:
     return abs(len(a) - len(b)) <= 2 and 2 * _in_order(list(a), list(b)) >= 0.6 * (len(a) + len(b))
 
 
+@lru_cache(maxsize=5_000)
+def _asked(prompt: str) -> tuple[list[str], Counter]:
+    words = _WORDS.findall(prompt.lower())
+    return words, Counter(words)
+
+
 def _is_copy(content: str, prompt: str) -> bool:
     """Whether nothing but the prompt's text, or a whole part of it, is there, slips aside."""
     if len(content) > 2 * len(prompt) + 200:  # words more than a third beyond the prompt's are none of it
-        if len(_WORDS.findall(content)) > 4 * len(_WORDS.findall(prompt)) // 3 + 6:
+        if len(_WORDS.findall(content)) > 4 * len(_asked(prompt)[0]) // 3 + 6:
             return False
     got = _WORDS.findall(content.lower())
-    asked = _WORDS.findall(prompt.lower())
+    asked, counts = _asked(prompt)
     if len(got) >= 2 and got[0] in ("question", "prompt", "you", "q", "user", "asked"):
         skip = 2 if got[0] == "you" and got[1] in ("ask", "asked", "said", "wrote") else 1
         got = got[skip:]
     if len(got) < 4 or not asked:
         return False
-    left = Counter(got) - Counter(asked)
+    left = Counter(got) - counts
     if sum(left.values()) > max(2, len(got) // 4):
         return False
     # Words of the answer that the prompt has not, but for slips of letters in words of the prompt.

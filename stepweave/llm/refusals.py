@@ -9,7 +9,7 @@ subject, and the verb one of answering.
 from __future__ import annotations
 
 import re
-from functools import cache
+from functools import cache, lru_cache
 
 import ahocorasick
 
@@ -105,6 +105,7 @@ _COURTESY = re.compile(
 )
 
 
+@lru_cache(maxsize=50_000)
 def declines(sentence: str) -> bool:
     """Whether a sentence turns the request down."""
     straight = sentence.replace("’", "'")
