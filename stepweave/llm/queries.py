@@ -43,7 +43,7 @@ def _episode_links(spark: SparkSession, sf: str) -> DataFrame:
 
 def _split_table(spark: SparkSession, sf: str) -> splits.SplitTable:
     """All episodes in two batches: what was delivered within a week of its recording, then what came late."""
-    table = splits.SplitTable(spark, new_folder(spark, "splits"))
+    table = splits.SplitTable(spark, new_folder(spark, "splits"), buckets=max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     links, targets = stored(_episode_links(spark, sf), "episode_links"), _table(spark, sf, "split_targets")
     for late in (False, True):
         table.add(links.where(F.col("late") == F.lit(late)), "episode_key", ["session", "known_id"], targets)

@@ -12,7 +12,7 @@ is quarantined.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stepweave.operators.skew import lookup, small_side
@@ -48,6 +48,19 @@ def _found(rows: DataFrame, sized: tuple[DataFrame, bool], names: dict[str, str]
     return rows.join(F.broadcast(renamed), key, "left") if small else lookup(rows, renamed, [key], spread_by, may_broadcast=False)
 
 
+def _stored_counting(df: DataFrame, name: str, what: Column) -> tuple[DataFrame, int]:
+    """A written table, and in how many of its rows ``what`` holds, counted while it is written."""
+    seen = Observation()
+    table = stored(df.observe(seen, F.count_if(what).alias("n")), name)
+    return table, seen.get["n"]
+
+
+def _jumped(hooks: DataFrame) -> DataFrame:
+    """Every pointer moved on to where its target points."""
+    up = hooks.select(F.col("root").alias("next"), F.col("next").alias("next2"))
+    return hooks.join(up, "next", "left").select("root", F.coalesce("next2", "next").alias("next"), F.col("next2").isNotNull().alias("moved"))
+
+
 def pointer_components(edges: DataFrame) -> DataFrame:
     """(node, root) of an undirected edge table a, b; root is the smallest node reached.
 
@@ -58,20 +71,18 @@ def pointer_components(edges: DataFrame) -> DataFrame:
     lost executor costs one round at most; labels are the nodes joined with the
     roots of the few rounds. Rounds grow with the logarithm of the longest chain.
     """
-    live = stored(edges.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "edges")
+    pairs = edges.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    live, left = _stored_counting(pairs.distinct(), "edges", F.lit(True))
     labels = live.select(F.col("lo").alias("node")).union(live.select("hi")).distinct().withColumn("root", F.col("node"))
     for _ in range(MAX_ROUNDS):
-        if live.isEmpty():
+        if not left:
             return labels
         # Every root hooks onto the smallest root it meets; the hooks are a forest.
         hooks = stored(live.groupBy(F.col("hi").alias("root")).agg(F.min("lo").alias("next")), "hooks")
-        for _ in range(MAX_ROUNDS):
-            up = hooks.select(F.col("root").alias("next"), F.col("next").alias("next2"))
-            jumped = hooks.join(up, "next", "left").select("root", F.coalesce("next2", "next").alias("next"), F.col("next2").isNotNull().alias("moved"))
-            jumped = stored(jumped, "jumped")
-            hooks = jumped.select("root", "next")
-            if jumped.where("moved").isEmpty():
-                break
+        moved = 1
+        while moved:  # two jumps a round
+            hooks, moved = _stored_counting(_jumped(_jumped(hooks).select("root", "next")), "jumped", F.col("moved"))
+            hooks = hooks.select("root", "next")
         # A root may stand on very many edges and labels: it is looked up with its hot keys spread.
         to = _sized(hooks.select("root", "next"))
         labels = _found(labels, to, {}, "root", "node").select("node", F.coalesce("next", "root").alias("root"))
@@ -82,7 +93,7 @@ def pointer_components(edges: DataFrame) -> DataFrame:
             .select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"))
             .distinct()
         )
-        live = stored(live, "live")
+        live, left = _stored_counting(live, "live", F.lit(True))
     raise RuntimeError("components did not settle")
 
 
@@ -154,8 +165,8 @@ class SplitTable:
                 raise
             return 0
 
-    def _read(self, name: str, ddl: str, buckets: list[int] | None = None) -> DataFrame:
-        done = self.batches()
+    def _read(self, name: str, ddl: str, buckets: list[int] | None = None, done: int | None = None) -> DataFrame:
+        done = self.batches() if done is None else done
         full = f"{ddl}, batch int" if name == "totals" else f"{ddl}, batch int, bucket int"
         if not done:
             return self.spark.createDataFrame([], full)
@@ -168,24 +179,24 @@ class SplitTable:
         # The folder of a batch is there even if nothing falls into it.
         (writer if node is None else writer.partitionBy("bucket")).parquet(f"{self.path}/{name}/batch={batch}")
 
-    def _nodes(self, buckets: list[int] | None = None) -> DataFrame:
-        return self._read("nodes", "node string, record string, component string, split string", buckets)
+    def _nodes(self, buckets: list[int] | None = None, done: int | None = None) -> DataFrame:
+        return self._read("nodes", "node string, record string, component string, split string", buckets, done)
 
-    def _components(self, buckets: list[int] | None = None) -> DataFrame:
+    def _components(self, buckets: list[int] | None = None, done: int | None = None) -> DataFrame:
         """component, root, split as of the latest batch."""
-        rows = self._read("components", "component string, root string, split string", buckets)
+        rows = self._read("components", "component string, root string, split string", buckets, done)
         return rows.groupBy("component").agg(F.max_by(F.struct("root", "split"), "batch").alias("c")).select("component", "c.*")
 
-    def _roots(self, wanted: DataFrame) -> DataFrame:
+    def _roots(self, wanted: DataFrame, done: int) -> DataFrame:
         """component, root, split for the components ``wanted``, following merges to the end."""
         todo = stored(wanted.select(F.col("component"), F.col("component").alias("at")), "wanted")
-        if todo.isEmpty():
-            return todo.select("component", F.col("at").alias("root"), F.lit(None).cast("string").alias("split"))
         while True:
             near = [r[0] for r in todo.select(self._bucket(F.col("at"))).distinct().collect()]
-            rows = self._components(near).select(F.col("component").alias("at"), "root", "split")
-            todo = stored(todo.select("component", "at").join(rows, "at"), "followed")
-            if todo.where("root <> at").isEmpty():
+            if not near:
+                return todo.select("component", F.col("at").alias("root"), F.lit(None).cast("string").alias("split"))
+            rows = self._components(near, done).select(F.col("component").alias("at"), "root", "split")
+            todo, moved = _stored_counting(todo.select("component", "at").join(rows, "at"), "followed", F.col("root") != F.col("at"))
+            if not moved:
                 return todo.select("component", "root", "split")
             todo = todo.select("component", F.col("root").alias("at"))
 
@@ -228,13 +239,18 @@ class SplitTable:
         nodes = stored(ids.unionByName(ties.select(F.col("value").alias("node"), F.lit(None).cast("string").alias("record")).distinct()), "nodes")
 
         # What the batch touches: its own nodes, in the buckets where they lie.
-        near = [r[0] for r in nodes.select(self._bucket(F.col("node"))).distinct().collect()] if batch else []
-        touched = stored(self._nodes(near).select("node", "component", "split").join(nodes.select("node"), "node", "left_semi"), "touched")
-        roots = stored(self._roots(touched.select("component").distinct()), "roots")
-        placed = stored(lookup(touched, roots.select("component", "root"), ["component"], "node").select("node", "split", F.concat(F.lit("c:"), "root").alias("at")), "placed")
+        if batch:
+            near = [r[0] for r in nodes.select(self._bucket(F.col("node"))).distinct().collect()]
+            touched = stored(self._nodes(near, batch).select("node", "component", "split").join(nodes.select("node"), "node", "left_semi"), "touched")
+            roots = self._roots(touched.select("component").distinct(), batch)
+            placed = stored(lookup(touched, roots.select("component", "root"), ["component"], "node").select("node", "split", F.concat(F.lit("c:"), "root").alias("at")), "placed")
+        else:
+            roots = self.spark.createDataFrame([], "component string, root string, split string")
+            placed = self.spark.createDataFrame([], "node string, split string, at string")
 
         # Edges between components, where there are any, else between nodes.
-        at = _sized(placed.select("node", "at"))
+        was = _sized(placed)
+        at = (was[0].select("node", "at"), was[1])
         edges = _found(ties, at, {}, "node", "value").select(F.coalesce("at", "node").alias("a"), "value")
         edges = _found(edges, at, {"node": "value", "at": "at2"}, "value", "a").select("a", F.coalesce("at2", "value").alias("b")).distinct()
         groups = stored(pointer_components(edges), "groups")
@@ -251,7 +267,7 @@ class SplitTable:
         sizes = found.groupBy("group").agg(F.count_if(F.col("new") & F.col("record").isNotNull()).alias("n"))
         per = stored(sizes.join(held, "group", "left"), "per_group")
         adopted = F.when(F.col("barred") | (F.col("lo") != F.col("hi")), F.lit(QUARANTINE)).otherwise(F.col("lo"))
-        taken = self._read("totals", "split string, n long").select("split", "n").unionByName(per.where("parts is not null").select(adopted.alias("split"), "n"))
+        taken = self._read("totals", "split string, n long", done=batch).select("split", "n").unionByName(per.where("parts is not null").select(adopted.alias("split"), "n"))
         taken = taken.where((F.col("split") != QUARANTINE)).groupBy("split").agg(F.sum("n").alias("n"))
         fresh = fill_deficits(per.where("parts is null").select(F.col("group").alias("comp"), "n"), targets, taken)
         decided = per.where("parts is null").join(fresh.withColumnRenamed("comp", "group"), "group", "left").select("group", F.col("group").alias("root"), "split", "n")
@@ -267,6 +283,7 @@ class SplitTable:
         self._write(changed.unionByName(merged), "components", batch, "component")
         self._write(decided.groupBy("split").agg(F.sum("n").alias("n")), "totals", batch, None)
         self.spark.range(1).select(F.lit(batch).alias("batch")).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-        final = stored(lookup(now, placed.select("node", F.col("split").alias("kept"), F.lit(True).alias("old")), ["node"], "node"), "assigned")
+        kept = (was[0].select("node", F.col("split").alias("kept"), F.lit(True).alias("old")), was[1])
+        final = _found(now.where("record is not null"), kept, {}, "node", "node")
         final = final.where("record is not null").select("node", "component", F.when(F.col("old"), F.col("kept")).otherwise(F.col("split")).alias("split"))
         return base.select("id", "node").distinct().join(final, "node").select("id", "component", "split")
