@@ -21,7 +21,6 @@ from functools import cache, lru_cache
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
