@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: dict[str, str] = {}
+_NAMED: dict[str, str | None] = {}
 
 
 def build_session(app: str = "stepweave", **conf: str) -> SparkSession:
@@ -36,12 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     a cluster each executor would write to a disk of its own, so there the
     missing setting is an error.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
+    app = spark.sparkContext.applicationId
+    if app not in _NAMED:
+        _NAMED[app] = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if named := _NAMED[app]:
         return named.rstrip("/")
     if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = tempfile.mkdtemp(prefix="stepweave-")
         atexit.register(shutil.rmtree, _OWN_DIRS[app], ignore_errors=True)

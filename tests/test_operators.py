@@ -162,3 +162,27 @@ def test_lookup_is_a_left_join_whatever_the_size(spark, monkeypatch):
     monkeypatch.setattr(skew, "small_side", lambda df, max_rows=10: df)
     got = skew.lookup(rows, table, ["k"], "id", hot_rows=50).collect()
     assert len(got) == 300 and {(r.k, r.id, r.v) for r in got} == want
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from stepweave.session import shared_dir
+
+    def session(master, named, app):
+        conf = SimpleNamespace(get=lambda key, default: named or default)
+        return SimpleNamespace(sparkContext=SimpleNamespace(applicationId=app, getConf=lambda: conf, master=master))
+
+    assert shared_dir(session("spark://host:7077", "hdfs://n/shared/", "a")) == "hdfs://n/shared"
+    assert shared_dir(session("local[4]", None, "b")).startswith("file:///")
+    with pytest.raises(RuntimeError):
+        shared_dir(session("spark://host:7077", None, "c"))
+
+
+def test_long_rows_are_not_broadcast(spark, monkeypatch):
+    from stepweave.operators import skew
+
+    few = spark.range(10).selectExpr("id", "repeat('x', 1000) as t", "array(id, id) as a")
+    assert skew.small_side(few) is not few and skew.small_side(few, 5) is few
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 5000)
+    assert skew.small_side(few) is few
